@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.functions import INT64, NUMERIC, STRING, TIMESTAMP, safe
 from stratiform.operators.lineage import now, with_lineage
 
 
-def sample_curated(raw: DataFrame, env: str = "dev", *, at: Column | None = None) -> DataFrame:
+def sample_curated(raw: DataFrame, env: str = "dev", *, at: dt.datetime | None = None) -> DataFrame:
     """Tolerant typed copy: a value that does not fit becomes NULL."""
     typed = raw.select(
         safe(raw, "id", INT64).alias("id"),
@@ -23,7 +25,7 @@ def sample_curated(raw: DataFrame, env: str = "dev", *, at: Column | None = None
 
 
 def amount_by_name_gold(
-    curated: DataFrame, env: str = "dev", *, at: Column | None = None
+    curated: DataFrame, env: str = "dev", *, at: dt.datetime | None = None
 ) -> DataFrame:
     """Rows, amount and time span per name."""
     return (

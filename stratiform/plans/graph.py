@@ -14,7 +14,7 @@ from stratiform.config import EnvConfig
 from stratiform.operators import checks
 from stratiform.operators.checks import assert_no_rows
 from stratiform.plans import marts, staging
-from stratiform.session import use_utc
+from stratiform.session import prepare
 from stratiform.sinks import ensure_namespace, publish_table, publish_view, upsert_partitions
 from stratiform.sources import env_check, one_row, read_curated, read_partitioned, read_raw
 from stratiform.sources.registry import enabled_sources, source_named
@@ -36,7 +36,7 @@ class Run:
     def __init__(
         self, spark: SparkSession, cfg: EnvConfig, as_of: dt.date | Column | None = None
     ) -> None:
-        self.spark, self.cfg, self.as_of = use_utc(spark), cfg, as_of
+        self.spark, self.cfg, self.as_of = prepare(spark), cfg, as_of
         self._views: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:

@@ -15,7 +15,7 @@ from stratiform.operators.checks import (
     sample_checks,
 )
 from stratiform.plans.curated import amount_by_name_gold, sample_curated
-from stratiform.session import use_utc
+from stratiform.session import prepare
 from stratiform.sinks import ensure_namespace, publish_table, publish_view
 from stratiform.sources import preview, read_raw
 from stratiform.sources.readers import plan_text
@@ -52,7 +52,7 @@ def run_layers(
     Returns the name of what each layer made. A dry run writes nothing and returns
     the query plan of each layer instead.
     """
-    use_utc(spark)
+    prepare(spark)
     layers = layer_range(from_layer, to_layer)
     if dry_run:
         return {layer: plan_text(_LAYER_PLANS[layer](spark, cfg)) for layer in layers}

@@ -21,7 +21,7 @@ def int_orders_enriched(
     orders: DataFrame,
     transactions: DataFrame,
     *,
-    at: Column | None = None,
+    at: dt.datetime | None = None,
     hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Each staged order with every transaction of its customer on its day.

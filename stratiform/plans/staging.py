@@ -6,14 +6,16 @@ the files. ``at`` replaces the wall clock in tests.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.functions import INT64, NUMERIC, STRING, TIMESTAMP, strict, utc_date
 from stratiform.operators.lineage import now, with_lineage
 
 
-def src_raw_orders(raw: DataFrame, *, at: Column | None = None) -> DataFrame:
+def src_raw_orders(raw: DataFrame, *, at: dt.datetime | None = None) -> DataFrame:
     """Raw orders under business names; nothing is filtered."""
     typed = raw.select(
         strict(raw, "id", STRING).alias("order_id"),
@@ -24,7 +26,7 @@ def src_raw_orders(raw: DataFrame, *, at: Column | None = None) -> DataFrame:
     return with_lineage(typed, stamp="load_ts", at=at, record_source="raw_ext")
 
 
-def stg_orders(raw: DataFrame, *, at: Column | None = None) -> DataFrame:
+def stg_orders(raw: DataFrame, *, at: dt.datetime | None = None) -> DataFrame:
     """Orders with an id. A missing name stays, as a NULL customer."""
     timestamp = strict(raw, "event_ts", TIMESTAMP)
     return raw.where(F.col("id").isNotNull()).select(
@@ -37,7 +39,7 @@ def stg_orders(raw: DataFrame, *, at: Column | None = None) -> DataFrame:
     )
 
 
-def stg_sales_transactions(raw: DataFrame, *, at: Column | None = None) -> DataFrame:
+def stg_sales_transactions(raw: DataFrame, *, at: dt.datetime | None = None) -> DataFrame:
     """Transactions with an id: one raw name is both customer and product, one raw
     amount both unit price and amount, for a quantity of one."""
     timestamp = strict(raw, "event_ts", TIMESTAMP)
@@ -59,7 +61,7 @@ def stg_sales_transactions(raw: DataFrame, *, at: Column | None = None) -> DataF
     )
 
 
-def stg_customers(raw: DataFrame, *, at: Column | None = None) -> DataFrame:
+def stg_customers(raw: DataFrame, *, at: dt.datetime | None = None) -> DataFrame:
     """One row per named customer with the first time it was seen.
 
     As a query this is a minimum over a window per name with DISTINCT on top. All
@@ -81,7 +83,7 @@ def stg_customers(raw: DataFrame, *, at: Column | None = None) -> DataFrame:
     )
 
 
-def stg_sample(raw: DataFrame, *, at: Column | None = None) -> DataFrame:
+def stg_sample(raw: DataFrame, *, at: dt.datetime | None = None) -> DataFrame:
     """Strict typed copy: a value that does not fit fails the load."""
     typed = raw.select(
         strict(raw, "id", INT64).alias("id"),

@@ -44,6 +44,10 @@ REQUIRED_SIZING = (
     "spark.executor.memory",
 )
 
+# A table with many small partitions is slow to write in few tasks, however little
+# data it is, so shuffled partitions are merged down to a lower floor than usual.
+MERGE_FLOOR = ("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
+
 # What every job relies on, whatever its size.
 ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -51,8 +55,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    MERGE_FLOOR[0]: MERGE_FLOOR[1],
     # A map task recomputed after an executor loss may write its rows in another
     # order; compare checksums and rerun the consumers when contents differ.
     "spark.sql.shuffle.orderIndependentChecksum.enabled": "true",
@@ -104,12 +108,19 @@ def build_session(app_name: str, conf: dict[str, str] | None = None) -> SparkSes
     builder = SparkSession.builder.appName(app_name)
     for key, value in (conf or ENGINE_CONF).items():
         builder = builder.config(key, value)
-    return use_utc(builder.getOrCreate())
+    return prepare(builder.getOrCreate())
+
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings the models need of any session.
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Dates are UTC dates: pin the zone before any timestamp becomes a date."""
+    Dates are UTC dates, so the zone is pinned before a timestamp becomes a date. The
+    floor for merging shuffled partitions stays as it is where the session sets one.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    key, floor = MERGE_FLOOR
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, floor)
     return spark
 
 

@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratiform.session import fresh_path, prepare
 from stratiform.sinks.tables import publish_table, stage, write_partitioned
 from stratiform.storage import is_v2, path_exists
 
@@ -68,16 +69,32 @@ def upsert_partitions(
         _same_keys(keys),
         "left_anti",
     )
-    merged = stage(kept.unionByName(new).hint("rebalance", F.col(partition_col)), "upsert-merged")
-    writer = merged.select(*columns).write.mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "dynamic")
+    merged_path = fresh_path(spark, "upsert-merged")
+    merged = write_partitioned(
+        kept.unionByName(new).select(*columns).hint("rebalance", F.col(partition_col)), merged_path
+    )
     if is_path:
+        writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(partition_col).parquet(target)
         return spark.read.schema(merged.schema).parquet(target)
-    writer.insertInto(target)
+    _overwrite_partitions(spark, merged_path, merged.schema, target)
     return spark.table(target)
 
 
+def _overwrite_partitions(spark: SparkSession, path: str, schema, table: str) -> None:
+    """Replace exactly the partitions of the table that the files at ``path`` hold.
+
+    Inserting into a catalog table heeds the overwrite mode of the session only, not
+    that of the write, so this happens in a session of its own over the same catalog.
+    """
+    if "." not in table:
+        table = f"{spark.catalog.currentDatabase()}.{table}"
+    own = prepare(spark.newSession())
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    own.read.schema(schema).parquet(path).write.mode("overwrite").insertInto(table)
+    spark.catalog.refreshTable(table)
+
+
 def _exists(spark: SparkSession, target: str, is_path: bool) -> bool:
     return path_exists(spark, target) if is_path else spark.catalog.tableExists(target)
 
