@@ -1,0 +1,114 @@
+"""What Spark does with the models: pruning, pushdown, number of shuffles."""
+
+import datetime as dt
+import re
+
+import pytest
+from conftest import RAW, at
+from pyspark.sql import functions as F
+
+from stratiform.plans import (
+    amount_by_name_gold,
+    dim_customers,
+    fct_orders_daily,
+    int_orders_enriched,
+    sample_curated,
+    stg_customers,
+    stg_orders,
+    stg_sales_transactions,
+)
+from stratiform.plans.adapters import table
+from stratiform.sources.readers import plan_text
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def landed(spark, tmp_path, raw):
+    rows = [(i, f"c{i % 5}", float(i), at(f"2024-01-{i % 28 + 1:02d}")) for i in range(200)]
+    raw(*rows).write.parquet(f"{tmp_path}/raw")
+    return spark.read.schema(RAW).parquet(f"{tmp_path}/raw")
+
+
+def shuffles(df):
+    return len(re.findall(r"Exchange hashpartitioning", plan_text(df, "simple")))
+
+
+def test_customers_take_one_shuffle(landed):
+    plan = plan_text(dim_customers(stg_customers(landed)), "simple")
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Window" not in plan and "partial_min" in plan
+    assert "PushedFilters: [IsNotNull(name)]" in plan
+    assert "ReadSchema: struct<name:string,event_ts:timestamp>" in plan
+
+
+def test_gold_takes_one_shuffle_after_partial_sums(landed):
+    gold = amount_by_name_gold(sample_curated(landed))
+    assert shuffles(gold) == 1 and "partial_sum" in plan_text(gold, "simple")
+
+
+def test_daily_fact_spreads_by_order_first(landed):
+    plan = plan_text(fct_orders_daily(stg_orders(landed)), "simple")
+    first = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)[-1]
+    assert "order_date" in first and "customer_id" in first and "order_id" in first
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "PushedFilters: [IsNotNull(id)" in plan
+
+
+def test_look_back_reaches_the_scan(spark, landed):
+    window = fct_orders_daily(stg_orders(landed), incremental=True, as_of=dt.date(2024, 1, 20))
+    assert "GreaterThanOrEqual(event_ts,2024-01-13" in plan_text(window).replace("T00", " 00")
+    today = fct_orders_daily(stg_orders(landed), incremental=True)
+    assert "GreaterThanOrEqual(event_ts" in plan_text(today)
+    ntz = table(spark, SF, "orders").selectExpr(
+        "o_orderkey id", "'x' name", "o_totalprice amount", "o_orderdate event_ts"
+    )
+    window = fct_orders_daily(stg_orders(ntz), incremental=True, as_of=dt.date(2001, 8, 1))
+    assert "GreaterThanOrEqual(o_orderdate" in plan_text(window)
+
+
+def test_staging_reads_only_what_is_used(landed):
+    plan = plan_text(stg_orders(landed).select("order_id"), "simple")
+    assert "ReadSchema: struct<id:bigint>" in plan
+    assert shuffles(stg_orders(landed)) == 0
+
+
+def test_models_run_in_the_jvm(landed):
+    models = [
+        fct_orders_daily(stg_orders(landed)),
+        int_orders_enriched(stg_orders(landed), stg_sales_transactions(landed)),
+        dim_customers(stg_customers(landed)),
+        amount_by_name_gold(sample_curated(landed)),
+    ]
+    for model in models:
+        plan = plan_text(model, "simple")
+        assert "Python" not in plan and "Arrow" not in plan
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_without_hot_keys_the_cells_vanish_at_run_time(landed):
+    """Adaptive execution drops the branch of the hot keys once it knows there are none."""
+    joined = int_orders_enriched(stg_orders(landed), stg_sales_transactions(landed))
+    joined.collect()
+    final = plan_text(joined, "simple").split("Initial Plan")[0]
+    assert "Union" not in final and "explode" not in final
+    hot = int_orders_enriched(stg_orders(landed), stg_sales_transactions(landed), hot_rows=2)
+    assert hot.count() == joined.count()
+
+
+def test_only_the_bounded_list_of_hot_keys_is_forced_to_be_broadcast(spark, landed):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = int_orders_enriched(stg_orders(landed), stg_sales_transactions(landed))
+        plan = plan_text(joined, "simple")
+        builds = re.findall(r"BroadcastExchange.*\n[\s:|+*-]*(\w+)", plan)
+        assert builds and set(builds) == {"TakeOrderedAndProject"}
+        assert "SortMergeJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_enriched_left_rows_all_survive(landed):
+    orders = stg_orders(landed).withColumn("tag", F.lit(1))
+    none = stg_sales_transactions(landed.where("false"))
+    assert int_orders_enriched(orders, none).count() == orders.count()
