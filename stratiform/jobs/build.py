@@ -18,7 +18,7 @@ from stratiform.config import ENVIRONMENTS, EnvConfig
 from stratiform.operators.smoke import smoke_check
 from stratiform.plans import run_layers, run_models
 from stratiform.plans.layers import LAYERS
-from stratiform.session import build_session
+from stratiform.session import build_session, size_shuffles
 from stratiform.sources import RawSource, landing_path
 
 log = logging.getLogger(__name__)
@@ -71,6 +71,8 @@ def main(argv: list[str] | None = None) -> int:
         sources=default_sources(args.raw_root) if args.raw_root else (),
         enable_sales_orders=not args.no_sales_orders,
     )
+    if args.raw_root:
+        size_shuffles(spark, [args.raw_root])
     try:
         if args.what == "smoke":
             result = smoke_check(spark, args.table, min_rows=args.min_rows, limit=args.limit)

@@ -54,6 +54,7 @@ def copy_table(
     df = source
     if not isinstance(df, DataFrame):
         df = read_query(spark, f"SELECT * FROM {source}", jdbc=jdbc)
+    log.info("source schema: %s", df.schema.simpleString())
     preview(df, 1).collect()
     if len(parts) > 1:
         ensure_namespace(spark, ".".join(parts[:-1]))

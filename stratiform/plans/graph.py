@@ -207,6 +207,7 @@ def _materialise(run: Run, model: Model) -> None:
     if result is None:
         return
     ensure_namespace(run.spark, ".".join(model.address(run.cfg).split(".")[:-1]))
+    labels = {"layer": model.layer, "env": run.cfg.env}
     if model.kind == INCREMENTAL:
         upsert_partitions(
             result,
@@ -214,6 +215,7 @@ def _materialise(run: Run, model: Model) -> None:
             keys=model.keys,
             partition_col=model.partition_by[0],
             check_unique=False,  # grouped by these keys
+            properties=labels,
         )
         return
     publish_table(
@@ -221,7 +223,7 @@ def _materialise(run: Run, model: Model) -> None:
         model.address(run.cfg),
         partition_by=model.partition_by,
         cluster_by=model.cluster_by,
-        properties={"layer": model.layer, "env": run.cfg.env},
+        properties=labels,
     )
 
 

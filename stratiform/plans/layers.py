@@ -117,7 +117,7 @@ def _run_curated(spark: SparkSession, cfg: EnvConfig) -> str:
         _curated(spark, cfg),
         table,
         checks=sample_checks(),
-        comment="Curated table built from external files.",
+        comment="Typed sample with lineage columns.",
         properties={"layer": "curated", "env": cfg.env},
     )
     return table
@@ -129,7 +129,7 @@ def _run_gold(spark: SparkSession, cfg: EnvConfig) -> str:
         amount_by_name_gold(spark.table(_curated_table(cfg)), cfg.env),
         table,
         checks=gold_checks(),
-        comment="Gold aggregate: amount KPIs by name.",
+        comment="Amounts and time span per name.",
         properties={"layer": "gold", "env": cfg.env},
     )
     return table

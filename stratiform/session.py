@@ -5,9 +5,12 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
+from stratiform.storage import path_exists, size_in_bytes
+
 # Sizing profiles. Anything else a deployment needs goes in `extras`.
 PROFILES = {
     "dev_tiny": {
@@ -56,6 +59,7 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
     MERGE_FLOOR[0]: MERGE_FLOOR[1],
     # A map task recomputed after an executor loss may write its rows in another
     # order; compare checksums and rerun the consumers when contents differ.
@@ -124,6 +128,37 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Adaptive execution merges small shuffle partitions but never adds any, so a shuffle
+# starts from a number that fits its input: this many bytes each, within these bounds.
+SHUFFLE_BYTES = 256 * 1024**2
+SHUFFLE_PARTITIONS = (200, 50_000)
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    low, high = SHUFFLE_PARTITIONS
+    return min(max(-(-input_bytes // SHUFFLE_BYTES), low), high)
+
+
+def size_shuffles(spark: SparkSession, paths: Iterable[str]) -> SparkSession:
+    """Start shuffles wide enough for the files at ``paths``.
+
+    A number of shuffle partitions the session sets itself stays as it is; one that
+    an earlier call set here does not.
+    """
+    fixed, initial, marker = (
+        "spark.sql.shuffle.partitions",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+        "stratiform.initialPartitionNum",
+    )
+    current = spark.conf.get(initial, None)
+    if spark.conf.get(fixed, None) or current != spark.conf.get(marker, None):
+        return spark
+    total = sum(size_in_bytes(spark, p) for p in paths if path_exists(spark, p))
+    for key in (initial, marker):
+        spark.conf.set(key, str(shuffle_partitions(total)))
+    return spark
+
+
 @functools.lru_cache(maxsize=1)
 def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="stratiform-")

@@ -4,7 +4,7 @@ from stratiform.sinks.tables import (
     ensure_namespace,
     publish_table,
     publish_view,
-    stage,
+    staged,
     verify_readable,
     write_partitioned,
     write_table,
@@ -19,7 +19,7 @@ __all__ = [
     "ensure_namespace",
     "publish_table",
     "publish_view",
-    "stage",
+    "staged",
     "upsert_partitions",
     "verify_readable",
     "write_partitioned",

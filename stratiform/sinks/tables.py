@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,9 +66,15 @@ def write_partitioned(
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back, which also cuts the lineage."""
-    return write_partitioned(df, fresh_path(df.sparkSession, label))
+@contextlib.contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[tuple[DataFrame, str]]:
+    """The frame as written to the shared folder, without its lineage, and the path.
+
+    The copy goes once the block is done; after an error it stays, for repair.
+    """
+    path = fresh_path(df.sparkSession, label)
+    yield write_partitioned(df, path), path
+    delete_path(df.sparkSession, path)
 
 
 def publish_table(
@@ -162,14 +169,15 @@ def verify_readable(spark: SparkSession, table: str) -> None:
 
 
 def _publish_v2(df, table, checks, partition_by, cluster_by, comment, properties) -> DataFrame:
-    spark = df.sparkSession
-    if checks:
-        df = stage(df, "publish")
-        _audit(df, checks, table, "the staged copy")
     described = {**(properties or {}), **({"comment": comment} if comment else {})}
-    arranged = arrange(df, partition_by, cluster_by)
-    write_v2(arranged, table, partition_by=partition_by, properties=described)
-    return spark.table(table)
+    layout = {"partition_by": partition_by, "properties": described}
+    if checks:
+        with staged(df, "publish") as (copy, path):
+            _audit(copy, checks, table, path)
+            write_v2(arrange(copy, partition_by, cluster_by), table, **layout)
+    else:
+        write_v2(arrange(df, partition_by, cluster_by), table, **layout)
+    return df.sparkSession.table(table)
 
 
 def _audit(written: DataFrame, checks: Sequence[Check], table: str, where: str) -> None:

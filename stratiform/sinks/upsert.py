@@ -16,13 +16,13 @@ are rewritten:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.session import fresh_path, prepare
-from stratiform.sinks.tables import publish_table, stage, write_partitioned
+from stratiform.session import prepare
+from stratiform.sinks.tables import publish_table, staged, write_partitioned
 from stratiform.storage import is_v2, path_exists
 
 # Up to this many touched partitions are named in the filter on the target, which
@@ -41,10 +41,11 @@ def upsert_partitions(
     keys: Sequence[str],
     partition_col: str,
     check_unique: bool = True,
+    properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Upsert ``new`` into a table name or Parquet path and return the target.
 
-    A missing target is created from ``new``. Pass ``check_unique=False`` when the
+    A missing target is created from ``new``, a table with ``properties``. Pass ``check_unique=False`` when the
     keys are unique by construction, as after grouping by them.
     """
     spark = new.sparkSession
@@ -55,43 +56,41 @@ def upsert_partitions(
             _refuse_duplicates(new, keys)
         if is_path:
             return write_partitioned(new, target, partition_by=[partition_col])
-        return publish_table(new, target, partition_by=[partition_col])
+        return publish_table(new, target, partition_by=[partition_col], properties=properties)
     if not is_path and is_v2(spark, target):
         return _merge(new, target, keys)
 
-    new = stage(new, "upsert-new")
-    if check_unique:
-        _refuse_duplicates(new, keys)
-    current = spark.read.schema(new.schema).parquet(target) if is_path else spark.table(target)
-    columns = current.columns
-    kept = _touched(current, new, partition_col).join(
-        new.select(*[F.col(k).alias(f"_new_{k}") for k in keys]),
-        _same_keys(keys),
-        "left_anti",
-    )
-    merged_path = fresh_path(spark, "upsert-merged")
-    merged = write_partitioned(
-        kept.unionByName(new).select(*columns).hint("rebalance", F.col(partition_col)), merged_path
-    )
-    if is_path:
-        writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(partition_col).parquet(target)
-        return spark.read.schema(merged.schema).parquet(target)
-    _overwrite_partitions(spark, merged_path, merged.schema, target)
-    return spark.table(target)
-
-
-def _overwrite_partitions(spark: SparkSession, path: str, schema, table: str) -> None:
-    """Replace exactly the partitions of the table that the files at ``path`` hold.
+    with staged(new, "upsert-new") as (rows, _):
+        if check_unique:
+            _refuse_duplicates(rows, keys)
+        current = spark.read.schema(new.schema).parquet(target) if is_path else spark.table(target)
+        replaced = rows.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+        kept = _touched(current, rows, partition_col).join(replaced, _same_keys(keys), "left_anti")
+        merged = kept.unionByName(rows).select(*current.columns)
+        merged = merged.hint("rebalance", F.col(partition_col))
+        with staged(merged, "upsert-merged") as (result, path):
+            if is_path:
+                writer = result.write.mode("overwrite")
+                writer = writer.option("partitionOverwriteMode", "dynamic")
+                writer.partitionBy(partition_col).parquet(target)
+            else:
+                _overwrite_partitions(result, path, target)
+    return spark.read.schema(new.schema).parquet(target) if is_path else spark.table(target)
+
+
+def _overwrite_partitions(result: DataFrame, path: str, table: str) -> None:
+    """Replace exactly the partitions of the table that ``result``, at ``path``, has rows of.
 
     Inserting into a catalog table heeds the overwrite mode of the session only, not
     that of the write, so this happens in a session of its own over the same catalog.
     """
+    spark = result.sparkSession
     if "." not in table:
         table = f"{spark.catalog.currentDatabase()}.{table}"
     own = prepare(spark.newSession())
     own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    own.read.schema(schema).parquet(path).write.mode("overwrite").insertInto(table)
+    files = own.read.schema(result.schema).parquet(path)
+    files.write.mode("overwrite").insertInto(table)
     spark.catalog.refreshTable(table)
 
 

@@ -11,14 +11,14 @@ from stratiform.sinks import (
     ensure_namespace,
     publish_table,
     publish_view,
-    stage,
+    staged,
     verify_readable,
     write_partitioned,
     write_table,
     write_v2,
 )
 from stratiform.sources.readers import plan_text
-from stratiform.storage import is_v2
+from stratiform.storage import is_v2, path_exists
 
 DAYS = "SELECT date_add(date'2024-01-01', cast(id % 4 as int)) d, id, id % 10 k FROM range(400)"
 
@@ -139,9 +139,14 @@ def test_append_to_a_partitioned_table(spark, namespace):
     verify_readable(spark, name)
 
 
-def test_stage_cuts_lineage(spark):
-    staged = stage(spark.range(10).selectExpr("id * 2 v"), "t")
-    assert "Range" not in plan_text(staged) and staged.count() == 10
+def test_staged_rows_have_no_lineage_and_go_afterwards(spark):
+    with staged(spark.range(10).selectExpr("id * 2 v"), "t") as (frame, path):
+        assert "Range" not in plan_text(frame) and frame.count() == 10
+        assert path_exists(spark, path)
+    assert not path_exists(spark, path)
+    with pytest.raises(RuntimeError), staged(spark.range(1), "t") as (_, path):
+        raise RuntimeError
+    assert path_exists(spark, path)
 
 
 def test_namespace(spark, tmp_path):

@@ -13,6 +13,8 @@ from stratiform.session import (
     fresh_path,
     session_conf,
     shared_dir,
+    shuffle_partitions,
+    size_shuffles,
 )
 from stratiform.sources import (
     PartitionFilterRequired,
@@ -204,6 +206,20 @@ def test_session_conf():
         session_conf(catalog="w")
 
 
+def test_shuffles_start_as_wide_as_their_input(spark, tmp_path):
+    assert shuffle_partitions(0) == 200
+    assert shuffle_partitions(10**12) == 3726
+    assert shuffle_partitions(10**15) == 50_000
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    size_shuffles(spark, [str(tmp_path)])
+    assert spark.conf.get(initial, None) is None  # this session sets its own number
+    fresh = spark.newSession()
+    fresh.conf.unset("spark.sql.shuffle.partitions")
+    if fresh.conf.get("spark.sql.shuffle.partitions", None) is None:
+        size_shuffles(fresh, [str(tmp_path), f"{tmp_path}/missing"])
+        assert fresh.conf.get(initial) == "200"
+
+
 def test_shared_dir_is_the_one_the_session_names(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
