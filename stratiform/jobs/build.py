@@ -1,8 +1,11 @@
 """Run the layers or the tagged models of an environment.
 
-    spark-submit -m stratiform.jobs.build --env dev --raw-root s3a://raw layers --to 03_gold
-    spark-submit -m stratiform.jobs.build --env prod --raw-root s3a://raw models --tags prod
-    spark-submit -m stratiform.jobs.build --env prod smoke --table curated_prod.sample_curated
+    spark-submit --py-files stratiform.zip stratiform/jobs/build.py \\
+        --env dev --raw-root s3a://raw layers --to 03_gold
+    spark-submit --py-files stratiform.zip stratiform/jobs/build.py \\
+        --env prod --raw-root s3a://raw models --tags prod
+    spark-submit --py-files stratiform.zip stratiform/jobs/build.py \\
+        --env prod smoke --table curated_prod.sample_curated
 
 Exit codes: 0 done, 1 failed; ``smoke`` gives the code of the check.
 """

@@ -1,7 +1,7 @@
 """Copy a table into a catalog table.
 
-    spark-submit -m stratiform.jobs.copy_table --source raw_ext_dev.sample_ext \\
-        --catalog warehouse --namespace curated_iceberg_dev --table sample_ext
+    spark-submit --py-files stratiform.zip stratiform/jobs/copy_table.py \\
+        --source raw_ext_dev.sample_ext --catalog warehouse --namespace curated_iceberg_dev --table sample_ext
 
 Exit codes: 0 done, 1 failed, 2 the target catalog is not configured.
 """

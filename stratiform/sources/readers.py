@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.config import EnvConfig
-from stratiform.storage import path_exists
+from stratiform.storage import is_v2, path_exists
 
 
 class PartitionFilterRequired(ValueError):
@@ -56,24 +56,41 @@ def read_partitioned(
     With ``require_filter`` the read is refused unless Spark can use the predicate
     to skip partitions, so nobody scans the whole history by accident.
     """
+    v2_table = False
     if isinstance(source, DataFrame):
         df = source
     elif "/" in source:
         df = spark.read.parquet(source)
     else:
         df = spark.read.table(source)
+        v2_table = is_v2(spark, source)
     if where is not None:
         df = df.where(where)
-    if require_filter and not prunes_partitions(df):
-        raise PartitionFilterRequired("filter on a partition column, or lift the guard")
+    if require_filter:
+        named = v2_table and names_column(where, partition_columns(spark, source))
+        if not (named or prunes_partitions(df)):
+            raise PartitionFilterRequired("filter on a partition column, or lift the guard")
     return df
 
 
 def prunes_partitions(df: DataFrame) -> bool:
-    """Whether the scan in the plan has a filter on partition columns."""
+    """Whether the file scan in the plan has a filter on partition columns."""
     return re.search(r"PartitionFilters: \[[^\]]", plan_text(df)) is not None
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def names_column(where: Column | None, columns: list[str]) -> bool:
+    """Whether a predicate mentions one of the columns.
+
+    V2 tables plan their pruning out of sight of the scan's description, so for them
+    this has to do.
+    """
+    return any(re.search(rf"\b{re.escape(c)}\b", str(where)) for c in columns)
+
+
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     out = io.StringIO()
     with contextlib.redirect_stdout(out):

@@ -91,6 +91,20 @@ def test_partition_values_go_to_few_files(spark, tmp_path):
     assert len(glob.glob(f"{path}/d=*/*.parquet")) == 4
 
 
+def test_a_partition_with_too_many_rows_is_cut(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    day = "if(id % 3 = 0, date'2024-01-01', date_add(date'2024-01-02', cast(id % 9 as int))) d"
+    df = spark.range(0, 900_000, 1, 8).selectExpr(day, "id", "hash(id) k")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "256k")
+    try:
+        out = write_partitioned(df, path, partition_by=["d"])
+    finally:
+        spark.conf.unset(key)
+    assert len(glob.glob(f"{path}/d=2024-01-01/*.parquet")) > 3
+    assert out.agg(F.count(F.lit(1)), F.count_distinct("id")).first() == (900_000, 900_000)
+
+
 def test_clustered_files_have_narrow_ranges(spark, tmp_path):
     path = f"{tmp_path}/t"
     df = spark.range(0, 100_000, 1, 8).selectExpr("cast(hash(id) as bigint) k", "id")

@@ -34,7 +34,7 @@ from stratiform.sources import (
     register_sources,
     seed_raw,
 )
-from stratiform.sources.readers import plan_text
+from stratiform.sources.readers import names_column, partition_columns, plan_text
 
 
 @pytest.fixture
@@ -140,6 +140,14 @@ def test_guarded_read(spark, partitioned):
     assert not EnvConfig("dev").require_partition_filter
 
 
+def test_partition_columns_in_predicates(spark, namespace):
+    spark.sql(f"CREATE TABLE {namespace}.days (v INT, d DATE) USING parquet PARTITIONED BY (d)")
+    columns = partition_columns(spark, f"{namespace}.days")
+    assert columns == ["d"]
+    assert names_column(F.col("d") > dt.date(2024, 1, 1), columns)
+    assert not names_column(F.col("v") > 1, columns) and not names_column(None, columns)
+
+
 def test_queries_tables_and_previews(spark, namespace):
     spark.range(20).write.saveAsTable(f"{namespace}.numbers")
     table = read_table(spark, f"{namespace}.numbers")
