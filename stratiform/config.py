@@ -33,7 +33,6 @@ class EnvConfig:
 
     env: str = "dev"
     catalog: str | None = None
-    raw_root: str | None = None
     curated_root: str | None = None
     sources: tuple = field(default_factory=tuple)
     enable_sales_orders: bool = False

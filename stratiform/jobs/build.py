@@ -69,7 +69,6 @@ def main(argv: list[str] | None = None) -> int:
     cfg = EnvConfig(
         env=args.env,
         catalog=args.catalog,
-        raw_root=args.raw_root,
         curated_root=args.curated_root,
         sources=default_sources(args.raw_root) if args.raw_root else (),
         enable_sales_orders=not args.no_sales_orders,

@@ -91,32 +91,49 @@ def publish_table(
     """Full refresh of a table: write, audit, then publish.
 
     The checks run on the files just written. Only if they hold does the table
-    change, by pointing the catalog at the new files, so a failed run leaves the
-    published table alone and data is written once. The files of the version before
+    change: the new files are declared as a table under another name, which then takes
+    the place of the published one. That moves no data, so data is written once, and a
+    run that fails leaves the published table alone. The files of the version before
     are removed afterwards unless ``keep_previous``.
     """
     spark = df.sparkSession
     if is_v2(spark, table):
         return _publish_v2(df, table, checks, partition_by, cluster_by, comment, properties)
+    table = table.removeprefix("spark_catalog.")  # a rename takes no catalog name there
     namespace, name = _split(spark, table)
     root = spark.catalog.getDatabase(namespace).locationUri.rstrip("/")
     location = f"{root}/{name}__{uuid.uuid4().hex}"
     written = write_partitioned(df, location, partition_by=partition_by, cluster_by=cluster_by)
     _audit(written, checks, table, location)
     previous = _own_location(spark, table)
+    _create_table(
+        df,
+        f"{table}__next",
+        location,
+        partition_by,
+        comment,
+        {**(properties or {}), _LOCATION: location},
+    )
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
+    if previous and not keep_previous:
+        delete_path(spark, previous)
+    return spark.table(table)
+
+
+def _create_table(df, table, location, partition_by, comment, properties) -> None:
+    """Declare files already written as a table of the session catalog."""
+    spark = df.sparkSession
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(
         f"CREATE TABLE {table} ({df.schema.toDDL()}) USING parquet"
         + (f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else "")
         + f" LOCATION {_text(location)}"
         + (f" COMMENT {_text(comment)}" if comment else "")
-        + f" TBLPROPERTIES ({_pairs({**(properties or {}), _LOCATION: location})})"
+        + f" TBLPROPERTIES ({_pairs(properties)})"
     )
     if partition_by:
         spark.catalog.recoverPartitions(table)
-    if previous and not keep_previous:
-        delete_path(spark, previous)
-    return spark.table(table)
 
 
 def write_v2(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.config import OPTIONAL_SOURCES, EnvConfig
+from stratiform.sources.readers import read_partitioned
 
 # Source format names and the Spark readers behind them.
 FORMATS = {
@@ -60,8 +61,19 @@ def enabled_sources(cfg: EnvConfig) -> tuple[RawSource, ...]:
     return tuple(s for s in cfg.sources if s.name not in OPTIONAL_SOURCES)
 
 
-def read_raw(spark: SparkSession, source: RawSource) -> DataFrame:
-    """Lazy scan of a source; the schema comes from the files unless it is given."""
+def read_raw(spark: SparkSession, source: RawSource, where: Column | None = None) -> DataFrame:
+    """Lazy scan of a source; the schema comes from the files unless it is given.
+
+    A source that requires a partition filter is only read with a ``where`` that names
+    some of its ``key=value`` folders.
+    """
+    df = _scan(spark, source)
+    if where is None and not source.require_partition_filter:
+        return df
+    return read_partitioned(spark, df, where, require_filter=source.require_partition_filter)
+
+
+def _scan(spark: SparkSession, source: RawSource) -> DataFrame:
     reader = spark.read.format(FORMATS[source.format])
     if source.base_path:
         reader = reader.option("basePath", source.base_path)
@@ -98,9 +110,15 @@ def _reader_is_missing(err: Exception) -> bool:
 
 
 def register_sources(spark: SparkSession, cfg: EnvConfig) -> list[str]:
-    """Make each enabled source a temp view of the raw namespace; returns their names."""
+    """Make each enabled source a temp view of the raw namespace; returns their names.
+
+    Sources that require a partition filter are left to ``read_raw``: nothing could
+    demand the filter from a query on a view.
+    """
     names = []
     for source in enabled_sources(cfg):
+        if source.require_partition_filter:
+            continue
         view = cfg.view("raw_ext", source.name)
         read_raw(spark, source).createOrReplaceTempView(view)
         names.append(view)

@@ -68,6 +68,13 @@ def test_failed_audit_leaves_the_published_table_alone(spark, namespace):
     assert not spark.catalog.tableExists(f"{namespace}.other")
 
 
+def test_a_leftover_of_a_failed_publication_is_no_obstacle(spark, namespace):
+    spark.range(3).write.saveAsTable(f"{namespace}.t__next")
+    publish_table(spark.range(5), f"{namespace}.t")
+    assert spark.table(f"{namespace}.t").count() == 5
+    assert [t.name for t in spark.catalog.listTables(namespace) if not t.isTemporary] == ["t"]
+
+
 def test_refresh_from_its_own_rows(spark, namespace):
     name = f"{namespace}.t"
     publish_table(spark.range(5), name)

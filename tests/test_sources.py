@@ -140,6 +140,18 @@ def test_guarded_read(spark, partitioned):
     assert not EnvConfig("dev").require_partition_filter
 
 
+def test_guarded_source(spark, partitioned):
+    source = RawSource("fct", (partitioned,), require_partition_filter=True)
+    with pytest.raises(PartitionFilterRequired):
+        read_raw(spark, source)
+    with pytest.raises(PartitionFilterRequired):
+        read_raw(spark, source, F.col("v") > 1)
+    assert read_raw(spark, source, F.col("d") == dt.date(2024, 1, 2)).first().v == 2
+    free = RawSource("free", (partitioned,))
+    assert read_raw(spark, free, F.col("v") > 1).count() == 2
+    assert register_sources(spark, EnvConfig(sources=(source, free))) == ["raw_ext_dev_free"]
+
+
 def test_partition_columns_in_predicates(spark, namespace):
     spark.sql(f"CREATE TABLE {namespace}.days (v INT, d DATE) USING parquet PARTITIONED BY (d)")
     columns = partition_columns(spark, f"{namespace}.days")
