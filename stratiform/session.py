@@ -49,7 +49,7 @@ REQUIRED_SIZING = (
 
 # A table with many small partitions is slow to write in few tasks, however little
 # data it is, so shuffled partitions are merged down to a lower floor than usual.
-MERGE_FLOOR = ("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
+MERGE_FLOOR = ("spark.sql.adaptive.coalescePartitions.minPartitionSize", "4k")
 
 # What every job relies on, whatever its size.
 ENGINE_CONF = {
