@@ -8,8 +8,8 @@ the vocabulary strings of the ids together again, as the vocabulary's own decode
 where it names none: with one space between.
 
 Pieces are cut at white space and merges never cross it, so each different piece is worked
-out once per task and looked up after that; the table of pieces is emptied when full,
-which changes no result. Rows are independent: no shuffle, nothing to skew.
+out once and looked up after that; what was not looked up for long is forgotten and worked
+out anew, which changes no result. Rows are independent: no shuffle, nothing to skew.
 
 Null is an empty text with no ids. Repeated rows, ties and other columns need no care; an
 empty table gives an empty table.
@@ -19,17 +19,18 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
+from itertools import pairwise
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 VOCABULARY = "word_bpe_49k.json"
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 _GAPS = regex.compile(r"\p{White_Space}+")
@@ -54,69 +55,99 @@ class Bpe:
         model = spec["model"]
         self.end = model["end_of_word_suffix"] or ""
         self.ids: dict[str, int] = model["vocab"]
-        pairs = (tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"])
-        self.ranks = {pair: rank for rank, pair in enumerate(pairs)}
+        ids = self.ids
+        pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
+        pairs = [tuple(pair) for pair in pairs]
+        self._ranks = {ids[a] << 16 | ids[b]: rank for rank, (a, b) in enumerate(pairs)}
+        self._made = [ids[a + b] for a, b in pairs]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings = {i: s for s, i in [*self.ids.items(), *self.special.items()]}
-        self.symbols = _byte_symbols()
+        symbols = _byte_symbols()
+        self._inner = [ids[s] for s in symbols]
+        self._last = [ids[s + self.end] for s in symbols]
         self._special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self._known: dict[str, tuple[list[int], str, str]] = {}
-
-    def merged(self, piece: str) -> list[str]:
-        """The symbols of one piece after all merges."""
-        symbols = [self.symbols[b] for b in piece.encode("utf-8", "surrogatepass")]
-        symbols[-1] += self.end
+        self._known: dict[str, tuple[tuple[int, ...], str, str]] = {}
+        self._older = self._known
+        self._pieces: dict[str, tuple[int, ...]] = {}
+
+    def merged(self, piece: str) -> tuple[int, ...]:
+        """The ids of one piece after all merges.
+
+        A queue entry is merge rank and place in one number; ``waiting`` has the rank that
+        a place now offers, so an entry with another rank is stale.
+        """
+        raw = piece.encode("utf-8", "surrogatepass")
+        inner, rank_of, made, push, pop = self._inner, self._ranks.get, self._made, heappush, heappop
+        symbols = [inner[b] for b in raw]
+        symbols[-1] = self._last[raw[-1]]
         size = len(symbols)
+        waiting = [rank_of(a << 16 | b, -1) for a, b in pairwise(symbols)]
+        waiting.append(-1)
+        queue = [rank << 24 | k for k, rank in enumerate(waiting) if rank >= 0]
+        if not queue:
+            return tuple(symbols)
+        heapify(queue)
         before = list(range(-1, size - 1))
-        after = [*range(1, size), -1]
-        queue: list[tuple[int, int, str, str]] = []
-
-        def offer(left: int, right: int) -> None:
-            if left >= 0 and right >= 0:
-                rank = self.ranks.get((symbols[left], symbols[right]))
-                if rank is not None:
-                    heapq.heappush(queue, (rank, left, symbols[left], symbols[right]))
-
-        for k in range(size - 1):
-            offer(k, k + 1)
+        after = list(range(1, size + 1))
         while queue:
-            _, left, first, second = heapq.heappop(queue)
+            entry = pop(queue)
+            left, rank = entry & 0xFFFFFF, entry >> 24
+            if waiting[left] != rank:
+                continue
+            symbol = symbols[left] = made[rank]
             right = after[left]
-            if right < 0 or symbols[left] != first or symbols[right] != second:
-                continue  # stale: one of the two was merged before
-            symbols[left] = first + second
-            symbols[right] = ""
-            after[left] = after[right]
-            if after[right] >= 0:
-                before[after[right]] = left
-            offer(before[left], left)
-            offer(left, after[left])
-        return [s for s in symbols if s]
+            symbols[right] = waiting[right] = -1
+            following = after[left] = after[right]
+            if following < size:
+                before[following] = left
+                rank = waiting[left] = rank_of(symbol << 16 | symbols[following], -1)
+                if rank >= 0:
+                    push(queue, rank << 24 | left)
+            else:
+                waiting[left] = -1
+            previous = before[left]
+            if previous >= 0:
+                rank = waiting[previous] = rank_of(symbols[previous] << 16 | symbol, -1)
+                if rank >= 0:
+                    push(queue, rank << 24 | previous)
+        return tuple([s for s in symbols if s >= 0])
 
     def _encode_chunk(self, chunk: str) -> list[int]:
         """Ids of a run without white space."""
         out: list[int] = []
-        for part in self._special.split(chunk):
+        for part in self._special.split(chunk) if "<|" in chunk else (chunk,):
             if part in self.special:
                 out.append(self.special[part])
                 continue
-            plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-            for piece in _PIECE.findall(plain):
-                out += [self.ids[s] for s in self.merged(piece)]
+            if part.isascii():
+                plain = part.lower()
+            else:
+                plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+            for piece in (plain,) if plain.isalpha() else _PIECE.findall(plain):
+                ids = self._pieces.get(piece)
+                if ids is None:
+                    ids = self.merged(piece)
+                    if len(piece) < 30:
+                        self._pieces[piece] = ids
+                out += ids
+        if len(self._pieces) > REMEMBERED:
+            self._pieces = {}
         return out
 
-    def _chunk(self, chunk: str) -> tuple[list[int], str, str]:
-        ids = self._encode_chunk(chunk)
-        known = (ids, " ".join(map(str, ids)), self.decode(ids))
-        if len(self._known) >= REMEMBERED:
-            self._known.clear()
-        if len(chunk) < 200:
+    def _chunk(self, chunk: str) -> tuple[tuple[int, ...], str, str]:
+        known = self._older.get(chunk)
+        if known is None:
+            ids = tuple(self._encode_chunk(chunk))
+            known = (ids, " ".join(map(str, ids)), self.decode(ids))
+        if len(chunk) < 30:
             self._known[chunk] = known
         return known
 
-    def chunks(self, text: str) -> list[tuple[list[int], str, str]]:
+    def chunks(self, text: str) -> list[tuple[tuple[int, ...], str, str]]:
         """Per run without white space: its ids, these as text, and the decoded text."""
         runs = _GAPS.split(text) if _SEPARATORS.search(text) else text.split()
+        if len(self._known) > REMEMBERED:
+            self._older, self._known = self._known, {}
         get, make = self._known.get, self._chunk
         return [k for run in runs if run and (k := get(run) or make(run))[0]]
 

@@ -15,21 +15,25 @@ a window fills as many windows as it needs. An empty table gives an empty table.
 
 from __future__ import annotations
 
+import functools
+import os
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.bpe import encoder
+from stratiform.llm.bpe import VOCABULARY
 from stratiform.llm.common import staged
 
 WINDOW = 2048
 CLOSING_ID = 1
 SHARD_TOKENS = 2_000_000
 QUERY_TERMS = 12
+REMEMBERED = 400_000
 K1, B = 1.2, 0.75
 
 _TOKENS = "doc_id bigint, ids binary, n bigint"
@@ -39,21 +43,73 @@ _PIECES = (
 )
 
 
+class Words:
+    """Ids of whole texts, one look-up per different word of a batch.
+
+    The vocabulary drops white space and joins nothing across it, so the ids of a text are
+    those of its words. New words go to the tokenizer together.
+    """
+
+    def __init__(self, path: str | None = None):
+        from tokenizers import Tokenizer
+
+        if path is None:
+            import public_tokenizers
+
+            path = public_tokenizers.path(VOCABULARY)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
+        self.known: dict[str, bytes] = {}
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        return {w: np.array(e.ids, "<u2").tobytes() for w, e in zip(new, found, strict=True)}
+
+    def ids(self, texts: pa.Array) -> list[bytes]:
+        texts = pc.fill_null(texts, "")
+        # These part words for Arrow or for the tokenizer, not for both.
+        texts = pc.replace_substring_regex(texts, r"[\x{85}\x{1680}\x{2028}\x{2029}]", " ")
+        parts = pc.utf8_split_whitespace(texts)
+        coded = parts.flatten().dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        if len(self.known) > REMEMBERED:
+            self.known = {}
+        new = self._learn([w for w in different if w not in self.known])
+        self.known.update(new)
+        raw = [self.known[w] for w in different]
+        code = coded.indices.to_numpy()
+        bounds = parts.offsets.to_numpy()
+        bounds = bounds - bounds[0]
+        out = []
+        odd = pc.match_substring_regex(texts, r"[\x1c-\x1f]").to_pylist()
+        for k, strange in enumerate(odd):
+            if strange:
+                out.append(self._learn([texts[k].as_py()]).popitem()[1])
+            else:
+                out.append(b"".join([raw[c] for c in code[bounds[k] : bounds[k + 1]].tolist()]))
+        return out
+
+
+@functools.lru_cache(maxsize=2)
+def _words(path: str | None) -> Words:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Words(path)
+
+
 def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Ids of each document as little-endian unsigned 16-bit numbers, the closing id last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path)
+        coder = _words(path)
+        closing = np.array([CLOSING_ID], "<u2").tobytes()
         for batch in batches:
-            ids = [
-                np.array([*coder.encode(t.as_py() or ""), CLOSING_ID], "<u2")
-                for t in batch.column("text")
-            ]
+            ids = [x + closing for x in coder.ids(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array([x.tobytes() for x in ids], pa.binary()),
-                    pa.array([len(x) for x in ids], pa.int64()),
+                    pa.array(ids, pa.binary()),
+                    pa.array([len(x) // 2 for x in ids], pa.int64()),
                 ],
                 ["doc_id", "ids", "n"],
             )

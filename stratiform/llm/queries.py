@@ -2,18 +2,41 @@
 
 from __future__ import annotations
 
-from stratiform.llm import bpe, exact_dedup, packing, quality_rules
+from stratiform.llm import (
+    bpe,
+    exact_dedup,
+    html_extraction,
+    language_id,
+    packing,
+    quality_classifier,
+    quality_rules,
+    url_filters,
+)
 from stratiform.llm.common import read
 
 
+def op1_html_extraction(spark, sf_dir):
+    return html_extraction.extract(read(spark, sf_dir, "pages"))
+
+
 def op2_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark, sf_dir):
+    found = language_id.language_id(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_bpe(spark, sf_dir):
     return bpe.bpe(read(spark, sf_dir, "documents"))
 
 
+def op7_url_filters(spark, sf_dir):
+    judged = url_filters.url_filter(read(spark, sf_dir, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -33,11 +56,20 @@ def op9_quality_rules(spark, sf_dir):
     )
 
 
+def op10_quality_classifier(spark, sf_dir):
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return quality_classifier.quality(docs, labels)
+
+
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_packing": op2_packing,
+    "op3_language_id": op3_language_id,
     "op6_bpe": op6_bpe,
+    "op7_url_filters": op7_url_filters,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_rules": op9_quality_rules,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 _WS = r"[\x20\x09-\x0D]+"
