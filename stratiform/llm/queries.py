@@ -6,6 +6,7 @@ from stratiform.llm import (
     bpe,
     exact_dedup,
     html_extraction,
+    jaccard_join,
     language_id,
     packing,
     quality_classifier,
@@ -28,6 +29,10 @@ def op3_language_id(spark, sf_dir):
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_join(read(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark, sf_dir):
     return bpe.bpe(read(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_packing": op2_packing,
     "op3_language_id": op3_language_id,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_bpe": op6_bpe,
     "op7_url_filters": op7_url_filters,
     "op8_exact_dedup": op8_exact_dedup,
