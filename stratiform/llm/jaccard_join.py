@@ -38,12 +38,17 @@ from stratiform.llm.graph import components
 # Documents link when 100 * intersection >= PERCENT * union.
 PERCENT = 90
 WIDTH = 3
-PIVOT_SHARE = 0.15
+PIVOT_SHARE = 1.5  # of the hash space, times the share of shingles that a partner may lack
 TASK_ELEMENTS = 4_000_000  # shingles of one region in one task
 PIVOTS = 8
 LEAF = 24
 
 
+def _below(percent: int) -> Column:
+    """The bound of the hashes of shingle pivots."""
+    return F.lit(-(1 << 63) + int(PIVOT_SHARE * (100 - percent) / 100 * (1 << 64)))
+
+
 def shingles(text: Column, width: int = WIDTH) -> Column:
     """Sorted hashes of the distinct shingles of a text, in lower case for A to Z."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -264,7 +269,7 @@ def _divided(points: DataFrame, percent: int, limit: int, rounds: int = 4) -> Da
 
 def _regions(classes: DataFrame, percent: int) -> DataFrame:
     """``node`` and ``root`` of the points whose windows over shingle pivots meet."""
-    below = F.lit(-(1 << 63) + int(PIVOT_SHARE * (1 << 64)))
+    below = _below(percent)
     lacking = F.col("n") - F.ceil(F.col("n") * percent / 100)
     pivots = F.filter("some", lambda h: h < below)
     levels = F.array(
@@ -296,10 +301,15 @@ def _regions(classes: DataFrame, percent: int) -> DataFrame:
     return components(checkpointed(members.join(several, "key")))
 
 
-def jaccard_join(docs: DataFrame, percent: int = PERCENT, limit: int = TASK_ELEMENTS) -> DataFrame:
-    """``doc_id``, size of its set and its component, one row per document."""
-    every = shingles(F.col("text"))
-    below = F.lit(-(1 << 63) + int(PIVOT_SHARE * (1 << 64)))
+def jaccard_join(
+    docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, limit: int = TASK_ELEMENTS
+) -> DataFrame:
+    """``doc_id``, size of its set and its component, one row per document.
+
+    ``percent`` has to be over 33, so that the pivots are not more than all shingles.
+    """
+    every = shingles(F.col("text"), width)
+    below = _below(percent)
     lacking = F.size("every") - F.ceil(F.size("every") * percent / 100)
     few = F.size("pivots") <= lacking
     points = (
@@ -329,7 +339,7 @@ def jaccard_join(docs: DataFrame, percent: int = PERCENT, limit: int = TASK_ELEM
         .select(
             F.col("root").cast("string").alias("region"),
             F.col("node").alias("doc_id"),
-            shingles(F.col("text")).alias("shingles"),
+            shingles(F.col("text"), width).alias("shingles"),
         )
         .dropDuplicates(["doc_id"])
     )

@@ -15,6 +15,7 @@ they come: repeated rows stay repeated, other columns stay as they are, a clashi
 
 from __future__ import annotations
 
+import operator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -26,24 +27,39 @@ from stratiform.llm.common import let, words
 SYMBOLS = "#*$%&|<>"
 
 
+_OPERATORS = {"<": operator.lt, ">": operator.gt, ">=": operator.ge, "=": operator.eq}
+
+
 @dataclass(frozen=True)
 class Rule:
-    """A document fails where the SQL condition over the measurements holds."""
+    """A document fails where all comparisons hold: factor, measurement, operator, factor,
+    and the measurement or 1 that the second factor goes with."""
 
     name: str
-    fails: str
+    comparisons: tuple[tuple[int, str, str, int, str], ...]
+
+    @property
+    def sql(self) -> str:
+        return " and ".join(f"{a} * {x} {op} {b} * {y}" for a, x, op, b, y in self.comparisons)
+
+    def fails(self, measured: dict[str, Column]) -> Column:
+        one = {**measured, "1": F.lit(1)}
+        return reduce(
+            operator.and_,
+            [_OPERATORS[op](one[x] * a, one[y] * b) for a, x, op, b, y in self.comparisons],
+        )
 
 
 # The place in this list is the bit, so new rules go to the end.
 RULES = (
-    Rule("few_words", "n_words < 50"),
-    Rule("repeated_words", "100 * n_repeat_words > 50 * n_words"),
-    Rule("symbols", "100 * n_symbols > 10 * word_chars"),
-    Rule("repeated_lines", "100 * n_dup_lines > 30 * n_lines"),
-    Rule("short_words", "word_chars < 2 * n_words"),
-    Rule("long_words", "word_chars > 25 * n_words"),
-    Rule("shouting", "10 * n_marks > 5 * n_words"),
-    Rule("no_sentence", "n_words >= 100 and n_stops = 0"),
+    Rule("few_words", ((1, "n_words", "<", 50, "1"),)),
+    Rule("repeated_words", ((100, "n_repeat_words", ">", 50, "n_words"),)),
+    Rule("symbols", ((100, "n_symbols", ">", 10, "word_chars"),)),
+    Rule("repeated_lines", ((100, "n_dup_lines", ">", 30, "n_lines"),)),
+    Rule("short_words", ((1, "word_chars", "<", 2, "n_words"),)),
+    Rule("long_words", ((1, "word_chars", ">", 25, "n_words"),)),
+    Rule("shouting", ((10, "n_marks", ">", 5, "n_words"),)),
+    Rule("no_sentence", ((1, "n_words", ">=", 100, "1"), (1, "n_stops", "=", 0, "1"))),
 )
 BIT = {rule.name: 1 << k for k, rule in enumerate(RULES)}
 BASE = ("few_words", "repeated_words")
@@ -104,32 +120,68 @@ def _repeat_words(w: Column) -> Column:
     )
 
 
+MEASUREMENTS = (
+    "n_words",
+    "word_chars",
+    "n_symbols",
+    "n_marks",
+    "n_stops",
+    "n_lines",
+    "n_dup_lines",
+    "n_repeat_words",
+)
+
+
+def _measured(text: Column) -> Column:
+    """A struct of the measurements of a text and its failures.
+
+    All of it is one expression whose parts are named by ``let``. Split over columns, a
+    filter on the outcome would be pushed below them and copy the words into every use.
+    """
+    white = " \t\n\x0b\f\r"
+
+    def of(parts):
+        whole, w, lines = parts["t"], parts["w"], parts["lines"]
+        return F.struct(
+            F.size(w).cast("bigint").alias("n_words"),
+            F.length(F.translate(whole, white, "")).cast("bigint").alias("word_chars"),
+            _count(whole, SYMBOLS).alias("n_symbols"),
+            _count(whole, "!").alias("n_marks"),
+            _count(whole, ".。?…।۔").alias("n_stops"),
+            F.size(lines).cast("bigint").alias("n_lines"),
+            (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
+            _repeat_words(w).alias("n_repeat_words"),
+        )
+
+    def with_failures(m):
+        each = {name: m[name] for name in MEASUREMENTS}
+        bits = [F.when(r.fails(each), F.lit(BIT[r.name])).otherwise(F.lit(0)) for r in RULES]
+        failures = reduce(lambda a, b: a.bitwiseOR(b), bits).cast("bigint")
+        return F.struct(*[m[name].alias(name) for name in MEASUREMENTS], failures.alias("failures"))
+
+    whole = F.coalesce(text, F.lit(""))
+    lines = F.filter(F.split(whole, "\n"), lambda x: F.translate(x, white, "") != "")
+    parts = F.struct(whole.alias("t"), words(text).alias("w"), lines.alias("lines"))
+    return let(let(parts, of), with_failures)
+
+
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows with their measurements and ``failures``, one bit per failed rule."""
-    whole = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(whole, "\n"), lambda x: F.translate(x, " \t\n\x0b\f\r", "") != "")
-    measured = docs.withColumns({"_words": words(F.col(text)), "_lines": lines}).withColumns(
-        {
-            "n_words": F.size("_words").cast("bigint"),
-            "word_chars": F.length(F.translate(whole, " \t\n\x0b\f\r", "")).cast("bigint"),
-            "n_symbols": _count(whole, SYMBOLS),
-            "n_marks": _count(whole, "!"),
-            "n_stops": _count(whole, ".。?…।۔"),
-            "n_lines": F.size("_lines").cast("bigint"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
-            "n_repeat_words": _repeat_words(F.col("_words")),
-        }
-    )
-    bits = [F.when(F.expr(r.fails), F.lit(BIT[r.name])).otherwise(F.lit(0)) for r in RULES]
-    failures = reduce(lambda a, b: a.bitwiseOR(b), bits).cast("bigint")
-    return measured.drop("_words", "_lines").withColumn("failures", failures)
+    rows = docs.withColumn("_ledger", _measured(F.col(text)))
+    names = [*MEASUREMENTS, "failures"]
+    return rows.withColumns({n: F.col("_ledger")[n] for n in names}).drop("_ledger")
 
 
 def judged(rows: DataFrame, policy: str = "v2") -> DataFrame:
     """The ledger with ``base_failed`` and ``kept`` as the policy decides."""
-    base = F.col("failures").bitwiseAND(F.lit(sum(BIT[n] for n in BASE))) != 0
-    rejected = F.col("failures").bitwiseAND(F.lit(mask(policy))) != 0
-    return rows.withColumns({"base_failed": base, "kept": ~(base | rejected)})
+    base = sum(BIT[name] for name in BASE)
+    failures = F.col("failures")
+    return rows.withColumns(
+        {
+            "base_failed": failures.bitwiseAND(F.lit(base)) != 0,
+            "kept": failures.bitwiseAND(F.lit(base | mask(policy))) == 0,
+        }
+    )
 
 
 def ablation(rows: DataFrame, policy: str = "v2") -> DataFrame:

@@ -11,6 +11,7 @@ from stratiform.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    suffix_dedup,
     url_filters,
 )
 from stratiform.llm.common import read
@@ -29,6 +30,10 @@ def op3_language_id(spark, sf_dir):
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op4_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.suffix_dedup(read(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op5_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_join(read(spark, sf_dir, "documents"))
 
@@ -70,6 +75,7 @@ QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_packing": op2_packing,
     "op3_language_id": op3_language_id,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_bpe": op6_bpe,
     "op7_url_filters": op7_url_filters,
@@ -106,7 +112,7 @@ _LEDGER = rf"""
                cast(coalesce(covered.n, 0) as bigint) as n_repeat_words
         from docs left join covered using (doc_id)
     ), ledger as (
-        select *, {" + ".join(f"case when {r.fails} then {quality_rules.BIT[r.name]} else 0 end" for r in quality_rules.RULES)}
+        select *, {" + ".join(f"case when {r.sql} then {quality_rules.BIT[r.name]} else 0 end" for r in quality_rules.RULES)}
                   as failures
         from measured
     )
