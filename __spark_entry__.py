@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import importlib.util
 import uuid
 from collections.abc import Callable
 
@@ -56,6 +57,12 @@ from stratiform.sources import (
     read_raw,
 )
 
+# The training-data operators can be taken out as a whole; all else here does without.
+_LLM = all(importlib.util.find_spec(m) for m in ("stratiform.llm", "corpus_pipeline"))
+if _LLM:
+    import corpus_pipeline
+    from stratiform.llm import queries as llm_queries
+
 AS_OF = dt.date(2001, 8, 1)
 RANGE = (dt.date(1998, 1, 1), dt.date(1998, 3, 31))
 CLOCKS = ("load_ts", "ingestion_ts", "ingested_at", "enriched_ts", "built_ts")
@@ -412,7 +419,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
         return run
 
-    return {name: prepared(query) for name, query in _QUERIES.items()}
+    found = {name: prepared(query) for name, query in _QUERIES.items()}
+    if _LLM:
+        found |= {name: prepared(query) for name, query in llm_queries.QUERIES.items()}
+        found["pipeline"] = prepared(corpus_pipeline.run)
+    return found
 
 
 _RAW_ORDERS = """
@@ -508,7 +519,10 @@ def oracle_sql() -> dict[str, str]:
     gold_dirty = _GOLD.format(env="dev")
     start, end = (f"date '{d}'" for d in RANGE)
     today = f"date '{AS_OF}'"
-    return {
+    extra = dict(llm_queries.ORACLE_SQL) if _LLM else {}
+    if _LLM and corpus_pipeline.ORACLE_SQL:
+        extra["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return extra | {
         "raw_scan": "select event_id, ts, user_id, event_type, value from events",
         "scan_csv": _RAW_SAMPLE,
         "scan_json": _RAW_SAMPLE,
