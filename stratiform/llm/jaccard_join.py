@@ -4,14 +4,15 @@ The distance of two documents is one minus the Jaccard index of their sets of wo
 shingles; documents within ``EPS`` link. The join goes through three kinds of regions:
 
 1. Equal sets are one point. Its smallest id stands for all of them.
-2. Unrelated documents are all at distance 1 of each other, where document pivots cannot
+2. Unrelated documents are all at distance 1 from each other, where document pivots cannot
    tell them apart. The first pivots therefore are single shingles, of a fixed share of the
    hash space. A point lies in the region of its rarest pivot shingle, and the window of
    links that its partners can lack, a tenth of its shingles, copies it to the regions of
    the next ones. Copies are ids only; a point whose windows hold no one else is done. Too
    few pivots in a point: it also takes part in a round where every shingle is one.
-3. Points whose windows meet, directly or through others, are a region of documents. Its
-   pivots are documents: each point goes to its nearest pivot's Voronoi region, and to every
+3. Points whose windows meet, directly or through others, are a region of documents. In it,
+   windows are drawn again over all shingles of its points, with their rarity in the region.
+   What still hangs together has documents as pivots: each point goes to its nearest pivot's Voronoi region, and to every
    region whose pivot is at most ``2 * EPS`` further away, which by the triangle inequality
    holds all its partners. Regions are joined again, in the same way, down to leaves that
    are compared pair by pair, except for pairs that are already connected. Regions too
@@ -95,7 +96,8 @@ class Region:
 
     def __init__(self, sets: list[np.ndarray], percent: int):
         self.sizes = np.array([len(s) for s in sets])
-        every, self.flat = np.unique(np.concatenate(sets), return_inverse=True)
+        every, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        self.flat = flat.astype(np.int32)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.mark = np.zeros(len(every), bool)
         self.percent = percent
@@ -105,12 +107,14 @@ class Region:
         """Size of the intersection of one set with each of some others."""
         own = self.flat[self.starts[pivot] : self.starts[pivot] + self.sizes[pivot]]
         self.mark[own] = True
-        sizes = self.sizes[points]
-        ends = np.cumsum(sizes)
-        at = np.repeat(self.starts[points] - (ends - sizes), sizes) + np.arange(ends[-1])
-        found = np.add.reduceat(self.mark[self.flat[at]], ends - sizes, dtype=np.int64)
+        found = []
+        for part in np.array_split(points, 1 + int(self.sizes[points].sum()) // 1_000_000):
+            sizes = self.sizes[part]
+            ends = np.cumsum(sizes)
+            at = np.repeat(self.starts[part] - (ends - sizes), sizes) + np.arange(ends[-1])
+            found.append(np.add.reduceat(self.mark[self.flat[at]], ends - sizes, dtype=np.int64))
         self.mark[own] = False
-        return found
+        return np.concatenate(found)
 
     def measure(self, pivot: int, points: np.ndarray) -> np.ndarray:
         """Distances to a pivot; what is within reach is linked to it."""
@@ -136,9 +140,31 @@ class Region:
             if len(others):
                 self.measure(p, others)
 
-    def join(self, points: np.ndarray) -> None:
+    def met(self) -> list[np.ndarray]:
+        """Points whose windows over all their shingles, the rarest first, meet."""
+        often = np.bincount(self.flat)
+        rank = np.empty(len(often), np.int64)
+        rank[np.argsort(often, kind="stable")] = np.arange(len(often))
+        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        order = np.lexsort((rank[self.flat], owner))
+        lacking = self.sizes - -(-self.sizes * self.percent // 100)
+        inside = np.arange(len(order)) - self.starts[owner] <= lacking[owner]
+        shingle, owner = self.flat[order[inside]], owner[inside]
+        shared = often[shingle] > 1
+        shingle, owner = shingle[shared], owner[shared]
+        order = np.argsort(shingle, kind="stable")
+        same = shingle[order[1:]] == shingle[order[:-1]]
+        near = Links(len(self.sizes))
+        for a, b in zip(owner[order[:-1]][same].tolist(), owner[order[1:]][same].tolist(), strict=True):
+            near.join(a, b)
+        roots = near.roots(np.arange(len(self.sizes)))
+        order = np.argsort(roots, kind="stable")
+        cuts = np.flatnonzero(np.diff(roots[order])) + 1
+        return [g for g in np.split(order, cuts) if len(g) > 1]
+
+    def join(self) -> None:
         """Voronoi regions with windows, recursively."""
-        todo = [points]
+        todo = self.met()
         while todo:
             points = todo.pop()
             if len(points) < 2 or not self.apart(points):
@@ -170,7 +196,7 @@ def _linked(percent: int):
         order = np.argsort(np.array(ids), kind="stable")
         ids = np.array(ids)[order]
         held = Region([sets[k] for k in order], percent)
-        held.join(np.arange(len(ids)))
+        held.join()
         roots = held.links.roots(np.arange(len(ids)))
         columns = [pa.array(ids), pa.array(ids[roots])]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "root"])
@@ -221,12 +247,21 @@ def _windows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
 def _divided(points: DataFrame, percent: int, limit: int, rounds: int = 4) -> DataFrame:
     """Regions that fit into a task, from points of regions that do not.
 
-    Each round takes pivots by a hash of the id, in proportion to the region, and deals the
-    points into the windows of the pivots. What is left too large after the rounds is cut
-    into blocks, and every pair of blocks is a region.
+    Points that hang together only by common shingles are first told apart by windows over
+    all their shingles. Then each round takes pivots by a hash of the id, in proportion to the
+    region, and deals the points into the windows of the pivots. What the pivots do not divide
+    is cut into blocks, and every pair of blocks is a region.
     """
-    done, sets = None, points.select(*_POINTS).dropDuplicates(["doc_id"])
-    here = points.select("region", "doc_id", F.size("shingles").alias("n"))
+    done, sets = None, points.select(*_POINTS)
+    full = sets.select(
+        "doc_id",
+        F.size("shingles").alias("n"),
+        F.col("shingles").alias("some"),
+        F.lit(True).alias("whole"),
+    )
+    apart = _regions(full, percent, only_whole=True)
+    sized = apart.join(full.select(F.col("doc_id").alias("node"), "n"), "node")
+    here = checkpointed(sized.select(F.col("root").cast("string").alias("region"), F.col("node").alias("doc_id"), "n"))
     for _ in range(rounds):
         total = here.groupBy("region").agg(F.sum("n").alias("total"))
         sized = checkpointed(here.join(total, "region"))
@@ -251,7 +286,11 @@ def _divided(points: DataFrame, percent: int, limit: int, rounds: int = 4) -> Da
         )
         moved = both.mapInArrow(lambda b: _windows(b, percent), "region string, doc_id bigint")
         size_of = sets.select("doc_id", F.size("shingles").alias("n"))
-        here = checkpointed(moved.join(size_of, "doc_id"))
+        moved = checkpointed(moved.join(size_of, "doc_id"))
+        here = large.select("region", "doc_id", "n")
+        if moved.count() >= 3 * here.count():
+            break  # pivots do not divide these
+        here = moved
     total = here.groupBy("region").agg(F.sum("n").alias("total"))
     sized = here.join(total, "region")
     fits = sized.where(F.col("total") <= limit).select("region", "doc_id")
@@ -267,15 +306,16 @@ def _divided(points: DataFrame, percent: int, limit: int, rounds: int = 4) -> Da
     return done.unionByName(fits).unionByName(paired)
 
 
-def _regions(classes: DataFrame, percent: int) -> DataFrame:
+def _regions(classes: DataFrame, percent: int, only_whole: bool = False) -> DataFrame:
     """``node`` and ``root`` of the points whose windows over shingle pivots meet."""
     below = _below(percent)
     lacking = F.col("n") - F.ceil(F.col("n") * percent / 100)
     pivots = F.filter("some", lambda h: h < below)
-    levels = F.array(
+    levels = [
         F.struct(F.lit(0).alias("level"), pivots.alias("own")),
         F.struct(F.lit(1).alias("level"), F.when(F.col("whole"), F.col("some")).alias("own")),
-    )
+    ]
+    levels = F.array(*(levels[1:] if only_whole else levels))
     rows = classes.select("doc_id", lacking.alias("lacking"), F.explode(levels).alias("l"))
     rows = rows.where(F.size("l.own") > 0).select(
         "doc_id",
