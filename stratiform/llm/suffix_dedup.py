@@ -6,17 +6,20 @@ order of suffixes is never built for the whole table, only for the places that c
 1. Seeds. In every string of ``LENGTH`` bytes the place with the least hash among its first
    ``WINDOW`` is its seed, so equal strings have their seed at the same offset. The
    ``CONTEXT`` bytes from the seed name it. A name that occurs once rules out all strings
-   with this seed. Names and places alone are counted.
-2. Shards. Around each seed whose name occurs again, the bytes that its strings cover are
-   cut out and dealt and sorted by name. The sorted shuffle is the queue on disk: it spills,
-   merges, and hands the suffix tuples to a task in order, so a shard is read in chunks of
-   bounded size, each with whole names.
+   with this seed. All bytes that the strings of a seed cover are its variant, known by a
+   fingerprint. Names, variants and places alone are counted, with partial aggregation: a
+   passage that a third of all texts share is one row per task. A variant that occurs
+   again is repeated as a whole, and only one of it goes on.
+2. Shards. Where a name has several variants, their bytes are cut out and dealt and sorted
+   by name. The sorted shuffle is the queue on disk: it spills, merges, and hands the suffix
+   tuples to a task in order, so a shard is read in chunks of bounded size, each with whole
+   names.
 3. Induction. In a chunk the suffixes at the seeds are sorted, with the length of the
    prefix each has in common with the one before. The suffixes one byte further left
    follow from them: walked in order, they fall into buckets by their new first byte, and
    keep their order there; common prefixes are one longer than the least one in between.
    So it goes on, byte by byte. A string is repeated where a neighbour has ``LENGTH`` bytes in common.
-4. A name that fills more than ``HOT`` places would be a group without a bound. Its strings
+4. A name with more than ``HOT`` variants would be a group without a bound. Its strings
    are counted by 128-bit fingerprints instead, with partial aggregation.
 
 Copies of a whole text are found by two hashes of it and its length: a text that occurs
@@ -41,8 +44,8 @@ LENGTH = 400
 WINDOW = 340
 CONTEXT = LENGTH - WINDOW + 1
 HOT = 40_000
-CHUNK_BYTES = 16 * 1024**2
-SLICE_BYTES = 2 * 1024**2
+CHUNK_BYTES = 6 * 1024**2
+SLICE_BYTES = 512 * 1024
 _GRAM = 8
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD2 = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -110,7 +113,9 @@ def _each(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
         start = stop
 
 
-_SEEDS = "key bigint, c1 bigint, c2 bigint, place bigint, first bigint, last bigint"
+_SEEDS = (
+    "key bigint, f1 bigint, f2 bigint, c1 bigint, c2 bigint, place bigint, first bigint, last bigint"
+)
 
 
 def _seeds_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,13 +125,25 @@ def _seeds_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = _long_seeds(data, cuts) if len(data) >= 1 << 24 else seeds(data, cuts)
             owner, place, first, last, name = found
             rows = owner + start
-            columns = (name.view(np.int64), c1[rows], c2[rows], place, first, last)
+            raw, base = data.tobytes(), cuts[owner]
+            prints = _digests(raw, base + first, base + last + LENGTH, place - first)
+            columns = (name.view(np.int64), *prints, c1[rows], c2[rows], place, first, last)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in columns],
                 [c.split()[0] for c in _SEEDS.split(", ")],
             )
 
 
+def _digests(raw: bytes, starts: np.ndarray, stops: np.ndarray, left: np.ndarray):
+    """Fingerprints of ranges of bytes and of where in them the seed is."""
+    code = hashlib.blake2b
+    each = zip(starts.tolist(), stops.tolist(), left.tolist(), strict=True)
+    joined = b"".join(
+        [code(raw[a:b], digest_size=16, salt=n.to_bytes(8, "little")).digest() for a, b, n in each]
+    )
+    return np.frombuffer(joined, "<i8").reshape(-1, 2).T
+
+
 def _long_seeds(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, ...]:
     """The same for one text of any length, in parts that overlap by a string."""
     step, parts = 1 << 22, []
@@ -223,7 +240,7 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c1, c2, content, own in zip(*columns, strict=True):
             text = content.as_py()
             for s in own.as_py():
-                part = text[s["first"] : s["place"] + LENGTH]
+                part = text[s["first"] : s["last"] + LENGTH]
                 size += len(part)
                 rows.append((s["key"], c1.as_py(), c2.as_py(), s["place"], s["first"], s["last"], part))
             if size > SLICE_BYTES:
@@ -347,21 +364,32 @@ def suffix_dedup(
     )
     schema = _RESULT + (f", carried {coded.schema['carried'].dataType.simpleString()}" if carry else "")
     code = ["c1", "c2"]
-    owners = coded.groupBy(*code, "n_bytes").agg(
+    whole = [*code, "n_bytes"]
+    owners = coded.groupBy(*whole).agg(
         F.count("*").alias("copies"), F.min("doc_id").alias("owner")
     )
     owners = staged(owners, "owners")
     long_ = coded.where(F.col("n_bytes") >= LENGTH)
-    found = long_.select("content", *code).mapInArrow(_seeds_of, _SEEDS)
-    found = staged(found.dropDuplicates(["key", *code, "place"]), "seeds")
-    often = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    again = found.join(often, "key").withColumn("hot", F.col("n") > hot)
+    found = staged(long_.select("content", *code).mapInArrow(_seeds_of, _SEEDS), "seeds")
+    where = [*code, "place", "first", "last"]
+    variant = ["key", "f1", "f2"]
+    # Any seed of a variant will do for it: their bytes are the same.
+    variants = found.groupBy(*variant).agg(
+        F.count("*").alias("n"), *[F.first(c).alias(c) for c in where]
+    )
+    variants = staged(variants, "variants")
+    several = variants.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    several = staged(several.select("key", (F.col("n") > hot).alias("hot")), "names")
+    twice = variants.where("n > 1").select(*variant)
+    runs = found.join(twice, variant).select(
+        *code, F.col("first").alias("start"), (F.col("last") + LENGTH).alias("stop")
+    )
+    again = variants.select("key", *where).join(several, "key")
     seed = F.struct("key", "place", "first", "last", "hot")
-    by_text = again.groupBy(*code).agg(F.collect_list(seed).alias("seeds"))
-    by_text = by_text.join(owners.select(*code, "owner"), code)
-    ids = long_["doc_id"].eqNullSafe(by_text["owner"])
-    same = (long_["c1"] == by_text["c1"]) & (long_["c2"] == by_text["c2"]) & ids
-    texts = long_.join(by_text, same).select(long_["c1"], long_["c2"], "content", "seeds")
+    by_text = again.groupBy(*code).agg(F.collect_list(seed).alias("seeds")).join(owners, code)
+    # The texts are shuffled once: this join and the last one deal them in the same way.
+    texts = coded.join(by_text, whole).where(coded["doc_id"].eqNullSafe(F.col("owner")))
+    texts = texts.select(*coded.columns, "seeds")
     parts = "key bigint, c1 bigint, c2 bigint, place bigint, first bigint, last bigint, bytes binary"
 
     def cut(some):
@@ -369,8 +397,8 @@ def suffix_dedup(
         return texts.withColumn("seeds", own).where(F.size("seeds") > 0).mapInArrow(_cut_out, parts)
 
     dealt = cut(lambda s: ~s["hot"]).repartition("key").sortWithinPartitions("key")
-    runs = dealt.mapInArrow(_induce, _RUNS)
-    if often.where(F.col("n") > hot).limit(1).count():
+    runs = runs.unionByName(dealt.mapInArrow(_induce, _RUNS))
+    if several.where("hot").limit(1).count():
         prints = cut(lambda s: s["hot"]).mapInArrow(
             _fingerprints, "h1 bigint, h2 bigint, c1 bigint, c2 bigint, start bigint"
         )
@@ -381,14 +409,14 @@ def suffix_dedup(
         )
         runs = runs.unionByName(single)
     spans = runs.groupBy(*code).agg(
-        F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("runs")
+        F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("runs")
     )
-    known = owners.select(*code, "n_bytes", (F.col("copies") > 1).alias("copied")).join(
+    known = owners.select(*whole, (F.col("copies") > 1).alias("copied")).join(
         spans, code, "left"
     )
     known = known.where(F.col("copied") | F.col("runs").isNotNull())
     return (
-        coded.join(known, [*code, "n_bytes"], "left")
+        coded.join(known, whole, "left")
         .select("doc_id", "content", "n_bytes", "copied", "runs", *(["carried"] if carry else []))
         .mapInArrow(_kept(with_text, bool(carry)), schema)
     )
