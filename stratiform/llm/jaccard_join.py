@@ -8,7 +8,8 @@ shingles; documents within ``EPS`` link. The join goes through three kinds of re
    tell them apart. The first pivots therefore are single shingles, of a fixed share of the
    hash space. A point lies in the region of its rarest pivot shingle, and the window of
    links that its partners can lack, a tenth of its shingles, copies it to the regions of
-   the next ones. Copies are ids only; a point whose windows hold no one else is done. Too
+   the next ones. Sizes are distances from the empty set: regions are cut into rings of
+   sizes, and a point near the upper edge of its ring is also in the next one. Copies are ids only; a point whose windows hold no one else is done. Too
    few pivots in a point: it also takes part in a round where every shingle is one.
 3. Points whose windows meet, directly or through others, are a region of documents. In it,
    windows are drawn again over all shingles of its points, with their rarity in the region.
@@ -42,6 +43,7 @@ WIDTH = 3
 PIVOT_SHARE = 1.5  # of the hash space, times the share of shingles that a partner may lack
 TASK_ELEMENTS = 4_000_000  # shingles of one region in one task
 PIVOTS = 8
+RING = 0.3  # width of a ring of sizes, as a logarithm
 LEAF = 24
 
 
@@ -316,26 +318,36 @@ def _regions(classes: DataFrame, percent: int, only_whole: bool = False) -> Data
         F.struct(F.lit(1).alias("level"), F.when(F.col("whole"), F.col("some")).alias("own")),
     ]
     levels = F.array(*(levels[1:] if only_whole else levels))
-    rows = classes.select("doc_id", lacking.alias("lacking"), F.explode(levels).alias("l"))
-    rows = rows.where(F.size("l.own") > 0).select(
+    # Partners differ in size by the share at most, so a point meets them in its own ring of
+    # sizes, or in the next one that the largest of them can be in.
+    ring = F.sequence(
+        F.floor(F.log("n") / RING), F.floor((F.log(F.col("n") * 100 / percent) + 1e-9) / RING)
+    )
+    rows = (
+        classes.select("doc_id", lacking.alias("lacking"), ring.alias("rings"), F.explode(levels).alias("l"))
+        .where(F.size("l.own") > 0)
+        .select("doc_id", "lacking", F.explode("rings").alias("ring"), "l")
+    )
+    # One number names level, ring and shingle; should two meet in it, regions get larger.
+    rows = rows.select(
         "doc_id",
         (F.col("lacking") + 1 - F.size("l.own")).alias("spare"),
-        F.col("l.level").alias("level"),
+        (F.col("ring") * 2 + F.col("l.level")).cast("int").alias("round"),
         F.explode("l.own").alias("pivot"),
-    )
-    often = rows.groupBy("level", "pivot").agg(F.count("*").alias("df")).where("df > 1")
+    ).withColumn("key", F.xxhash64("round", "pivot")).drop("pivot")
+    often = rows.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
     # Pivots of no one else come first in every window, so only their number matters.
     ranked = (
-        rows.join(often, ["level", "pivot"])
-        .groupBy("doc_id", "level", "spare")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "pivot"))).alias("shared"))
+        rows.join(often, "key")
+        .groupBy("doc_id", "round", "spare")
+        .agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("shared"))
         .withColumn("window", F.col("spare") + F.size("shared"))
         .where("window > 0")
     )
     window = F.slice("shared", F.lit(1), F.col("window").cast("int"))
-    members = ranked.select(
-        F.col("doc_id").alias("node"), "level", F.explode(window).alias("p")
-    ).select("node", F.struct("level", F.col("p.pivot").alias("pivot")).alias("key"))
+    members = ranked.select(F.col("doc_id").alias("node"), F.explode(window).alias("p")).select(
+        "node", F.col("p.key").alias("key")
+    )
     members = staged(members, "windows")
     several = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     return components(checkpointed(members.join(several, "key")))
