@@ -22,7 +22,7 @@ order of suffixes is never built for the whole table, only for the places that c
 4. A name with more than ``HOT`` variants would be a group without a bound. Its strings
    are counted by 128-bit fingerprints instead, with partial aggregation.
 
-Copies of a whole text are found by two hashes of it and its length: a text that occurs
+Texts go by two hashes, of 96 bits together, and their length: a text that occurs
 more than once goes whole if it has ``LENGTH`` bytes, and takes part once. Null is an
 empty text; shorter texts than ``LENGTH`` stay whole. Repeated rows are copies. Other columns
 are not read. An empty table gives an empty table.
@@ -114,7 +114,7 @@ def _each(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
 
 
 _SEEDS = (
-    "key bigint, f1 bigint, f2 bigint, c1 bigint, c2 bigint, place bigint, first bigint, last bigint"
+    "key bigint, f1 bigint, c1 bigint, c2 int, place bigint, first bigint, last bigint"
 )
 
 
@@ -127,10 +127,9 @@ def _seeds_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = owner + start
             raw, base = data.tobytes(), cuts[owner]
             prints = _digests(raw, base + first, base + last + LENGTH, place - first)
-            columns = (name.view(np.int64), *prints, c1[rows], c2[rows], place, first, last)
+            columns = (name.view(np.int64), prints, c1[rows], c2[rows], place, first, last)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns],
-                [c.split()[0] for c in _SEEDS.split(", ")],
+                [pa.array(c) for c in columns], [c.split()[0] for c in _SEEDS.split(", ")]
             )
 
 
@@ -139,9 +138,9 @@ def _digests(raw: bytes, starts: np.ndarray, stops: np.ndarray, left: np.ndarray
     code = hashlib.blake2b
     each = zip(starts.tolist(), stops.tolist(), left.tolist(), strict=True)
     joined = b"".join(
-        [code(raw[a:b], digest_size=16, salt=n.to_bytes(8, "little")).digest() for a, b, n in each]
+        [code(raw[a:b], digest_size=8, salt=n.to_bytes(8, "little")).digest() for a, b, n in each]
     )
-    return np.frombuffer(joined, "<i8").reshape(-1, 2).T
+    return np.frombuffer(joined, "<i8")
 
 
 def _long_seeds(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -228,7 +227,7 @@ class Chunk:
         return rows, longer
 
 
-_RUNS = "c1 bigint, c2 bigint, start bigint, stop bigint"
+_RUNS = "c1 bigint, c2 int, start bigint, stop bigint"
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,8 +251,9 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True))
-    arrays = [pa.array(c, pa.int64()) for c in columns[:-1]]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(columns[-1], pa.binary())], names)
+    kinds = [pa.int32() if n == "c2" else pa.int64() for n in names[:-1]]
+    arrays = [pa.array(c, k) for c, k in zip(columns, [*kinds, pa.binary()], strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names)
 
 
 def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,8 +268,10 @@ def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = np.array([r[1:4] for r in rows], np.int64).reshape(-1, 3)
         c1, c2, place = codes[row].T
         columns = (c1, c2, place - last, place - first + LENGTH)
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()) for c in columns], ["c1", "c2", "start", "stop"]
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+            ["c1", "c2", "start", "stop"],
         )
 
     for batch in batches:
@@ -298,8 +300,10 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 h1 = int.from_bytes(code[:8], signed=True)
                 out.append((h1, int.from_bytes(code[8:], signed=True), c1, c2, first + k))
         columns = zip(*out, strict=True) if out else [()] * 5
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()) for c in columns], ["h1", "h2", "c1", "c2", "start"]
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+            ["h1", "h2", "c1", "c2", "start"],
         )
 
 
@@ -359,7 +363,7 @@ def suffix_dedup(
         text.cast("binary").alias("content"),
         F.octet_length(text).cast("bigint").alias("n_bytes"),
         F.xxhash64(text).alias("c1"),
-        F.xxhash64(F.lit(1), text).alias("c2"),
+        F.hash(text).alias("c2"),
         *extra,
     )
     schema = _RESULT + (f", carried {coded.schema['carried'].dataType.simpleString()}" if carry else "")
@@ -370,9 +374,11 @@ def suffix_dedup(
     )
     owners = staged(owners, "owners")
     long_ = coded.where(F.col("n_bytes") >= LENGTH)
-    found = staged(long_.select("content", *code).mapInArrow(_seeds_of, _SEEDS), "seeds")
+    found = long_.select("content", *code).mapInArrow(_seeds_of, _SEEDS)
+    names = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    found = staged(found.join(names, "key"), "seeds")
     where = [*code, "place", "first", "last"]
-    variant = ["key", "f1", "f2"]
+    variant = ["key", "f1"]
     # Any seed of a variant will do for it: their bytes are the same.
     variants = found.groupBy(*variant).agg(
         F.count("*").alias("n"), *[F.first(c).alias(c) for c in where]
@@ -390,7 +396,7 @@ def suffix_dedup(
     # The texts are shuffled once: this join and the last one deal them in the same way.
     texts = coded.join(by_text, whole).where(coded["doc_id"].eqNullSafe(F.col("owner")))
     texts = texts.select(*coded.columns, "seeds")
-    parts = "key bigint, c1 bigint, c2 bigint, place bigint, first bigint, last bigint, bytes binary"
+    parts = "key bigint, c1 bigint, c2 int, place bigint, first bigint, last bigint, bytes binary"
 
     def cut(some):
         own = F.filter("seeds", some)
@@ -400,7 +406,7 @@ def suffix_dedup(
     runs = runs.unionByName(dealt.mapInArrow(_induce, _RUNS))
     if several.where("hot").limit(1).count():
         prints = cut(lambda s: s["hot"]).mapInArrow(
-            _fingerprints, "h1 bigint, h2 bigint, c1 bigint, c2 bigint, start bigint"
+            _fingerprints, "h1 bigint, h2 bigint, c1 bigint, c2 int, start bigint"
         )
         prints = staged(prints, "fingerprints")
         twice = prints.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1")
