@@ -88,7 +88,7 @@ class Links:
 
     def roots(self, points: np.ndarray) -> np.ndarray:
         found = self.root[points]
-        while (further := self.root[found]).tolist() != found.tolist():
+        while not np.array_equal(further := self.root[found], found):
             found = further
         return found
 
@@ -131,12 +131,21 @@ class Region:
         return bool((roots != roots[0]).any())
 
     def pairs(self, points: np.ndarray) -> None:
-        """Every pair that is not connected yet and whose sizes allow a link."""
-        points = points[np.argsort(self.sizes[points], kind="stable")]
-        sizes = self.sizes[points]
-        for k, p in enumerate(points[:-1].tolist()):
-            stop = np.searchsorted(sizes, sizes[k] * 100 / self.percent, "right")
-            others = points[k + 1 : stop]
+        """Every pair whose windows meet, unless it is connected or its sizes forbid a link."""
+        wanted = np.zeros(len(self.sizes), bool)
+        wanted[points] = True
+        for p in points.tolist():
+            wanted[p] = False
+            spans = [self.owner[a:b] for a, b in self.spans[self.first[p] : self.first[p + 1]]]
+            if not spans:
+                continue
+            others = np.unique(np.concatenate(spans))
+            others = others[wanted[others]]
+            size = self.sizes[others]
+            near = 100 * np.minimum(size, self.sizes[p]) >= self.percent * np.maximum(
+                size, self.sizes[p]
+            )
+            others = others[near]
             if len(others):
                 others = others[self.links.roots(others) != self.links.find(p)]
             if len(others):
@@ -154,7 +163,14 @@ class Region:
         shingle, owner = self.flat[order[inside]], owner[inside]
         shared = often[shingle] > 1
         shingle, owner = shingle[shared], owner[shared]
+        # per point, from its first on: where the points of each shingle of its window are
         order = np.argsort(shingle, kind="stable")
+        by_shingle = shingle[order]
+        self.owner = owner[order]
+        self.spans = np.stack(
+            [np.searchsorted(by_shingle, shingle, side) for side in ("left", "right")], 1
+        )
+        self.first = np.searchsorted(owner, np.arange(len(self.sizes) + 1))
         same = shingle[order[1:]] == shingle[order[:-1]]
         near = Links(len(self.sizes))
         for a, b in zip(owner[order[:-1]][same].tolist(), owner[order[1:]][same].tolist(), strict=True):
@@ -182,7 +198,8 @@ class Region:
             reach = distances.min(1) + 2 * (1 - self.percent / 100) + 1e-9
             windows = [points[distances[:, k] <= reach] for k in range(PIVOTS)]
             windows = list({w.tobytes(): w for w in windows}.values())
-            if sum(len(w) for w in windows) >= 3 * len(points) or len(windows[0]) == len(points):
+            sizes = [len(w) for w in windows]
+            if 2 * sum(sizes) > 3 * len(points) or 3 * max(sizes) > 2 * len(points):
                 self.pairs(points)  # pivots do not divide these
             else:
                 todo += windows
