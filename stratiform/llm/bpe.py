@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 
 VOCABULARY = "word_bpe_49k.json"
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 _GAPS = regex.compile(r"\p{White_Space}+")

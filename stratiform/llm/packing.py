@@ -16,8 +16,8 @@ a window fills as many windows as it needs. An empty table gives an empty table.
 from __future__ import annotations
 
 import functools
-import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,14 +26,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.bpe import VOCABULARY
+from stratiform.llm.bpe import VOCABULARY, Bpe, _byte_symbols
 from stratiform.llm.common import staged
 
 WINDOW = 2048
 CLOSING_ID = 1
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS = 1_000_000
 QUERY_TERMS = 12
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+ROWS = 1_000  # texts worked on at a time
 K1, B = 1.2, 0.75
 
 _TOKENS = "doc_id bigint, ids binary, n bigint"
@@ -43,28 +44,38 @@ _PIECES = (
 )
 
 
+class _LibraryBpe(Bpe):
+    """The same cutting into pieces, each merged by the tokenizers library."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        super().__init__(path)
+        self._model = Tokenizer.from_file(path).model
+        self._names = dict(enumerate(_byte_symbols()))
+
+    def merged(self, piece: str) -> tuple[int, ...]:
+        raw = piece.encode("utf-8", "surrogatepass").decode("latin-1")
+        return tuple([t.id for t in self._model.tokenize(raw.translate(self._names))])
+
+
 class Words:
     """Ids of whole texts, one look-up per different word of a batch.
 
     The vocabulary drops white space and joins nothing across it, so the ids of a text are
-    those of its words. New words go to the tokenizer together.
+    those of its words.
     """
 
     def __init__(self, path: str | None = None):
-        from tokenizers import Tokenizer
-
         if path is None:
             import public_tokenizers
 
             path = public_tokenizers.path(VOCABULARY)
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
+        self.coder = _LibraryBpe(path)
         self.known: dict[str, bytes] = {}
 
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        return {w: np.array(e.ids, "<u2").tobytes() for w, e in zip(new, found, strict=True)}
+    def _learn(self, word: str) -> bytes:
+        return array("H", self.coder._encode_chunk(word)).tobytes()
 
     def ids(self, texts: pa.Array) -> list[bytes]:
         texts = pc.fill_null(texts, "")
@@ -75,8 +86,9 @@ class Words:
         different = coded.dictionary.to_pylist()
         if len(self.known) > REMEMBERED:
             self.known = {}
-        new = self._learn([w for w in different if w not in self.known])
-        self.known.update(new)
+        for word in different:
+            if word not in self.known:
+                self.known[word] = self._learn(word)
         raw = [self.known[w] for w in different]
         code = coded.indices.to_numpy()
         bounds = parts.offsets.to_numpy()
@@ -85,7 +97,7 @@ class Words:
         odd = pc.match_substring_regex(texts, r"[\x1c-\x1f]").to_pylist()
         for k, strange in enumerate(odd):
             if strange:
-                out.append(self._learn([texts[k].as_py()]).popitem()[1])
+                out.append(array("H", self.coder.encode(texts[k].as_py())).tobytes())
             else:
                 out.append(b"".join([raw[c] for c in code[bounds[k] : bounds[k + 1]].tolist()]))
         return out
@@ -93,7 +105,6 @@ class Words:
 
 @functools.lru_cache(maxsize=2)
 def _words(path: str | None) -> Words:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Words(path)
 
 
@@ -103,7 +114,7 @@ def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _words(path)
         closing = np.array([CLOSING_ID], "<u2").tobytes()
-        for batch in batches:
+        for batch in (w.slice(k, ROWS) for w in batches for k in range(0, w.num_rows, ROWS)):
             ids = [x + closing for x in coder.ids(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [
