@@ -21,7 +21,6 @@ from stratiform.plans import (
     fct_orders_daily,
     int_orders_enriched,
     quality_report,
-    read_daily,
     run_layers,
     run_models,
     sample_curated,
@@ -89,7 +88,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _raw_scan(spark, sf_dir):
     source = RawSource("events_raw", (f"{sf_dir}/event[s].parquet",))
-    return read_raw(spark, source).select("event_id", "ts", "user_id", "event_type", "value")
+    return read_raw(spark, source)
 
 
 def _landed(spark, sf_dir, file_format, name, schema):
@@ -329,8 +328,7 @@ def _layered_run(spark, sf_dir):
 
 
 def _tagged_run(spark, sf_dir):
-    """All models tagged for production: some days of the fact by a guarded read, then
-    the later days as the enterprise table publishes them."""
+    """All models tagged for production; the enterprise table as it is published."""
     sources = _seeded(
         spark,
         sf_dir,
@@ -340,11 +338,7 @@ def _tagged_run(spark, sf_dir):
     )
     cfg = _sandbox(spark, "prod", sources=sources, enable_sales_orders=True)
     run_models(spark, cfg, ["prod"], as_of=AS_OF)
-    return read_daily(spark, cfg, F.col("order_date").between(*RANGE)).unionByName(
-        spark.table(cfg.table("enterprise", "enterprise_orders_daily")).where(
-            F.col("order_date") > RANGE[1]
-        )
-    )
+    return spark.table(cfg.table("enterprise", "enterprise_orders_daily"))
 
 
 # --- quality -----------------------------------------------------------------
@@ -355,7 +349,18 @@ def _assert_sample_not_null(spark, sf_dir):
 
 
 def _assert_orders_not_null(spark, sf_dir):
-    return _no_clock(checks.order_null_rows(_orders(spark, sf_dir)))
+    return _no_clock(checks.order_null_rows(src_raw_orders(raw_orders(spark, sf_dir))))
+
+
+def _assert_enterprise_keys(spark, sf_dir):
+    return checks.enterprise_null_rows(enterprise_orders_daily(_fct_orders_daily(spark, sf_dir)))
+
+
+def _int_orders_enriched_day(spark, sf_dir):
+    """One day of the join: the day reaches the scans of both sides."""
+    day = F.col("order_date") == F.lit(RANGE[0])
+    orders, transactions = _orders(spark, sf_dir), _transactions(spark, sf_dir)
+    return _no_clock(int_orders_enriched(orders, transactions, where=day))
 
 
 def _quality_checks(spark, sf_dir):
@@ -363,8 +368,7 @@ def _quality_checks(spark, sf_dir):
     gold = amount_by_name_gold(curated, "dev")
     own = checks.run_checks(curated, checks.sample_checks())
     report = own.unionAll(checks.run_checks(gold, checks.gold_checks()))
-    across = quality_report(curated, gold).where(F.col("check_name") == "negative_amounts")
-    return report.unionAll(across).select("check_name", "failing", "passed")
+    return report.unionAll(quality_report(curated, gold)).select("check_name", "failing", "passed")
 
 
 def _smoke_check(spark, sf_dir):
@@ -392,6 +396,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "casts_safe": _casts_safe,
     "int_orders_enriched": _int_orders_enriched,
     "int_orders_enriched_in_cells": _int_orders_enriched_in_cells,
+    "int_orders_enriched_day": _int_orders_enriched_day,
     "dim_customers": _dim_customers,
     "fct_orders_daily": _fct_orders_daily,
     "fct_orders_daily_window": _fct_orders_daily_window,
@@ -405,6 +410,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tagged_run": _tagged_run,
     "assert_sample_not_null": _assert_sample_not_null,
     "assert_orders_not_null": _assert_orders_not_null,
+    "assert_enterprise_keys": _assert_enterprise_keys,
     "quality_checks": _quality_checks,
     "smoke_check": _smoke_check,
 }
@@ -523,7 +529,7 @@ def oracle_sql() -> dict[str, str]:
     if _LLM and corpus_pipeline.ORACLE_SQL:
         extra["pipeline"] = corpus_pipeline.ORACLE_SQL
     return extra | {
-        "raw_scan": "select event_id, ts, user_id, event_type, value from events",
+        "raw_scan": "select * from events",
         "scan_csv": _RAW_SAMPLE,
         "scan_json": _RAW_SAMPLE,
         "scan_hive_partitions": "select event_id as id, event_type as name, value as amount, "
@@ -609,15 +615,30 @@ def oracle_sql() -> dict[str, str]:
         "append_load": _with(_STG_TRANSACTIONS, raw_transactions=_RAW_TRANSACTIONS),
         "copy_table": "select * from customer",
         "layered_run": _with(_GOLD.format(env="staging"), **clean),
-        "tagged_run": _with(
-            f"select * from daily where order_date >= {start}", **orders, daily=_DAILY
-        ),
+        "tagged_run": daily,
         "assert_sample_not_null": _with(
             "select id, name, amount, ts from sample_curated where id is null or name is null",
             **dirty,
         ),
         "assert_orders_not_null": _with(
-            "select * from stg_orders where order_id is null", **orders
+            """
+            select cast(id as varchar) as order_id, name as order_name,
+                   cast(amount as decimal(38, 9)) as order_amount,
+                   event_ts as order_ts, 'raw_ext' as record_source
+            from raw_orders where id is null
+            """,
+            raw_orders=_RAW_ORDERS,
+        ),
+        "assert_enterprise_keys": _with(
+            "select * from daily where order_date is null or customer_id is null",
+            **orders,
+            daily=_DAILY,
+        ),
+        "int_orders_enriched_day": _with(
+            f"select * from enriched where order_date = {start}",
+            **orders,
+            **transactions,
+            enriched=_ENRICHED,
         ),
         "quality_checks": _with(
             """
@@ -635,6 +656,12 @@ def oracle_sql() -> dict[str, str]:
                 where name is null
                 union all
                 select 'negative_amounts', count(*) from sample_curated where amount < 0
+                union all
+                select 'sample_curated_not_empty',
+                       case when count(*) = 0 then 1 else 0 end from sample_curated
+                union all
+                select 'amount_by_name_gold_not_empty',
+                       case when count(*) = 0 then 1 else 0 end from gold
             )
             """,
             **dirty,

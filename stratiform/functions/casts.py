@@ -77,6 +77,12 @@ def utc_date(timestamp: Column) -> Column:
 
 
 def _source_type(df: DataFrame, name: str, target: str) -> T.DataType:
+    """Type of the column; a number is no point in time and a point in time no number."""
     if target not in _CASTABLE:
         raise ValueError(f"unsupported target type {target!r}, expected one of {_CASTABLE}")
-    return df.schema[name].dataType
+    source = df.schema[name].dataType
+    numbers = (*_WHOLE, *_FRACTIONAL)
+    refused = {TIMESTAMP: numbers, INT64: _TEMPORAL, NUMERIC: _TEMPORAL}
+    if isinstance(source, refused.get(target, ())):
+        raise TypeError(f"{name}: no cast from {source.simpleString()} to {target}")
+    return source

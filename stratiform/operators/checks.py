@@ -82,10 +82,15 @@ def sample_null_rows(sample: DataFrame) -> DataFrame:
 
 
 def order_null_rows(orders: DataFrame) -> DataFrame:
-    """Offending rows: a staged order without id."""
+    """Offending rows: an order without id. Staging drops these, so ask before it."""
     return orders.where(F.col("order_id").isNull())
 
 
+def enterprise_null_rows(enterprise: DataFrame) -> DataFrame:
+    """Offending rows: a published daily row without one of its key columns."""
+    return enterprise.where(F.col("order_date").isNull() | F.col("customer_id").isNull())
+
+
 def sample_checks() -> list[Check]:
     return [
         Check.not_empty("sample_curated"),

@@ -4,9 +4,8 @@ Adaptive execution splits a skewed *left* side of a left outer join by itself. I
 cannot split the right side, because each left row must see all its matches to know
 that it has any. So right keys with very many rows take another way:
 
-* ``hot`` lists the right keys above ``hot_rows`` rows, the heaviest ``max_hot`` of
-  them. That bound makes it safe to broadcast. A heavy key that does not make the
-  list is still joined exactly, by the ordinary way.
+* ``hot`` lists all right keys above ``hot_rows`` rows. There are as many as that
+  goes into the right side at most; the optimizer broadcasts the list by its size or not.
 * All other keys: an ordinary left outer join.
 * Hot keys: the right rows are dealt into cells, the left rows are copied to each
   cell of their key, and an inner join runs per (key, cell). Inner is enough, for a
@@ -21,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,25 +30,28 @@ def fanout_left_join(
     on: Sequence[str],
     *,
     hot_rows: int = 1_000_000,
-    max_hot: int = 10_000,
     piece: int = 256,
+    where: Column | None = None,
 ) -> DataFrame:
     """All pairs of rows with equal, non-NULL keys, plus the left rows without any.
 
-    ``on`` names columns both sides have; their other columns must differ in name.
+    ``on`` names columns both sides have; their other columns must differ in name. ``where``
+    is a condition on columns of ``on``: it is put on both sides before keys are counted, so
+    that it reaches every scan.
     """
     on = list(on)
-    hot = F.broadcast(hot_keys(right, on, hot_rows=hot_rows, max_hot=max_hot))
+    if where is not None:
+        left, right = left.where(where), right.where(where)
+    hot = hot_keys(right, on, hot_rows=hot_rows)
     keys = hot.select(*on)
     ordinary = left.join(keys, on, "left_anti").join(right.join(keys, on, "left_anti"), on, "left")
     return ordinary.unionByName(_hot_pairs(left, right, hot, on, piece).select(*ordinary.columns))
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], *, hot_rows: int, max_hot: int) -> DataFrame:
+def hot_keys(df: DataFrame, on: Sequence[str], *, hot_rows: int) -> DataFrame:
     """Keys with more than ``hot_rows`` rows and the cells to deal each into.
 
-    Counting combines before it shuffles, so a hot key costs one row per task. The
-    order is total, hence the list is the same each time the plan computes it.
+    Counting combines before it shuffles, so a hot key costs one row per task.
     """
     complete = F.lit(True)
     for name in on:
@@ -59,8 +61,6 @@ def hot_keys(df: DataFrame, on: Sequence[str], *, hot_rows: int, max_hot: int) -
         .groupBy(*on)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), *on)
-        .limit(max_hot)
         .select(*on, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_cells"))
     )
 

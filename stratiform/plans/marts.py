@@ -23,17 +23,19 @@ def int_orders_enriched(
     *,
     at: dt.datetime | None = None,
     hot_rows: int = 1_000_000,
+    where: Column | None = None,
 ) -> DataFrame:
     """Each staged order with every transaction of its customer on its day.
 
     Orders without such a transaction stay, also those whose day or customer is
     NULL. Keys with more than ``hot_rows`` transactions are joined in cells.
+    ``where`` is a condition on day and customer that both sides are to meet.
     """
     left = orders.select("order_id", *FACT_KEYS, F.col("amount").alias("order_amount"))
     right = transactions.select(
         *FACT_KEYS, "transaction_id", F.col("amount").alias("transaction_amount")
     )
-    return fanout_left_join(left, right, FACT_KEYS, hot_rows=hot_rows).select(
+    return fanout_left_join(left, right, FACT_KEYS, hot_rows=hot_rows, where=where).select(
         "order_id",
         "customer_id",
         "order_date",

@@ -47,10 +47,6 @@ REQUIRED_SIZING = (
     "spark.executor.memory",
 )
 
-# A table with many small partitions is slow to write in few tasks, however little
-# data it is, so shuffled partitions are merged down to a lower floor than usual.
-MERGE_FLOOR = ("spark.sql.adaptive.coalescePartitions.minPartitionSize", "4k")
-
 # What every job relies on, whatever its size.
 ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -60,7 +56,6 @@ ENGINE_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
-    MERGE_FLOOR[0]: MERGE_FLOOR[1],
     # A map task recomputed after an executor loss may write its rows in another
     # order; compare checksums and rerun the consumers when contents differ.
     "spark.sql.shuffle.orderIndependentChecksum.enabled": "true",
@@ -118,25 +113,20 @@ def build_session(app_name: str, conf: dict[str, str] | None = None) -> SparkSes
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings the models need of any session.
 
-    Dates are UTC dates, so the zone is pinned before a timestamp becomes a date. The
-    floor for merging shuffled partitions stays as it is where the session sets one.
+    Dates are UTC dates, so the zone is pinned before a timestamp becomes a date.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    key, floor = MERGE_FLOOR
-    if spark.conf.get(key, None) is None:
-        spark.conf.set(key, floor)
     return spark
 
 
 # Adaptive execution merges small shuffle partitions but never adds any, so a shuffle
-# starts from a number that fits its input: this many bytes each, within these bounds.
+# starts from a number that fits its input: this many bytes each, and some at least.
 SHUFFLE_BYTES = 256 * 1024**2
-SHUFFLE_PARTITIONS = (200, 50_000)
+LEAST_PARTITIONS = 200
 
 
 def shuffle_partitions(input_bytes: int) -> int:
-    low, high = SHUFFLE_PARTITIONS
-    return min(max(-(-input_bytes // SHUFFLE_BYTES), low), high)
+    return max(-(-input_bytes // SHUFFLE_BYTES), LEAST_PARTITIONS)
 
 
 def size_shuffles(spark: SparkSession, paths: Iterable[str]) -> SparkSession:

@@ -25,9 +25,6 @@ from stratiform.session import prepare
 from stratiform.sinks.tables import publish_table, staged, write_partitioned
 from stratiform.storage import is_v2, path_exists
 
-# Up to this many touched partitions are named in the filter on the target, which
-# then skips all others while planning. Beyond, a join finds them.
-MAX_NAMED_PARTITIONS = 10_000
 
 
 class DuplicateKeys(ValueError):
@@ -106,19 +103,22 @@ def _same_keys(keys: Sequence[str]) -> Column:
 
 
 def _touched(current: DataFrame, new: DataFrame, partition_col: str) -> DataFrame:
-    """Rows of the partitions that occur in the new data."""
-    values = new.select(partition_col).distinct()
-    named = [r[0] for r in values.limit(MAX_NAMED_PARTITIONS + 1).collect()]
-    if len(named) > MAX_NAMED_PARTITIONS:
-        other = values.select(F.col(partition_col).alias("_touched"))
-        return current.join(
-            other, F.col(partition_col).eqNullSafe(F.col("_touched")), "left_semi"
-        )
-    known = [v for v in named if v is not None]
-    condition = F.col(partition_col).isin(known) if known else F.lit(False)
-    if len(known) < len(named):
-        condition = condition | F.col(partition_col).isNull()
-    return current.where(condition)
+    """Rows of the partitions that occur in the new data.
+
+    One row comes to the driver: the range of values prunes partitions as literals do, and
+    a semi-join leaves out what lies between.
+    """
+    column = F.col(partition_col)
+    least, most, nulls = new.agg(
+        F.min(column), F.max(column), F.count_if(column.isNull())
+    ).first()
+    condition = column.between(least, most) if least is not None else F.lit(False)
+    if nulls:
+        condition = condition | column.isNull()
+    values = new.select(column.alias("_touched")).distinct()
+    return current.where(condition).join(
+        values, column.eqNullSafe(F.col("_touched")), "left_semi"
+    )
 
 
 def _refuse_duplicates(new: DataFrame, keys: Sequence[str]) -> None:

@@ -85,3 +85,19 @@ def test_ntz_becomes_an_instant_in_utc(spark):
     out = df.select(strict(df, "v", TIMESTAMP).alias("v"))
     assert out.dtypes == [("v", "timestamp")]
     assert out.select(F.unix_timestamp("v")).first()[0] == 1706742000
+
+
+@pytest.mark.parametrize("cast", [strict, safe])
+@pytest.mark.parametrize(
+    "source, target",
+    [
+        ("bigint", TIMESTAMP),
+        ("double", TIMESTAMP),
+        ("timestamp", INT64),
+        ("date", INT64),
+        ("timestamp", NUMERIC),
+    ],
+)
+def test_numbers_and_points_in_time_do_not_mix(spark, cast, source, target):
+    with pytest.raises(TypeError, match="no cast"):
+        cast(spark.createDataFrame([], f"x {source}"), "x", target)

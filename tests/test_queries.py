@@ -1,6 +1,7 @@
 """Every registered query against its SQL, with equal columns, types and rows."""
 
 import os
+import re
 
 import oracle
 import pytest
@@ -30,7 +31,9 @@ def test_query(spark, duck, name):
 
 
 def test_only_the_preview_has_no_sql():
-    assert set(entry.queries()) - set(ORACLES) == {"preview"}
+    without = set(entry.queries()) - set(ORACLES)
+    # Training-data operators have tests of their own.
+    assert {n for n in without if not re.match(r"op\d+_|pipeline$", n)} == {"preview"}
     assert set(ORACLES) <= set(entry.queries())
 
 

@@ -229,7 +229,7 @@ def test_session_conf():
 def test_shuffles_start_as_wide_as_their_input(spark, tmp_path):
     assert shuffle_partitions(0) == 200
     assert shuffle_partitions(10**12) == 3726
-    assert shuffle_partitions(10**15) == 50_000
+    assert shuffle_partitions(10**15) == 3_725_291
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     size_shuffles(spark, [str(tmp_path)])
     assert spark.conf.get(initial, None) is None  # this session sets its own number
