@@ -27,6 +27,7 @@ columns are not read. An empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,16 +41,16 @@ from stratiform.llm.graph import components
 # Documents link when 100 * intersection >= PERCENT * union.
 PERCENT = 90
 WIDTH = 3
-PIVOT_SHARE = 1.5  # of the hash space, times the share of shingles that a partner may lack
+PIVOT_SPARE = 0.05  # of the hash space, besides the share of shingles that a partner may lack
 TASK_ELEMENTS = 4_000_000  # shingles of one region in one task
 PIVOTS = 8
-RING = 0.3  # width of a ring of sizes, as a logarithm
+RING = 4  # width of a ring of sizes, in steps from a document to its largest partners
 LEAF = 24
 
 
 def _below(percent: int) -> Column:
     """The bound of the hashes of shingle pivots."""
-    return F.lit(-(1 << 63) + int(PIVOT_SHARE * (100 - percent) / 100 * (1 << 64)))
+    return F.lit(-(1 << 63) + int(((100 - percent) / 100 + PIVOT_SPARE) * (1 << 64)))
 
 
 def shingles(text: Column, width: int = WIDTH) -> Column:
@@ -337,8 +338,9 @@ def _regions(classes: DataFrame, percent: int, only_whole: bool = False) -> Data
     levels = F.array(*(levels[1:] if only_whole else levels))
     # Partners differ in size by the share at most, so a point meets them in its own ring of
     # sizes, or in the next one that the largest of them can be in.
+    width = RING * math.log(100 / percent) if percent < 100 else RING
     ring = F.sequence(
-        F.floor(F.log("n") / RING), F.floor((F.log(F.col("n") * 100 / percent) + 1e-9) / RING)
+        F.floor(F.log("n") / width), F.floor((F.log(F.col("n") * 100 / percent) + 1e-9) / width)
     )
     rows = (
         classes.select("doc_id", lacking.alias("lacking"), ring.alias("rings"), F.explode(levels).alias("l"))
@@ -375,7 +377,7 @@ def jaccard_join(
 ) -> DataFrame:
     """``doc_id``, size of its set and its component, one row per document.
 
-    ``percent`` has to be over 33, so that the pivots are not more than all shingles.
+    ``percent`` has to be over 5, so that the pivots are not more than all shingles.
     """
     every = shingles(F.col("text"), width)
     below = _below(percent)
