@@ -4,6 +4,7 @@ from stratiform.sinks.tables import (
     ensure_namespace,
     publish_table,
     publish_view,
+    restore_table,
     staged,
     verify_readable,
     write_partitioned,
@@ -19,6 +20,7 @@ __all__ = [
     "ensure_namespace",
     "publish_table",
     "publish_view",
+    "restore_table",
     "staged",
     "upsert_partitions",
     "verify_readable",

@@ -94,12 +94,18 @@ def publish_table(
     change: the new files are declared as a table under another name, which then takes
     the place of the published one. That moves no data, so data is written once, and a
     run that fails leaves the published table alone. The files of the version before
-    are removed afterwards unless ``keep_previous``.
+    are removed last, unless ``keep_previous``.
+
+    The version before keeps its catalog entry, as ``<table>__previous``, until the new one
+    has the name. A statement that fails in between gives it its name back; after a driver
+    that died there, for which readers find no table, the next write to the table does
+    (``restore_table``). Names that end in ``__next`` and ``__previous`` are reserved.
     """
     spark = df.sparkSession
     if is_v2(spark, table):
         return _publish_v2(df, table, checks, partition_by, cluster_by, comment, properties)
     table = table.removeprefix("spark_catalog.")  # a rename takes no catalog name there
+    restore_table(spark, table)
     namespace, name = _split(spark, table)
     root = spark.catalog.getDatabase(namespace).locationUri.rstrip("/")
     location = f"{root}/{name}__{uuid.uuid4().hex}"
@@ -114,13 +120,38 @@ def publish_table(
         comment,
         {**(properties or {}), _LOCATION: location},
     )
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
+    _switch(spark, table)
     if previous and not keep_previous:
         delete_path(spark, previous)
     return spark.table(table)
 
 
+def _switch(spark: SparkSession, table: str) -> None:
+    """Give ``<table>__next`` the name of the table."""
+    try:
+        if spark.catalog.tableExists(table):
+            spark.sql(f"ALTER TABLE {table} RENAME TO {table}__previous")
+        spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
+    except BaseException:
+        restore_table(spark, table)
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {table}__previous")
+
+
+def restore_table(spark: SparkSession, table: str) -> None:
+    """Finish or undo a publication that was interrupted between its statements.
+
+    Every writer of this module asks for it first, before it looks whether the table exists.
+    """
+    table = table.removeprefix("spark_catalog.")
+    if not spark.catalog.tableExists(f"{table}__previous"):
+        return
+    if spark.catalog.tableExists(table):
+        spark.sql(f"DROP TABLE {table}__previous")
+    else:
+        spark.sql(f"ALTER TABLE {table}__previous RENAME TO {table}")
+
+
 def _create_table(df, table, location, partition_by, comment, properties) -> None:
     """Declare files already written as a table of the session catalog."""
     spark = df.sparkSession
@@ -159,14 +190,21 @@ def write_v2(
 
 
 def append_table(df: DataFrame, table: str) -> None:
-    """Add rows to an existing table, matching columns by name."""
-    if is_v2(df.sparkSession, table):
+    """Add rows to an existing table, matching columns by name.
+
+    Rows of a partitioned table are arranged first: few files per partition, not one
+    per partition and task.
+    """
+    spark = df.sparkSession
+    if is_v2(spark, table):
         write_v2(df, table, "append")
         return
-    target = df.sparkSession.table(table).columns
+    restore_table(spark, table)
+    target = spark.table(table).columns
     if set(df.columns) != set(target):
         raise ValueError(f"columns {df.columns} do not match those of {table}: {target}")
-    df.select(*target).write.insertInto(table)
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    arrange(df.select(*target), parts).write.insertInto(table)
 
 
 def write_table(df: DataFrame, table: str, mode: str = "overwrite", **layout) -> None:
@@ -174,6 +212,8 @@ def write_table(df: DataFrame, table: str, mode: str = "overwrite", **layout) ->
     spark = df.sparkSession
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unknown mode {mode!r}, expected overwrite or append")
+    if not is_v2(spark, table):
+        restore_table(spark, table)
     if mode == "append" and spark.catalog.tableExists(table):
         append_table(df, table)
     else:

@@ -10,8 +10,15 @@ are rewritten:
 1. the new rows are written to the shared folder, so they are computed once;
 2. the touched partitions are read, without the keys that are replaced;
 3. both together are written to the shared folder and then, from there, over those
-   partitions. Should the job die in step 3, the complete result is still on disk
-   and running the upsert again, or copying it over, repairs the table.
+   partitions.
+
+Overwriting partitions deletes each before its new files come, so before it starts, the
+target gets a note of where the complete result lies: a property of the table, or a file
+beside a path target. The note goes once the overwrite is done. A job that dies in between
+leaves partitions missing until the next upsert of the target, which finds the note and
+finishes that overwrite before anything else; doing it twice gives the same rows. Nothing
+else may write to the target in the meantime. A first build of a path notes that it has begun, and
+what a dead one left is removed.
 """
 
 from __future__ import annotations
@@ -22,9 +29,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.session import prepare
-from stratiform.sinks.tables import publish_table, staged, write_partitioned
-from stratiform.storage import is_v2, path_exists
+from stratiform.sinks.tables import _text, publish_table, restore_table, staged, write_partitioned
+from stratiform.storage import delete_path, is_v2, path_exists, read_note, write_note
 
+_PENDING = "stratiform.pending"
+_FIRST_BUILD = "first build"
 
 
 class DuplicateKeys(ValueError):
@@ -48,14 +57,22 @@ def upsert_partitions(
     spark = new.sparkSession
     keys = list(keys)
     is_path = "/" in target
+    v2 = not is_path and is_v2(spark, target)
+    if not v2:
+        if not is_path:
+            restore_table(spark, target)
+        _finish_pending(spark, target, partition_col)
     if not _exists(spark, target, is_path):
-        if check_unique:
-            _refuse_duplicates(new, keys)
-        if is_path:
-            return write_partitioned(new, target, partition_by=[partition_col])
-        return publish_table(new, target, partition_by=[partition_col], properties=properties)
-    if not is_path and is_v2(spark, target):
-        return _merge(new, target, keys)
+        if not check_unique:
+            return _build(new, target, partition_col, properties)
+        with staged(new, "upsert-new") as (rows, _):
+            _refuse_duplicates(rows, keys)
+            return _build(rows, target, partition_col, properties)
+    if v2:
+        with staged(new, "upsert-new") as (rows, _):
+            if check_unique:
+                _refuse_duplicates(rows, keys)
+            return _merge(rows, target, keys)
 
     with staged(new, "upsert-new") as (rows, _):
         if check_unique:
@@ -66,15 +83,71 @@ def upsert_partitions(
         merged = kept.unionByName(rows).select(*current.columns)
         merged = merged.hint("rebalance", F.col(partition_col))
         with staged(merged, "upsert-merged") as (result, path):
-            if is_path:
-                writer = result.write.mode("overwrite")
-                writer = writer.option("partitionOverwriteMode", "dynamic")
-                writer.partitionBy(partition_col).parquet(target)
-            else:
-                _overwrite_partitions(result, path, target)
+            _note(spark, target, path)
+            _overwrite(result, path, target, partition_col)
+            _note(spark, target, None)
     return spark.read.schema(new.schema).parquet(target) if is_path else spark.table(target)
 
 
+def _build(new: DataFrame, target: str, partition_col: str, properties) -> DataFrame:
+    if "/" not in target:
+        return publish_table(new, target, partition_by=[partition_col], properties=properties)
+    _note(new.sparkSession, target, _FIRST_BUILD)
+    built = write_partitioned(new, target, partition_by=[partition_col])
+    _note(new.sparkSession, target, None)
+    return built
+
+
+def _overwrite(result: DataFrame, path: str, target: str, partition_col: str) -> None:
+    if "/" not in target:
+        _overwrite_partitions(result, path, target)
+        return
+    writer = result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition_col).parquet(target)
+
+
+def _note_file(target: str) -> str:
+    return f"{target.rstrip('/')}.pending"
+
+
+def _note(spark: SparkSession, target: str, text: str | None) -> None:
+    """Write, or with None remove, the note of an overwrite that has begun."""
+    if "/" in target:
+        if text is None:
+            delete_path(spark, _note_file(target))
+        else:
+            write_note(spark, _note_file(target), text)
+    elif text is None:
+        spark.sql(f"ALTER TABLE {target} UNSET TBLPROPERTIES IF EXISTS ('{_PENDING}')")
+    else:
+        spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('{_PENDING}' = {_text(text)})")
+
+
+def _noted(spark: SparkSession, target: str) -> str | None:
+    if "/" in target:
+        return read_note(spark, _note_file(target))
+    if not spark.catalog.tableExists(target):
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {target}").where(F.col("key") == _PENDING).collect()
+    return rows[0]["value"] if rows else None
+
+
+def _finish_pending(spark: SparkSession, target: str, partition_col: str) -> None:
+    """Carry through the overwrite that an earlier job began and did not finish."""
+    noted = _noted(spark, target)
+    if noted is None:
+        return
+    if noted == _FIRST_BUILD:
+        delete_path(spark, target)
+        _note(spark, target, None)
+        return
+    if not path_exists(spark, noted):
+        raise OSError(f"{target} was left half overwritten and its rows in {noted} are gone")
+    _overwrite(spark.read.parquet(noted), noted, target, partition_col)
+    _note(spark, target, None)
+    delete_path(spark, noted)
+
+
 def _overwrite_partitions(result: DataFrame, path: str, table: str) -> None:
     """Replace exactly the partitions of the table that ``result``, at ``path``, has rows of.
 

@@ -32,6 +32,28 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all."""
+    fs, jpath = _hadoop(spark, path)
+    _, draft = _hadoop(spark, f"{path}.draft")
+    out = fs.create(draft, True)
+    out.writeUTF(text)
+    out.close()
+    if not fs.rename(draft, jpath):
+        raise OSError(f"cannot write {path}")
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    fs, jpath = _hadoop(spark, path)
+    if not fs.exists(jpath):
+        return None
+    stream = fs.open(jpath)
+    try:
+        return stream.readUTF()
+    finally:
+        stream.close()
+
+
 def is_v2(spark: SparkSession, table: str) -> bool:
     """Whether the table's catalog is a DataSource V2 catalog set on the session.
 

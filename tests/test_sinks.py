@@ -11,6 +11,7 @@ from stratiform.sinks import (
     ensure_namespace,
     publish_table,
     publish_view,
+    restore_table,
     staged,
     verify_readable,
     write_partitioned,
@@ -75,6 +76,45 @@ def test_a_leftover_of_a_failed_publication_is_no_obstacle(spark, namespace):
     assert [t.name for t in spark.catalog.listTables(namespace) if not t.isTemporary] == ["t"]
 
 
+@pytest.mark.parametrize("layout", [{}, {"partition_by": ["d"]}])
+@pytest.mark.parametrize("dies", [False, True])
+def test_a_publication_can_break_at_each_statement(spark, namespace, monkeypatch, layout, dies):
+    """After an error the table has its old or its new rows at once; after a dead driver,
+    which runs no handler, once the next writer has come by."""
+    name = f"{namespace}.t"
+    old, new = spark.sql(DAYS), spark.sql(DAYS).where("k < 5")
+    publish_table(old, name, **layout)
+    real, seen, at = type(spark).sql, 0, 0
+    while True:
+
+        def statement(self, text, *args, **kwargs):
+            nonlocal seen
+            if text.split()[0] in ("DROP", "ALTER", "CREATE"):
+                seen += 1
+                if seen > at if dies else seen == at + 1:
+                    raise ConnectionError(text)
+            return real(self, text, *args, **kwargs)
+
+        seen = 0
+        monkeypatch.setattr(type(spark), "sql", statement)
+        try:
+            publish_table(new, name, **layout)
+            break
+        except ConnectionError:
+            pass
+        finally:
+            monkeypatch.undo()
+        if dies:
+            restore_table(spark, name)
+        assert spark.table(name).count() in (400, 200)
+        at += 1
+    assert at >= 5 and spark.table(name).count() == 200
+    append_table(old, name)
+    assert spark.table(name).count() == 600
+    listed = [t.name for t in spark.catalog.listTables(namespace) if not t.isTemporary]
+    assert listed == ["t"]
+
+
 def test_refresh_from_its_own_rows(spark, namespace):
     name = f"{namespace}.t"
     publish_table(spark.range(5), name)
@@ -160,6 +200,15 @@ def test_append_to_a_partitioned_table(spark, namespace):
     verify_readable(spark, name)
 
 
+def test_appended_partitions_get_few_files(spark, namespace):
+    name = f"{namespace}.days"
+    out = publish_table(spark.sql(DAYS), name, partition_by=["d"])
+    before = len(out.inputFiles())
+    append_table(spark.sql(DAYS).repartition(8), name)
+    again = spark.table(name)
+    assert again.count() == 800 and len(again.inputFiles()) <= before + 4
+
+
 def test_staged_rows_have_no_lineage_and_go_afterwards(spark):
     with staged(spark.range(10).selectExpr("id * 2 v"), "t") as (frame, path):
         assert "Range" not in plan_text(frame) and frame.count() == 10

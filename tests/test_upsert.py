@@ -7,7 +7,7 @@ from conftest import at
 from stratiform.plans import fct_orders_daily, stg_orders
 from stratiform.sinks import DuplicateKeys, upsert_partitions
 from stratiform.sinks import upsert as module
-from stratiform.storage import path_exists
+from stratiform.storage import delete_path, path_exists
 
 FACT = "order_date DATE, customer_id STRING, nb_orders BIGINT, total_amount DECIMAL(38,9)"
 KEYS = {"keys": ["order_date", "customer_id"], "partition_col": "order_date"}
@@ -94,6 +94,49 @@ def test_untouched_partitions_keep_their_files(spark, fact, tmp_path):
         assert (after[name] == names) == (name != "order_date=2024-01-08")
 
 
+def test_a_job_that_died_while_overwriting_loses_nothing(spark, fact, target, monkeypatch):
+    """The commit deletes partitions before their new files come; here it gets no further."""
+    upsert_partitions(fact(*BEFORE), target, **KEYS)
+    later = ((day(9), "bob", 5, 65), (day(10), "eve", 1, 70))
+
+    def die(result, path, where, partition_col):
+        if "/" in where:
+            delete_path(spark, f"{where}/order_date=2024-01-08")
+        else:
+            spark.sql(f"ALTER TABLE {where} DROP PARTITION (order_date = date'2024-01-08')")
+        raise ConnectionError
+
+    monkeypatch.setattr(module, "_overwrite", die)
+    with pytest.raises(ConnectionError):
+        upsert_partitions(fact(*NEW), target, **KEYS)
+    monkeypatch.undo()
+    got = content(upsert_partitions(fact(*later), target, **KEYS))
+    assert got == AFTER | {(day(9), "bob"): (5, 65), (day(10), "eve"): (1, 70)}
+    assert module._noted(spark, target) is None
+
+
+def test_a_first_build_that_died_is_made_anew(spark, fact, tmp_path, monkeypatch):
+    target = f"{tmp_path}/fct"
+
+    def die(new, path, **layout):
+        fact(BEFORE[0]).write.partitionBy("order_date").parquet(path)
+        raise ConnectionError
+
+    monkeypatch.setattr(module, "write_partitioned", die)
+    with pytest.raises(ConnectionError):
+        upsert_partitions(fact(*BEFORE), target, **KEYS)
+    monkeypatch.undo()
+    got = content(upsert_partitions(fact(*NEW), target, **KEYS))
+    assert got == {(d, c): (n, int(a)) for d, c, n, a in NEW}
+
+
+def test_a_note_without_its_rows_is_an_error(spark, fact, target):
+    upsert_partitions(fact(*BEFORE), target, **KEYS)
+    module._note(spark, target, "/nowhere/at-all")
+    with pytest.raises(OSError, match="half overwritten"):
+        upsert_partitions(fact(*NEW), target, **KEYS)
+
+
 def test_duplicate_keys_are_refused(spark, fact, tmp_path):
     twice = fact((day(8), "ann", 1, 1), (day(8), "ann", 1, 2))
     target = f"{tmp_path}/fct"
