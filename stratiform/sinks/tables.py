@@ -15,6 +15,8 @@ from stratiform.storage import delete_path, is_v2
 
 # Marks the folders publish_table made, so that it never deletes any other.
 _LOCATION = "stratiform.location"
+# Names the complete result of an overwrite that has begun and is not done.
+PENDING = "stratiform.pending"
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:
@@ -111,7 +113,7 @@ def publish_table(
     location = f"{root}/{name}__{uuid.uuid4().hex}"
     written = write_partitioned(df, location, partition_by=partition_by, cluster_by=cluster_by)
     _audit(written, checks, table, location)
-    previous = _own_location(spark, table)
+    previous = table_property(spark, table, _LOCATION)
     _create_table(
         df,
         f"{table}__next",
@@ -193,13 +195,16 @@ def append_table(df: DataFrame, table: str) -> None:
     """Add rows to an existing table, matching columns by name.
 
     Rows of a partitioned table are arranged first: few files per partition, not one
-    per partition and task.
+    per partition and task. A table with an unfinished upsert is refused, since finishing
+    that would overwrite the rows added.
     """
     spark = df.sparkSession
     if is_v2(spark, table):
         write_v2(df, table, "append")
         return
     restore_table(spark, table)
+    if table_property(spark, table, PENDING):
+        raise ValueError(f"{table} has an unfinished upsert; run one to finish it")
     target = spark.table(table).columns
     if set(df.columns) != set(target):
         raise ValueError(f"columns {df.columns} do not match those of {table}: {target}")
@@ -251,11 +256,10 @@ def _split(spark: SparkSession, table: str) -> tuple[str, str]:
     return ".".join(namespace) or spark.catalog.currentDatabase(), name
 
 
-def _own_location(spark: SparkSession, table: str) -> str | None:
-    """Where publish_table put the current version, if it was publish_table."""
+def table_property(spark: SparkSession, table: str, key: str) -> str | None:
     if not spark.catalog.tableExists(table):
         return None
-    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == _LOCATION).collect()
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == key).collect()
     return rows[0]["value"] if rows else None
 
 

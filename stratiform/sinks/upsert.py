@@ -16,8 +16,8 @@ Overwriting partitions deletes each before its new files come, so before it star
 target gets a note of where the complete result lies: a property of the table, or a file
 beside a path target. The note goes once the overwrite is done. A job that dies in between
 leaves partitions missing until the next upsert of the target, which finds the note and
-finishes that overwrite before anything else; doing it twice gives the same rows. Nothing
-else may write to the target in the meantime. A first build of a path notes that it has begun, and
+finishes that overwrite before anything else; doing it twice gives the same rows. Appends
+to such a table are refused. A first build of a path notes that it has begun, and
 what a dead one left is removed.
 """
 
@@ -29,10 +29,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.session import prepare
-from stratiform.sinks.tables import _text, publish_table, restore_table, staged, write_partitioned
+from stratiform.sinks.tables import (
+    PENDING,
+    _text,
+    publish_table,
+    restore_table,
+    staged,
+    table_property,
+    write_partitioned,
+)
 from stratiform.storage import delete_path, is_v2, path_exists, read_note, write_note
 
-_PENDING = "stratiform.pending"
 _FIRST_BUILD = "first build"
 
 
@@ -118,18 +125,15 @@ def _note(spark: SparkSession, target: str, text: str | None) -> None:
         else:
             write_note(spark, _note_file(target), text)
     elif text is None:
-        spark.sql(f"ALTER TABLE {target} UNSET TBLPROPERTIES IF EXISTS ('{_PENDING}')")
+        spark.sql(f"ALTER TABLE {target} UNSET TBLPROPERTIES IF EXISTS ('{PENDING}')")
     else:
-        spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('{_PENDING}' = {_text(text)})")
+        spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('{PENDING}' = {_text(text)})")
 
 
 def _noted(spark: SparkSession, target: str) -> str | None:
     if "/" in target:
         return read_note(spark, _note_file(target))
-    if not spark.catalog.tableExists(target):
-        return None
-    rows = spark.sql(f"SHOW TBLPROPERTIES {target}").where(F.col("key") == _PENDING).collect()
-    return rows[0]["value"] if rows else None
+    return table_property(spark, target, PENDING)
 
 
 def _finish_pending(spark: SparkSession, target: str, partition_col: str) -> None:

@@ -5,7 +5,7 @@ import pytest
 from conftest import at
 
 from stratiform.plans import fct_orders_daily, stg_orders
-from stratiform.sinks import DuplicateKeys, upsert_partitions
+from stratiform.sinks import DuplicateKeys, append_table, upsert_partitions
 from stratiform.sinks import upsert as module
 from stratiform.storage import delete_path, path_exists
 
@@ -110,6 +110,9 @@ def test_a_job_that_died_while_overwriting_loses_nothing(spark, fact, target, mo
     with pytest.raises(ConnectionError):
         upsert_partitions(fact(*NEW), target, **KEYS)
     monkeypatch.undo()
+    if "/" not in target:
+        with pytest.raises(ValueError, match="unfinished"):
+            append_table(fact(*later), target)
     got = content(upsert_partitions(fact(*later), target, **KEYS))
     assert got == AFTER | {(day(9), "bob"): (5, 65), (day(10), "eve"): (1, 70)}
     assert module._noted(spark, target) is None
