@@ -16,6 +16,7 @@ a window fills as many windows as it needs. An empty table gives an empty table.
 from __future__ import annotations
 
 import functools
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -26,14 +27,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.bpe import VOCABULARY, Bpe, _byte_symbols
+from stratiform.llm.bpe import _PIECE, VOCABULARY, Bpe, _byte_symbols
 from stratiform.llm.common import staged
 
 WINDOW = 2048
 CLOSING_ID = 1
 SHARD_TOKENS = 1_000_000
 QUERY_TERMS = 12
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 ROWS = 1_000  # texts worked on at a time
 K1, B = 1.2, 0.75
 
@@ -44,38 +45,46 @@ _PIECES = (
 )
 
 
-class _LibraryBpe(Bpe):
-    """The same cutting into pieces, each merged by the tokenizers library."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        super().__init__(path)
-        self._model = Tokenizer.from_file(path).model
-        self._names = dict(enumerate(_byte_symbols()))
-
-    def merged(self, piece: str) -> tuple[int, ...]:
-        raw = piece.encode("utf-8", "surrogatepass").decode("latin-1")
-        return tuple([t.id for t in self._model.tokenize(raw.translate(self._names))])
-
-
 class Words:
     """Ids of whole texts, one look-up per different word of a batch.
 
     The vocabulary drops white space and joins nothing across it, so the ids of a text are
-    those of its words.
+    those of its words. A word is cut into pieces as the vocabulary says, and each piece is
+    merged by the tokenizers library.
     """
 
     def __init__(self, path: str | None = None):
+        from tokenizers import Tokenizer
+
         if path is None:
             import public_tokenizers
 
             path = public_tokenizers.path(VOCABULARY)
-        self.coder = _LibraryBpe(path)
+        self.coder = Bpe(path)
+        self._model = Tokenizer.from_file(path).model
+        self._names = dict(enumerate(_byte_symbols()))
         self.known: dict[str, bytes] = {}
-
-    def _learn(self, word: str) -> bytes:
-        return array("H", self.coder._encode_chunk(word)).tobytes()
+        self._pieces: dict[str, bytes] = {}
+
+    def _merged(self, piece: str) -> bytes:
+        raw = piece
+        if not piece.isascii():
+            raw = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self._names)
+        ids = self._pieces[piece] = array("H", [t.id for t in self._model.tokenize(raw)]).tobytes()
+        return ids
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of words, which are normalised all at once: line ends change nothing."""
+        get, merged, known = self._pieces.get, self._merged, self.known
+        together = "\n".join(words)
+        plain = unicodedata.normalize("NFC", together).replace("Σ", "σ").lower().split("\n")
+        for word, low in zip(words, plain, strict=True):
+            if low.isalpha():
+                known[word] = get(low) or merged(low)
+            elif "<|" in word:
+                known[word] = array("H", self.coder._encode_chunk(word)).tobytes()
+            else:
+                known[word] = b"".join([get(p) or merged(p) for p in _PIECE.findall(low)])
 
     def ids(self, texts: pa.Array) -> list[bytes]:
         texts = pc.fill_null(texts, "")
@@ -83,13 +92,13 @@ class Words:
         texts = pc.replace_substring_regex(texts, r"[\x{85}\x{1680}\x{2028}\x{2029}]", " ")
         parts = pc.utf8_split_whitespace(texts)
         coded = parts.flatten().dictionary_encode()
-        different = coded.dictionary.to_pylist()
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        for word in different:
-            if word not in self.known:
-                self.known[word] = self._learn(word)
-        raw = [self.known[w] for w in different]
+            self.known, self._pieces = {}, {}
+        new = [word for word in different if word and word not in self.known]
+        if new:
+            self._learn(new)
+        raw = [self.known[w] if w else b"" for w in different]
         code = coded.indices.to_numpy()
         bounds = parts.offsets.to_numpy()
         bounds = bounds - bounds[0]
