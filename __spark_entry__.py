@@ -311,7 +311,8 @@ def _copy_table(spark, sf_dir):
     namespace = _namespace(spark, "copy")
     customers = table(spark, sf_dir, "customer")
     publish_table(customers, f"{namespace}.customer")
-    return copy_table(spark, f"{namespace}.customer", f"{namespace}_to.customer_copy")
+    target = _namespace(spark, "copy-to")
+    return copy_table(spark, f"{namespace}.customer", f"{target}.customer_copy")
 
 
 def _seeded(spark, sf_dir, **datasets) -> tuple[RawSource, ...]:

@@ -11,7 +11,6 @@ NAMESPACES = {
     "curated": "curated",
     "curated_iceberg": "curated_iceberg",
     "analytics": "analytics",
-    "tmp": "tmp_lakehouse",
     "enterprise": "enterprise",
 }
 

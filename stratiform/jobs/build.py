@@ -18,11 +18,12 @@ import logging
 import sys
 
 from stratiform.config import ENVIRONMENTS, EnvConfig
-from stratiform.operators.smoke import smoke_check
+from stratiform.operators.smoke import smoke_check, smoke_check_source
 from stratiform.plans import run_layers, run_models
 from stratiform.plans.layers import LAYERS
-from stratiform.session import build_session, size_shuffles
+from stratiform.session import PROFILES, build_session, session_conf, size_shuffles
 from stratiform.sources import RawSource, landing_path
+from stratiform.sources.registry import enabled_sources, source_named
 
 log = logging.getLogger(__name__)
 
@@ -47,6 +48,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--curated-root")
     p.add_argument("--catalog")
     p.add_argument("--no-sales-orders", action="store_true", help="their files have not landed")
+    p.add_argument("--profile", choices=sorted(PROFILES), help="sizes of driver and executors")
+    p.add_argument("--checkpoint-dir", help="folder that all executors share")
     sub = p.add_subparsers(dest="what", required=True)
     layers = sub.add_parser("layers")
     layers.add_argument("--from", dest="from_layer", default=LAYERS[0], choices=LAYERS)
@@ -56,7 +59,9 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     models.add_argument("--tags", nargs="+", required=True)
     models.add_argument("--as-of", type=dt.date.fromisoformat)
     smoke = sub.add_parser("smoke")
-    smoke.add_argument("--table", required=True)
+    checked = smoke.add_mutually_exclusive_group(required=True)
+    checked.add_argument("--table")
+    checked.add_argument("--source", help="a raw source by name; needs --raw-root")
     smoke.add_argument("--min-rows", type=int, default=1)
     smoke.add_argument("--limit", type=int, default=5)
     return p.parse_args(argv)
@@ -65,7 +70,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> int:
     args = parse_args(argv)
     logging.basicConfig(level=logging.INFO)
-    spark = build_session(f"build-{args.what}")
+    conf = session_conf(args.profile, checkpoint_dir=args.checkpoint_dir)
+    spark = build_session(f"build-{args.what}", conf)
     cfg = EnvConfig(
         env=args.env,
         catalog=args.catalog,
@@ -77,7 +83,11 @@ def main(argv: list[str] | None = None) -> int:
         size_shuffles(spark, [args.raw_root])
     try:
         if args.what == "smoke":
-            result = smoke_check(spark, args.table, min_rows=args.min_rows, limit=args.limit)
+            if args.source:
+                source = source_named(enabled_sources(cfg), args.source)
+                result = smoke_check_source(spark, source, limit=args.limit)
+            else:
+                result = smoke_check(spark, args.table, min_rows=args.min_rows, limit=args.limit)
             log.info("%s", result)
             return result.code
         if args.what == "models":

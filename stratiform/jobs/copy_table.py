@@ -14,7 +14,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratiform.session import build_session, diagnostics
+from stratiform.session import PROFILES, build_session, diagnostics, session_conf
 from stratiform.sinks import ensure_namespace, verify_readable, write_table
 from stratiform.sources import preview, read_query
 
@@ -71,6 +71,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--table", required=True)
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
     p.add_argument("--jdbc-url", help="run the read as a query on this database")
+    p.add_argument("--profile", choices=sorted(PROFILES), help="sizes of driver and executors")
+    p.add_argument("--checkpoint-dir", help="folder that all executors share")
     p.add_argument("--debug", action="store_true")
     return p.parse_args(argv)
 
@@ -78,9 +80,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> int:
     args = parse_args(argv)
     logging.basicConfig(level=logging.DEBUG if args.debug else logging.INFO)
-    spark = build_session("copy-table")
-    if args.debug:
-        spark.conf.set("spark.sql.debug.maxToStringFields", "200")
+    conf = session_conf(args.profile, checkpoint_dir=args.checkpoint_dir)
+    spark = build_session("copy-table", conf)
     for key, value in diagnostics(spark, args.catalog).items():
         log.info("%s = %s", key, value)
     target = f"{args.catalog}.{args.namespace}.{args.table}"

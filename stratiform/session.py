@@ -64,7 +64,7 @@ ENGINE_CONF = {
 
 
 def session_conf(
-    profile: str | dict[str, str] = DEFAULT_PROFILE,
+    profile: str | dict[str, str] | None = DEFAULT_PROFILE,
     *,
     catalog: str | None = None,
     warehouse: str | None = None,
@@ -75,15 +75,17 @@ def session_conf(
     """Spark properties of a job: engine defaults, catalog, sizing, extras (extras win).
 
     The result feeds ``SparkSession.builder.config`` or ``spark-submit --conf``.
-    Empty values are left out.
+    Empty values are left out. Without a profile the cluster's own sizes hold.
     """
-    if isinstance(profile, str):
+    if profile is None:
+        sizing = {}
+    elif isinstance(profile, str):
         if profile not in PROFILES:
             raise KeyError(f"unknown profile {profile!r}, available: {sorted(PROFILES)}")
         sizing = PROFILES[profile]
     else:
         sizing = profile
-    missing = [k for k in REQUIRED_SIZING if not sizing.get(k)]
+    missing = [k for k in REQUIRED_SIZING if profile is not None and not sizing.get(k)]
     if missing:
         raise KeyError(f"profile lacks {missing}")
     conf: dict[str, str | None] = dict(ENGINE_CONF)

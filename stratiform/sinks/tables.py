@@ -125,7 +125,12 @@ def publish_table(
     _switch(spark, table)
     if previous and not keep_previous:
         delete_path(spark, previous)
-    return spark.table(table)
+    return _in_order(spark.table(table), df)
+
+
+def _in_order(table: DataFrame, df: DataFrame) -> DataFrame:
+    """The columns of the table in the order of the frame; the catalog keeps partitions last."""
+    return table.select(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns])
 
 
 def _switch(spark: SparkSession, table: str) -> None:

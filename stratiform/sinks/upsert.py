@@ -79,7 +79,7 @@ def upsert_partitions(
         with staged(new, "upsert-new") as (rows, _):
             if check_unique:
                 _refuse_duplicates(rows, keys)
-            return _merge(rows, target, keys)
+            return _merge(rows, target, keys, partition_col)
 
     with staged(new, "upsert-new") as (rows, _):
         if check_unique:
@@ -186,29 +186,37 @@ def _touched(current: DataFrame, new: DataFrame, partition_col: str) -> DataFram
     a semi-join leaves out what lies between.
     """
     column = F.col(partition_col)
-    least, most, nulls = new.agg(
-        F.min(column), F.max(column), F.count_if(column.isNull())
-    ).first()
-    condition = column.between(least, most) if least is not None else F.lit(False)
-    if nulls:
-        condition = condition | column.isNull()
     values = new.select(column.alias("_touched")).distinct()
-    return current.where(condition).join(
+    return current.where(_range(new, partition_col, column)).join(
         values, column.eqNullSafe(F.col("_touched")), "left_semi"
     )
 
 
+def _range(new: DataFrame, partition_col: str, column: Column) -> Column:
+    """That ``column`` lies within the partition values of the new rows, as literals."""
+    value = F.col(partition_col)
+    least, most, nulls = new.agg(F.min(value), F.max(value), F.count_if(value.isNull())).first()
+    condition = column.between(least, most) if least is not None else F.lit(False)
+    return condition | column.isNull() if nulls else condition
+
+
 def _refuse_duplicates(new: DataFrame, keys: Sequence[str]) -> None:
     repeated = new.groupBy(*keys).count().where(F.col("count") > 1)
     if not repeated.isEmpty():
         raise DuplicateKeys(f"several new rows share one key {tuple(keys)}")
 
 
-def _merge(new: DataFrame, target: str, keys: Sequence[str]) -> DataFrame:
+def _merge(
+    new: DataFrame, target: str, keys: Sequence[str], partition_col: str | None = None
+) -> DataFrame:
+    """MERGE by key. A partition column among the keys also gets the range of its new values,
+    which changes no match and lets the catalog skip the other partitions."""
     table = target.split(".")[-1]
     condition = F.lit(True)
     for key in keys:
         condition = condition & F.col(f"_new.{key}").eqNullSafe(F.col(f"{table}.{key}"))
+    if partition_col in keys:
+        condition = condition & _range(new, partition_col, F.col(f"{table}.{partition_col}"))
     new.alias("_new").mergeInto(
         target, condition
     ).whenMatched().updateAll().whenNotMatched().insertAll().merge()

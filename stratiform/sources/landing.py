@@ -7,7 +7,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
-from stratiform.storage import size_in_bytes
+from stratiform.storage import path_exists, size_in_bytes
 
 log = logging.getLogger(__name__)
 
@@ -39,6 +39,8 @@ def land_raw(
     if file_format not in _WRITERS:
         raise ValueError(f"cannot land {file_format!r}, expected one of {_WRITERS}")
     path = landing_path(root, domain, dataset)
+    appended = mode == "append" and path_exists(df.sparkSession, path)
+    before = size_in_bytes(df.sparkSession, path) if appended else 0
     writer = df.write.mode(mode).format(file_format)
     if file_format != "parquet":
         writer = writer.option("timestampFormat", _TEXT_TIMESTAMP)
@@ -48,8 +50,8 @@ def land_raw(
     if keys:
         writer = writer.partitionBy(*keys)
     writer.save(path)
-    size = size_in_bytes(df.sparkSession, path)
-    if size == 0:
+    size = size_in_bytes(df.sparkSession, path) - before
+    if size <= 0:
         raise OSError(f"nothing was written to {path}")
     log.info("landed %s (%d bytes)", path, size)
     return path

@@ -67,28 +67,48 @@ def read_partitioned(
     if where is not None:
         df = df.where(where)
     if require_filter:
-        named = v2_table and names_column(where, partition_columns(spark, source))
+        named = v2_table and restricts(df, partition_columns(spark, source))
         if not (named or prunes_partitions(df)):
             raise PartitionFilterRequired("filter on a partition column, or lift the guard")
     return df
 
 
 def prunes_partitions(df: DataFrame) -> bool:
-    """Whether the file scan in the plan has a filter on partition columns."""
-    return re.search(r"PartitionFilters: \[[^\]]", plan_text(df)) is not None
+    """Whether the file scan in the plan has a filter on partition columns.
+
+    That a partition has a value at all does not count: it skips next to nothing.
+    """
+    for found in re.findall(r"PartitionFilters: \[(.*)\]", plan_text(df)):
+        if re.sub(r"isnotnull\([^()]*\)|[\s,]", "", found):
+            return True
+    return False
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def names_column(where: Column | None, columns: list[str]) -> bool:
-    """Whether a predicate mentions one of the columns.
+def restricts(df: DataFrame, columns: list[str]) -> bool:
+    """Whether a filter of the frame has a term on nothing but these columns.
 
     V2 tables plan their pruning out of sight of the scan's description, so for them
-    this has to do.
+    the predicate itself is looked at. ``IS NOT NULL`` does not count.
     """
-    return any(re.search(rf"\b{re.escape(c)}\b", str(where)) for c in columns)
+
+    def terms(condition):
+        if condition.nodeName() == "And":
+            return terms(condition.left()) + terms(condition.right())
+        return [condition]
+
+    node, wanted = df._jdf.queryExecution().analyzed(), {c.lower() for c in columns}
+    while node.nodeName() == "Filter":
+        for term in terms(node.condition()):
+            used = term.references().toSeq()
+            names = {used.apply(k).name().lower() for k in range(used.size())}
+            if names and names <= wanted and term.nodeName() != "IsNotNull":
+                return True
+        node = node.child()
+    return False
 
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:

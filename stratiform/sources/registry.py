@@ -84,7 +84,8 @@ def _scan(spark: SparkSession, source: RawSource) -> DataFrame:
     if source.schema is not None:
         reader = reader.schema(source.schema)
     if source.nanos:
-        # Without this Spark refuses the whole file. It changes nothing else.
+        # Without this Spark refuses the whole file. It holds for the session: later reads
+        # take undeclared columns of that kind as whole numbers, too.
         spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     try:
         df = reader.load(list(source.uris))

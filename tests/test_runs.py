@@ -206,6 +206,10 @@ def test_build_job(spark, tmp_path, env):
     assert build.main(["--raw-root", root, "layers", "--dry-run"]) == 0
     assert build.main(["--raw-root", f"{root}/none", "layers", "--dry-run"]) == 1
     assert build.main(["smoke", "--table", "nowhere.t"]) == 2
+    assert build.main(["--raw-root", root, "smoke", "--source", "sample_ext"]) == 0
+    assert build.main(["--raw-root", f"{root}/none", "smoke", "--source", "sample_ext"]) == 2
+    sized = build.parse_args(["--profile", "dev_tiny", "--checkpoint-dir", "/x", "layers"])
+    assert (sized.profile, sized.checkpoint_dir) == ("dev_tiny", "/x")
     args = build.parse_args(["--env", "prod", "models", "--tags", "prod", "--as-of", "2024-01-10"])
     assert args.as_of == TODAY and args.tags == ["prod"]
     with pytest.raises(SystemExit):

@@ -128,6 +128,7 @@ def test_partitioned_table(spark, namespace):
     out = publish_table(df, name, partition_by=["d"])
     assert bag(out.na.drop()) == bag(df.na.drop()) and out.count() == 401
     assert out.where("d IS NULL").count() == 1
+    assert out.columns == df.columns
     one = spark.table(name).where(F.col("d") == dt.date(2024, 1, 2))
     assert one.count() == 100 and "PartitionFilters: [isnotnull(d" in plan_text(one)
 

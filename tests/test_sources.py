@@ -34,7 +34,7 @@ from stratiform.sources import (
     register_sources,
     seed_raw,
 )
-from stratiform.sources.readers import names_column, partition_columns, plan_text
+from stratiform.sources.readers import partition_columns, plan_text, restricts
 
 
 @pytest.fixture
@@ -80,6 +80,15 @@ def test_seed_two_datasets_from_one_frame(spark, tmp_path, sample):
     assert [spark.read.parquet(p).count() for p in paths] == [3, 3]
 
 
+def test_landing_nothing_is_noticed(spark, tmp_path):
+    days = spark.sql("SELECT id, date'2024-01-01' d FROM range(5)")
+    for _ in range(2):
+        path = land_raw(days, str(tmp_path), "sales", "days", partition_by=["d"])
+    assert spark.read.parquet(path).count() == 10
+    with pytest.raises(OSError, match="nothing was written"):
+        land_raw(days.where("id > 9"), str(tmp_path), "sales", "days", partition_by=["d"])
+
+
 def test_nanosecond_timestamps(spark, tmp_path):
     values = [1_704_067_200_123_456_789, -1, None]
     table = pa.table({"id": [1, 2, 3], "event_ts": pa.array(values, pa.timestamp("ns", tz="UTC"))})
@@ -132,6 +141,8 @@ def test_guarded_read(spark, partitioned):
         read_partitioned(spark, partitioned)
     with pytest.raises(PartitionFilterRequired):
         read_partitioned(spark, partitioned, F.col("v") > 1)
+    with pytest.raises(PartitionFilterRequired):
+        read_partitioned(spark, partitioned, F.col("d").isNotNull())
     day = read_partitioned(spark, partitioned, F.col("d") >= dt.date(2024, 1, 2))
     assert [r.v for r in day.collect()] == [2]
     assert read_partitioned(spark, partitioned, F.col("d").isNull()).first().v == 3
@@ -156,8 +167,14 @@ def test_partition_columns_in_predicates(spark, namespace):
     spark.sql(f"CREATE TABLE {namespace}.days (v INT, d DATE) USING parquet PARTITIONED BY (d)")
     columns = partition_columns(spark, f"{namespace}.days")
     assert columns == ["d"]
-    assert names_column(F.col("d") > dt.date(2024, 1, 1), columns)
-    assert not names_column(F.col("v") > 1, columns) and not names_column(None, columns)
+    days = spark.table(f"{namespace}.days")
+    day = F.col("d") > dt.date(2024, 1, 1)
+    assert restricts(days.where(day), columns)
+    assert restricts(days.where(day & (F.col("v") > 1)).where("v < 9"), columns)
+    assert restricts(days.where(F.col("d").isNull()), columns)
+    for weak in ("v > 1", "d IS NOT NULL", "concat(v, 'd') = 'd'", "d = date'2024-01-01' OR v = 1"):
+        assert not restricts(days.where(weak), columns)
+    assert not restricts(days, columns)
 
 
 def test_queries_tables_and_previews(spark, namespace):
@@ -197,7 +214,6 @@ def test_names():
         "curated_ext_dev",
         "curated_iceberg_dev",
     ]
-    assert cfg.namespace("tmp") == "tmp_lakehouse_dev"
     assert cfg.namespace("enterprise") == "enterprise_dev"
     assert EnvConfig(catalog="c").table("analytics", "t") == "c.analytics_dev.t"
     assert EnvConfig(sandbox="me").table("analytics", "t") == "analytics_dev_me.t"

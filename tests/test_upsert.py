@@ -3,6 +3,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import at
+from pyspark.sql import functions as F
 
 from stratiform.plans import fct_orders_daily, stg_orders
 from stratiform.sinks import DuplicateKeys, append_table, upsert_partitions
@@ -195,3 +196,9 @@ def test_v2_merge_compares_null_safe(spark, namespace):
         "merge",
     ]
     assert new.calls[1][2].count("<=>") == 2 and "t.a" in new.calls[1][2]
+
+
+@pytest.mark.parametrize("rows, nulls", [(NEW, False), (((None, "ann", 1, 1), NEW[0]), True)])
+def test_v2_merge_names_the_range_of_partitions(fact, rows, nulls):
+    text = str(module._range(fact(*rows), "order_date", F.col("t.order_date")))
+    assert "2024-01-08" in text and ("IS NULL" in text.upper() or "isNull" in text) == nulls
