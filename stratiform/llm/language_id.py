@@ -24,6 +24,7 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,7 @@ BUCKETS = 1 << 16
 TRAIN_ROWS = 20_000
 PENALTY = 8.0
 REMEMBERED = 200_000
+WORDS = 5_000  # new words scored at a time
 SCRIPT_SHARE = 0.01  # of a language's words that must be in a script for it to compete there
 
 # First code point of each range of letters, and its script.
@@ -54,11 +56,12 @@ SCRIPTS = (
 )
 _STARTS = [s for s, _ in SCRIPTS]
 _NAMES = sorted({n for _, n in SCRIPTS})
+_PLACES = [_NAMES.index(n) for _, n in SCRIPTS]
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def script(word: str) -> int:
-    return _NAMES.index(SCRIPTS[bisect_right(_STARTS, ord(word[0])) - 1][1])
+    return _PLACES[bisect_right(_STARTS, ord(word[0])) - 1]
 
 
 def grams(word: str) -> list[int]:
@@ -76,13 +79,17 @@ class Model:
     scores: np.ndarray  # buckets by languages
     competes: np.ndarray  # scripts by languages
 
-    def word(self, word: str) -> np.ndarray:
-        """Score of a word per language; none where no language has its script."""
-        competes = self.competes[script(word)]
-        if not competes.any():
-            return np.zeros(len(self.languages), np.float32)
-        own = self.scores[grams(word)].sum(0) / 3
-        return np.where(competes, own - own[competes].max(), -30.0).astype(np.float32)
+    def words(self, words: list[str]) -> np.ndarray:
+        """Scores of words per language; none where no language has a word's script."""
+        found = [grams(word) for word in words]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.int64, sizes.sum())
+        own = np.add.reduceat(self.scores[flat], sizes.cumsum() - sizes) / 3
+        competes = self.competes[[script(word) for word in words]]
+        best = np.where(competes, own, -np.inf).max(1, keepdims=True)
+        known = competes.any(1, keepdims=True)
+        out = np.where(competes, own - np.where(known, best, 0), -30.0)
+        return np.where(known, out, 0).astype(np.float32)
 
 
 def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
@@ -144,21 +151,27 @@ class Labeller:
         self.places: dict[str, int] = {}
         self.table = np.zeros((1 << 12, len(model.languages)), np.float32)
 
-    def _place(self, word: str) -> int:
-        place = self.places[word] = len(self.places) + 1  # 0 is no word
-        if place >= len(self.table):
+    def _learn(self, words: list[str]) -> None:
+        """Give new words a row each; row 0 is no word."""
+        first = len(self.places) + 1
+        while first + len(words) > len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[place] = self.model.word(word)
-        return place
+        self.places.update(zip(words, range(first, first + len(words)), strict=True))
+        for k in range(0, len(words), WORDS):
+            some = words[k : k + WORDS]
+            self.table[first + k : first + k + len(some)] = self.model.words(some)
 
     def label(self, texts: list[str | None]) -> list[tuple[str, float, list]]:
         if len(self.places) > REMEMBERED:
             self.places = {}
-        get, make = self.places.get, self._place
+        places = self.places
         found = [_WORD.findall(t.lower()) if t else [] for t in texts]
         lengths = np.array([len(w) for w in found])
         firsts = np.cumsum(lengths) - lengths
-        coded = np.array([get(w) or make(w) for ws in found for w in ws] + [0], np.int32)
+        new = {w: None for ws in found for w in ws if w not in places}
+        if new:
+            self._learn(list(new))
+        coded = np.array([places[w] for ws in found for w in ws] + [0], np.int32)
         letters = np.array([len(w) for ws in found for w in ws] + [0], np.int64)
         out: list = [("und", 0.0, [])] * len(texts)
         names = self.model.languages
