@@ -2,10 +2,13 @@
 
 A page is cut into blocks, each with the tag path from the root to it. Text length,
 punctuation and link text are summed per path; length and punctuation per block, damped by
-the share of link text, are smoothed over neighbouring paths of the page, fused into one
-score, and summed up the tree. The content node is the deepest one that still holds the
-threshold's share of the page's score; its blocks are the text, without the subtrees whose
-tag, class, id or role names them as page furniture.
+the share of link text, are smoothed over neighbouring paths of the page and fused into one
+score. Paths are chosen by thresholds: their blocks score well against the text of the page,
+or hold a good share of its score together. The text is all blocks of chosen paths and what
+belongs to them: the whole article or main element around one, other text between two of
+them or in the element that holds one, paragraphs beside one or beside what is around it, and
+headings before one. Subtrees whose tag, class, id or role names them as page furniture are
+left out first.
 
 Pages are independent: one pass, no shuffle. A null or empty page has an empty text,
 broken or unclosed markup is read as far as it goes, repeated rows are repeated, other
@@ -23,7 +26,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-SHARE = 0.6  # of the page's score that the content node must hold
+SHARE = 0.3  # of the score of typical text that a block of a chosen path must have, or
+PATH_SHARE = 0.1  # of the page's score that all blocks of a chosen path must hold
 SPREAD = 1.0  # of the smoothing over neighbouring paths, in paths
 
 # What HTML itself says about its elements.
@@ -46,6 +50,9 @@ CLOSES = {
 FURNITURE = {
     "head", "nav", "footer", "aside", "form", "button", "select", "textarea", "dialog", "menu",
 }
+TOP = {"", "html", "body"}  # hold everything, furniture without a name, too
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+TEXT = HEADINGS | {"p", "pre", "blockquote", "li", "dt", "dd", "figcaption", "caption"}
 NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|adsense|sponsor(?:ed)?|promo(?:tion)?|banner|nav"
     r"|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|side-?bar|widget|cookies?"
@@ -142,8 +149,8 @@ def blocks(page: str) -> Iterator[tuple[_Node, str, int]]:
         yield block
 
 
-def _scores(found: list[tuple[_Node, str, int]]) -> dict[str, float]:
-    """Score of each tag path, in page order."""
+def _scores(found: list[tuple[_Node, str, int]]) -> dict[str, tuple[float, float]]:
+    """Score of a block of each tag path, in page order, and of all its blocks together."""
     sums: dict[str, list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0, 0.0])
     for node, text, linked in found:
         own = sums[node.path]
@@ -152,52 +159,75 @@ def _scores(found: list[tuple[_Node, str, int]]) -> dict[str, float]:
     raw = []
     for length, marks, linked, n in sums.values():
         text_ratio, mark_ratio = length / n, marks / n
-        raw.append((1 - linked / length) * math.sqrt(text_ratio * (1 + mark_ratio)) * n)
+        raw.append((1 - linked / length) * math.sqrt(text_ratio * (1 + mark_ratio)))
     kernel = [math.exp(-(d**2) / (2 * SPREAD**2)) for d in range(3)]
     smooth = {}
-    for k, path in enumerate(sums):
+    for k, (path, own) in enumerate(sums.items()):
         near = range(max(0, k - 2), min(len(raw), k + 3))
         weight = [kernel[abs(k - j)] for j in near]
         mean = sum(w * raw[j] for w, j in zip(weight, near, strict=True)) / sum(weight)
-        smooth[path] = math.sqrt(raw[k] * mean)
+        smooth[path] = (math.sqrt(raw[k] * mean), math.sqrt(raw[k] * mean) * own[3])
     return smooth
 
 
+def _chosen(found: list[tuple[_Node, str, int]]) -> list[bool]:
+    """Whether the tag path of each block scores high enough, by the block or all together."""
+    by_path = _scores(found)
+    letters = sum(len(text) for _, text, _ in found)
+    typical = sum(by_path[node.path][0] * len(text) for node, text, _ in found) / letters
+    total = sum(together for _, together in by_path.values())
+    if not total:
+        return [True] * len(found)  # nothing but links
+    high = {
+        path
+        for path, (each, together) in by_path.items()
+        if each >= SHARE * typical or together >= PATH_SHARE * total
+    }
+    return [node.path in high for node, _, _ in found]
+
+
+def _above(node: _Node | None) -> Iterator[_Node]:
+    while node is not None:
+        yield node
+        node = node.parent
+
+
 def main_text(page: str) -> str:
-    """The blocks of the content node, one per line."""
+    """The blocks of the chosen tag paths and what belongs to them, one per line."""
     found = [b for b in blocks(page) if not b[0].furniture]
     if not found:
         return ""
-    by_path = _scores(found)
-    held: dict[_Node, float] = defaultdict(float)
-    each: dict[str, int] = defaultdict(int)
-    for node, text, _ in found:
-        each[node.path] += len(text)
-    for node, text, _ in found:
-        score = by_path[node.path] * len(text) / each[node.path]
-        above: _Node | None = node
-        while above is not None:
-            held[above] += score
-            above = above.parent
-    below = defaultdict(list)
-    for node in held:
-        if node.parent is not None:
-            below[node.parent].append(node)
-    content = next(n for n in held if n.parent is None)
-    threshold = SHARE * held[content]
-    while True:
-        best = max(below[content], key=held.get, default=None)
-        leaf = best is not None and not below[best]
-        if best is None or held[best] < threshold or (leaf and len(below[content]) > 1):
-            break
-        content = best
-
-    def inside(node: _Node | None) -> bool:
-        while node is not None and node is not content:
-            node = node.parent
-        return node is content
-
-    return "\n".join(text for node, text, _ in found if inside(node))
+    chosen = _chosen(found)
+    articles: set[_Node] = set()
+    containers: set[_Node] = set()
+    around: set[_Node] = set()
+    for (node, _, _), high in zip(found, chosen, strict=True):
+        if high:
+            articles.update(n for n in _above(node) if n.tag in ("article", "main"))
+            around.update(_above(node.parent))
+            if node.parent is not None and node.parent.tag not in TOP:
+                containers.add(node.parent)
+    # A main element around an article may hold more than the text.
+    articles -= {n for a in articles if a.tag == "article" for n in _above(a.parent) if n.tag == "main"}
+    first = chosen.index(True)
+    kept: list[str] = []
+    after: set[_Node] = set()  # the next chosen block and all around it
+    for k in range(len(found) - 1, -1, -1):
+        node, text, linked = found[k]
+        if chosen[k]:
+            after = set(_above(node))
+            kept.append(text)
+            continue
+        inside = set(_above(node))
+        between = k > first and bool(after)
+        beside = node.tag in TEXT and node.parent in around
+        if (
+            inside & articles
+            or (node.tag in HEADINGS and node.parent in after)
+            or (linked <= len(text) / 2 and (between or beside or inside & containers))
+        ):
+            kept.append(text)
+    return "\n".join(reversed(kept))
 
 
 def extract(pages: DataFrame) -> DataFrame:

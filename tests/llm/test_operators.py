@@ -246,6 +246,37 @@ def test_html_extraction(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in found)
 
 
+def test_html_extraction_keeps_all_parts_of_the_content():
+    def text(words, k):
+        return f"Paragraph {k}, " + "with a word, or two, " * words + "and an end."
+
+    long, short = [text(12, k) for k in range(20)], [text(2, k) for k in range(2)]
+    items = [f"Item {k}" for k in range(60)]
+    p = "<p>{}</p>".format
+    li, td = "<li>{}</li>".format, "<tr><td>{}</td></tr>".format
+    head = "<html><body><nav><a href=/>Home</a></nav>"
+    foot = "<div><a href=/a>Terms</a> <a href=/b>Imprint</a></div><footer>F.</footer></body></html>"
+    body = "<div class=body>" + "".join(map(p, long)) + "</div>"
+    listed = "<ul>" + "".join(map(li, items)) + "</ul>"
+    table = "<table>" + "".join(map(td, items)) + "</table>"
+    quote = "<blockquote>" + "".join(map(p, long)) + "</blockquote>"
+    lead, end = p(short[0]), p(short[1])
+    parts = f"<section><h2>A</h2>{''.join(map(p, long))}</section><section><h2>B</h2>{end}</section>"
+    cases = [
+        (f"<h1>Head</h1>{lead}{body}", ["Head", short[0], *long]),
+        (f"<h1>Head</h1>{lead}{body}{end}", ["Head", short[0], *long, short[1]]),
+        (f"<h1>Head</h1>{lead}{listed}{end}", ["Head", short[0], *items, short[1]]),
+        (f"<h1>Head</h1>{lead}{table}{end}", ["Head", short[0], *items, short[1]]),
+        (f"<h1>Head</h1>{lead}{quote}{end}", ["Head", short[0], *long, short[1]]),
+        (f"<h1>Head</h1>{parts}", ["Head", "A", *long, "B", short[1]]),
+        (f"<h1>Head</h1>{''.join(map(p, long))}<ul><li>x<li>y</ul>", ["Head", *long, "x", "y"]),
+    ]
+    for inner, whole in cases:
+        for tag in ("article", "main", "div"):
+            page = f"{head}<{tag}>{inner}</{tag}>{foot}"
+            assert html_extraction.main_text(page).split("\n") == whole
+
+
 def test_url_filters(spark):
     cases = {
         "https://a.com/x": ("a.com", "/x", "com/", "allow"),
