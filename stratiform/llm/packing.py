@@ -1,8 +1,11 @@
 """Lexical retrieval packing into training windows.
 
 Documents become token ids once. Document frequencies of all documents give the BM25
-weights; they are at most as many as the vocabulary has ids. Documents are dealt to shards
-of a bounded number of tokens by a hash of the id. Each shard is one inverted index: a
+weights; they are at most as many as the vocabulary has ids. Documents are put in order of
+their heaviest terms among those common enough to fill a shard, and dealt in this order to
+shards of a bounded number of tokens; terms with more documents part by the next heaviest,
+equal ones by the id. Neighbours in other shards are not found, and the order brings only a
+part of them together (the README has the measured share). Each shard is one inverted index: a
 seed document opens a window, its heaviest terms are looked up, and the best unused
 neighbours follow one after another until the window is full. What does not fit of the
 last one opens the next window and is its seed, so windows have no padding; the rest at
@@ -33,12 +36,15 @@ from stratiform.llm.common import staged
 WINDOW = 2048
 CLOSING_ID = 1
 SHARD_TOKENS = 1_000_000
+DEALT_BY = 50  # documents per shard that are looked at to find the bounds of shards
 QUERY_TERMS = 12
 REMEMBERED = 400_000
 ROWS = 1_000  # texts worked on at a time
 K1, B = 1.2, 0.75
 
 _TOKENS = "doc_id bigint, ids binary, n bigint"
+_DEALT = ["doc_id", "ids", "n"]
+_KEYED = "shard bigint, key bigint, " + _TOKENS
 _PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
     "sequence_id bigint, offset bigint"
@@ -214,7 +220,7 @@ def _cuts(total: int) -> list[int]:
     return [WINDOW] * full + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-def _packed(shard: int, docs: list, weight: np.ndarray, mean: float) -> Iterator[pa.RecordBatch]:
+def _packed(first: int, docs: list, weight: np.ndarray, mean: float) -> Iterator[pa.RecordBatch]:
     docs.sort(key=lambda d: d[0])
     index = Shard(docs, weight, mean)
     cuts = _cuts(sum(len(ids) for _, ids in docs))
@@ -225,7 +231,7 @@ def _packed(shard: int, docs: list, weight: np.ndarray, mean: float) -> Iterator
         while start < len(ids):
             length = min(room - offset, len(ids) - start)
             piece = ids[start : start + length].astype("<u4").tobytes()
-            where = (shard << 32) + sequence
+            where = first + sequence
             out.append((ident, start, length, zlib.crc32(piece), len(ids), where, offset))
             start, offset = start + length, offset + length
             if offset == room and sequence + 1 < len(cuts):
@@ -237,6 +243,44 @@ def _packed(shard: int, docs: list, weight: np.ndarray, mean: float) -> Iterator
     )
 
 
+def _keys(idents: np.ndarray, texts: list[np.ndarray], weight: np.ndarray, mean: float):
+    """Signed 64-bit keys that lie close for documents with the same heaviest terms.
+
+    The three heaviest terms of a document, the heaviest first, then 16 bits of its id, by
+    which copies of one text can part.
+    """
+    out = np.full((len(texts), 3), (1 << 16) - 1, np.uint64)
+    for k, ids in enumerate(texts):
+        term, tf = np.unique(ids, return_counts=True)
+        score = weight[term] * tf / (tf + K1 * (1 - B + B * len(ids) / mean))
+        best = np.lexsort((term, -score))[:3]
+        best = best[score[best] > 0]
+        out[k, : len(best)] = term[best]
+    mixed = (idents.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
+    key = mixed
+    for k, shift in enumerate((48, 32, 16)):
+        key = key | (out[:, k] << np.uint64(shift))
+    return (key ^ np.uint64(1 << 63)).view(np.int64)
+
+
+def _keyed(weight, mean: float, bounds):
+    """A function that adds keys and, given their bounds, shards; weight and bounds are broadcast."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
+                texts = [np.frombuffer(x.as_buffer(), "<u2") for x in batch.column("ids")]
+                idents = pc.fill_null(batch.column("doc_id"), -1).to_numpy()
+                key = _keys(idents, texts, weight.value, mean)
+                cuts = np.zeros(0, np.int64) if bounds is None else bounds.value
+                shard = np.searchsorted(cuts, key, "right")
+                columns = [pa.array(shard, pa.int64()), pa.array(key), *map(batch.column, _DEALT)]
+                yield pa.RecordBatch.from_arrays(columns, ["shard", "key", *_DEALT])
+
+    return run
+
+
 def pack(docs: DataFrame, path: str | None = None) -> DataFrame:
     """The pieces of all documents and where each lies."""
     ids = staged(tokenized(docs, path), "tokens")
@@ -249,22 +293,38 @@ def pack(docs: DataFrame, path: str | None = None) -> DataFrame:
         weight[k] = np.log(1 + (n_docs - n + 0.5) / (n + 0.5))
     mean = n_tokens / max(n_docs, 1)
     shards = max(1, -(-n_tokens // SHARD_TOKENS))
-    broadcast = docs.sparkSession.sparkContext.broadcast(weight)  # 256 KiB
+    spark = docs.sparkSession.sparkContext
+    broadcast = spark.broadcast(weight)  # 256 KiB
+    dealt = ids.select(F.lit(0).cast("bigint").alias("shard"), F.lit(0).cast("bigint").alias("key"), *_DEALT)
+    if shards > 1:
+        # Terms of fewer documents than a shard holds would leave the rest of it to chance.
+        common = np.zeros(1 << 16, bool)
+        common[[k for k, n in table.items() if n * shards >= n_docs]] = True
+        near = spark.broadcast(np.where(common, weight, 0))
+        share = min(1.0, shards * DEALT_BY / n_docs)
+        some = ids.where(F.pmod(F.xxhash64("doc_id", "n"), F.lit(1_000_003)) < int(share * 1_000_003))
+        keys = some.mapInArrow(_keyed(near, mean, None), _KEYED).select("key", "n").toPandas()
+        keys = keys.sort_values(["key", "n"])
+        filled = keys["n"].cumsum().to_numpy()
+        at = np.searchsorted(filled, filled[-1:] * np.arange(1, shards) / shards)
+        bounds = spark.broadcast(keys["key"].to_numpy()[at])
+        dealt = ids.mapInArrow(_keyed(near, mean, bounds), _KEYED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held = None, []
+        shard, held, size, first = None, [], 0, 0
         for batch in batches:
             columns = (batch.column(c) for c in ("shard", "doc_id", "ids"))
             for s, ident, raw in zip(*columns, strict=True):
                 s = s.as_py()
-                if s != shard and held:
-                    yield from _packed(shard, held, broadcast.value, mean)
-                    held = []
+                if held and (s != shard or size >= 2 * SHARD_TOKENS):
+                    yield from _packed((shard << 32) + first, held, broadcast.value, mean)
+                    first = first + len(_cuts(size)) if s == shard else 0
+                    held, size = [], 0
                 shard = s
                 held.append((ident.as_py(), np.frombuffer(raw.as_py(), "<u2")))
+                size += len(held[-1][1])
         if held:
-            yield from _packed(shard, held, broadcast.value, mean)
+            yield from _packed((shard << 32) + first, held, broadcast.value, mean)
 
-    key = F.pmod(F.xxhash64("doc_id", "n"), F.lit(shards))
-    dealt = ids.withColumn("shard", key).repartition("shard").sortWithinPartitions("shard")
-    return dealt.select("shard", "doc_id", "ids").mapInArrow(run, _PIECES)
+    placed = dealt.repartition("shard").sortWithinPartitions("shard", "key", "doc_id", "n")
+    return placed.select("shard", "doc_id", "ids").mapInArrow(run, _PIECES)

@@ -208,6 +208,21 @@ def test_packing_keeps_every_id(docs, empty, texts):
     assert packing.pack(empty).count() == 0
 
 
+def test_packing_deals_related_documents_together(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 4000)
+    rng = np.random.default_rng(11)
+    topics, rest = ("water", "music", "law", "horse"), ["the", "of", "and", "in", "to"]
+    rows = [(k, " ".join([*rng.permutation(rest * 12), *[topics[k % 4]] * 6])) for k in range(400)]
+    found = packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    shards, sizes = defaultdict(Counter), Counter()
+    for r in found:
+        shards[r["sequence_id"] >> 32][r["doc_id"] % 4] += 1
+        sizes[r["sequence_id"] >> 32] += r["length"]
+    assert len(shards) > 4 and max(sizes.values()) <= 2 * 4000 + 200
+    own = sum(max(topic.values()) for topic in shards.values())
+    assert own > 0.7 * sum(sum(topic.values()) for topic in shards.values())
+
+
 def test_quality_rules(docs, empty, texts):
     found = by_id(quality_rules.judged(quality_rules.ledger(docs)))
     for k, t in enumerate(texts):
