@@ -6,7 +6,7 @@ their heaviest terms among those common enough to fill a shard, and dealt in thi
 shards of a bounded number of tokens; terms with more documents part by the next heaviest,
 equal ones by the id. Neighbours in other shards are not found, and the order brings only a
 part of them together (the README has the measured share). Each shard is one inverted index: a
-seed document opens a window, its heaviest terms are looked up, and the best unused
+seed document opens a window, all its terms are scored, and the best unused
 neighbours follow one after another until the window is full. What does not fit of the
 last one opens the next window and is its seed, so windows have no padding; the rest at
 the end of a shard is cut into sequences whose lengths are powers of two.
@@ -37,7 +37,6 @@ WINDOW = 2048
 CLOSING_ID = 1
 SHARD_TOKENS = 1_000_000
 DEALT_BY = 50  # documents per shard that are looked at to find the bounds of shards
-QUERY_TERMS = 12
 REMEMBERED = 400_000
 ROWS = 1_000  # texts worked on at a time
 K1, B = 1.2, 0.75
@@ -163,38 +162,40 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Shard:
-    """The inverted index of some documents, and the order in which they are packed."""
+    """The postings of some documents, and the order in which they are packed."""
 
     def __init__(self, docs: list[tuple[int, np.ndarray]], weight: np.ndarray, mean: float):
         self.docs = docs
-        terms, places, impact = [], [], []
-        self.queries = []
-        for k, (_, ids) in enumerate(docs):
+        self.queries, impact = [], []
+        for _, ids in docs:
             term, tf = np.unique(ids, return_counts=True)
             norm = K1 * (1 - B + B * len(ids) / mean)
             score = weight[term] * tf * (K1 + 1) / (tf + norm)
-            terms.append(term)
-            places.append(np.full(len(term), k, np.int32))
             impact.append(score.astype(np.float32))
-            best = np.lexsort((term, -score))[:QUERY_TERMS]
-            self.queries.append(term[best])
-        terms = np.concatenate(terms)
-        order = np.argsort(terms, kind="stable")
-        self.places = np.concatenate(places)[order]
-        self.impact = np.concatenate(impact)[order]
-        self.bounds = np.searchsorted(terms[order], np.arange((1 << 16) + 1))
+            self.queries.append(term)
+        self.sizes = np.array([len(q) for q in self.queries])
+        self.terms = np.concatenate(self.queries).astype(np.intp)
+        self.impact = np.concatenate(impact)
+        self.open = np.arange(len(docs))  # the documents whose postings are held
         self.unused = np.ones(len(docs), bool)
+        self.asked = np.zeros(1 << 16, np.float32)
         self.next = 0
 
     def neighbours(self, seed: int) -> np.ndarray:
-        """Unused documents that share a heavy term with the seed, best first."""
-        spans = [slice(self.bounds[t], self.bounds[t + 1]) for t in self.queries[seed]]
-        places = np.concatenate([self.places[s] for s in spans])
-        impact = np.concatenate([self.impact[s] for s in spans])
-        open_ = self.unused[places]
-        scores = np.bincount(places[open_], impact[open_], len(self.docs))
-        (found,) = scores.nonzero()
-        return found[np.argsort(-scores[found], kind="stable")]
+        """Unused documents that share a term with the seed, best first; all its terms count."""
+        still = self.unused[self.open]
+        if not still.any():
+            return self.open[:0]
+        if 4 * still.sum() < 3 * len(still):
+            held = np.repeat(still, self.sizes)
+            self.terms, self.impact = self.terms[held], self.impact[held]
+            self.open, self.sizes, still = self.open[still], self.sizes[still], still[still]
+        self.asked[self.queries[seed]] = 1
+        scores = self.impact * self.asked[self.terms]
+        self.asked[self.queries[seed]] = 0
+        scores = np.add.reduceat(scores, np.cumsum(self.sizes) - self.sizes)
+        (found,) = (still & (scores > 0)).nonzero()
+        return self.open[found[np.argsort(-scores[found], kind="stable")]]
 
     def order(self) -> Iterator[int]:
         """Documents in packing order; a window's neighbours are those of its seed."""

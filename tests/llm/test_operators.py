@@ -223,6 +223,16 @@ def test_packing_deals_related_documents_together(spark, monkeypatch):
     assert own > 0.7 * sum(sum(topic.values()) for topic in shards.values())
 
 
+def test_packing_scores_all_terms_of_a_seed():
+    seed, light = np.arange(100, 140, dtype="<u2"), np.arange(112, 140, dtype="<u2")
+    other = np.arange(500, 540, dtype="<u2")
+    weight = np.ones(1 << 16, np.float32)
+    weight[112:140] = 0.5  # not among the twelve heaviest
+    shard = packing.Shard([(0, seed), (1, other), (2, light)], weight, 40.0)
+    shard.unused[0] = False
+    assert shard.neighbours(0).tolist() == [2]
+
+
 def test_quality_rules(docs, empty, texts):
     found = by_id(quality_rules.judged(quality_rules.ledger(docs)))
     for k, t in enumerate(texts):
