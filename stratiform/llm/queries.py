@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from stratiform.llm import (
     bpe,
+    conversation_repair,
     exact_dedup,
     html_extraction,
     jaccard_join,
@@ -71,6 +72,11 @@ def op10_quality_classifier(spark, sf_dir):
     return quality_classifier.quality(docs, labels)
 
 
+def op11_conversation_repair(spark, sf_dir):
+    rows = read(spark, sf_dir, "conversations")
+    return conversation_repair.report(conversation_repair.damaged(rows))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_packing": op2_packing,
@@ -82,6 +88,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 _WS = r"[\x20\x09-\x0D]+"
@@ -135,7 +142,99 @@ _EXACT = rf"""
     window same as (partition by plain)
 """
 
+# Repair: all paths row by row, the best of each state kept. ``moves`` are the insertions
+# before a row and where they lead; the states are those of the operator.
+_REPAIR = r"""
+    with recursive crc_table as (
+        select list_transform(range(0, 256), lambda n: list_reduce(
+                   list_prepend(n, range(0, 8)),
+                   lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end
+               )) as t
+    ), damaged as (
+        select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+               xor(4294967295, list_reduce(
+                   list_prepend(4294967295, list_transform(
+                       string_split(concat_ws(':', coalesce(cast(conv_id as varchar), ' '),
+                                              coalesce(cast(turn as varchar), ' ')), ''),
+                       lambda x: cast(ord(x) as bigint))),
+                   lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1]))) % 20 as kind
+        from conversations, crc_table
+    ), present as (
+        select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+               case when kind = 1 then '' when kind = 2 then translate(text, '.!?', '')
+                    else text end as text
+        from damaged, unnest(range(0, case when kind = 0 then 0 when kind = 3 then 2 else 1 end))
+    ), placed as (
+        select *, row_number() over (partition by conv_id order by turn nulls first, role, text)
+                  as place,
+               rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as body
+        from present
+    ), seen as (
+        select *, row_number() over (partition by conv_id, role, text order by place) > 1 as again,
+               lag(role) over (partition by conv_id order by place) as before
+        from placed
+    ), found as (
+        select *, body = '' as blank, body <> '' and again as duplicate,
+               body <> '' and not again and right(body, 1) not in ('.', '!', '?') as truncated,
+               before is not null
+               and left(before, 1) || left(role, 1) not in ('su', 'ua', 'au') as illegal
+        from seen
+    ), moves(state, inserted, next, rows) as (
+        values (0, '', 0, []), (0, 'I', 2, ['user:']), (0, 'II', 3, ['user:', 'assistant:']),
+               (1, '', 1, []), (1, 'I', 2, ['user:']), (1, 'II', 3, ['user:', 'assistant:']),
+               (2, '', 2, []), (2, 'I', 3, ['assistant:']), (3, '', 3, []), (3, 'I', 2, ['user:'])
+    ), edits(state, edit, given, next) as (
+        values (0, 'K', 's', 1), (0, 'K', 'u', 2), (1, 'K', 'u', 2), (2, 'K', 'a', 3),
+               (3, 'K', 'u', 2), (0, 'R', 'user', 2), (1, 'R', 'user', 2),
+               (2, 'R', 'assistant', 3), (3, 'R', 'user', 2),
+               (0, 'D', '', 0), (1, 'D', '', 1), (2, 'D', '', 2), (3, 'D', '', 3)
+    ), paths as (
+        select distinct conv_id, cast(0 as bigint) as place, 0 as state, cast(0 as bigint) as cost,
+               '' as audit, cast([] as varchar[]) as kept
+        from conversations
+        union all
+        select conv_id, place, state, cost, audit, kept from (
+            select p.conv_id, r.place, e.next as state,
+                   p.cost + 2 * length(m.inserted)
+                   + case e.edit when 'D' then 3 when 'R' then 2 else 0 end
+                   + case when r.truncated and e.edit <> 'D' then 1 else 0 end as cost,
+                   p.audit || m.inserted || e.edit as audit,
+                   list_concat(p.kept, m.rows, case e.edit
+                       when 'D' then [] when 'K' then [r.role || ':' || r.text]
+                       else [e.given || ':' || r.text] end) as kept
+            from paths p
+            join found r on r.conv_id is not distinct from p.conv_id and r.place = p.place + 1
+            join moves m on m.state = p.state
+            join edits e on e.state = m.next
+             and (e.edit = 'D' or not (r.blank or r.duplicate))
+             and (e.edit <> 'K' or left(r.role, 1) = e.given)
+        ) qualify row_number() over (partition by conv_id, state order by cost, audit) = 1
+    ), counts as (
+        select conv_id, count(role) as n,
+               coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+               count_if(blank) as blank, count_if(duplicate) as duplicate,
+               count_if(truncated) as truncated, count_if(illegal) as illegal
+        from (select distinct conv_id from conversations) as ids
+        left join (select conv_id as c, * exclude (conv_id) from found) as f
+          on c is not distinct from conv_id
+        group by conv_id
+    ), tails(state, inserted, rows) as (
+        values (0, '', []), (1, 'II', ['user:', 'assistant:']), (2, 'I', ['assistant:']), (3, '', [])
+    )
+    select c.conv_id, cast(gaps as bigint) as gaps, cast(blank as bigint) as blank,
+           cast(duplicate as bigint) as duplicate, cast(truncated as bigint) as truncated,
+           cast(illegal as bigint) as illegal, p.cost + 2 * length(t.inserted) as cost,
+           p.audit || t.inserted as audit,
+           sha256(array_to_string(list_concat(p.kept, t.rows), chr(10))) as repaired_sha256
+    from counts c
+    join paths p on p.conv_id is not distinct from c.conv_id and p.place = c.n
+    join tails t on t.state = p.state
+    qualify row_number() over (
+        partition by c.conv_id order by p.cost + 2 * length(t.inserted), p.audit || t.inserted) = 1
+"""
+
 ORACLE_SQL = {
+    "op11_conversation_repair": _REPAIR,
     "op8_exact_dedup": _EXACT,
     "op9_quality_rules": _QUALITY.format(documents="documents"),
 }
