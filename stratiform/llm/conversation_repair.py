@@ -11,12 +11,12 @@ cost. A state is the next row and what may follow there (``START`` and so on); t
 failed states holds for each the least cost it is known to need, over all bounds. A bound that
 fails is raised to the least cost that exceeded it, so the first path found is the answer.
 
-One search covers at most ``rows`` rows. A longer conversation is sorted by ranges, cut into
-chunks, and each chunk is searched from every state to every state, all in parallel. One pass
-backwards over the chunks adds these costs up to what remains after each chunk; a second search
-of each chunk, again from every state, takes the answer under what remains; a pass forwards
-picks the state that each chunk begins in. Only chunk records, ``rows`` times fewer than rows,
-meet in one task there. The rows themselves pass one by one, in order, through the task that
+One search covers at most ``ROWS`` rows. A longer conversation is sorted by ranges, cut into
+chunks of ``CHUNK`` rows, and each chunk is searched from every state to every state, all in
+parallel. One pass backwards over the chunks adds these costs up to what remains after each
+chunk; a second search of each chunk, again from every state, takes the answer under what
+remains; a pass forwards picks the state that each chunk begins in. Only chunk records,
+``CHUNK`` times fewer than rows, meet in one task there. The rows themselves pass one by one, in order, through the task that
 hashes them in the end, as one digest over a whole conversation has to.
 
 Defined results: a null conversation id is a conversation of its own. Null turns come first
@@ -56,7 +56,7 @@ NEVER = 1 << 60
 LEGAL = {"su", "ua", "au"}
 WHITE = " \t\n\x0b\x0c\r"
 
-ROWS = 128
+ROWS, CHUNK = 128, 32
 CHARS = 1 << 24
 
 EDITS = (
@@ -114,18 +114,22 @@ def _symbol(role: str, text: str, duplicate: bool) -> str:
 
 
 def search(
-    symbols: str, entry: int = START, remains: tuple[int, ...] = END
+    symbols: str,
+    entry: int = START,
+    remains: tuple[int, ...] = END,
+    needs: dict[tuple[int, int], int] | None = None,
 ) -> tuple[int, str, int]:
     """Cost of the rows and of what remains after them, the edits, the state after them.
 
     ``remains`` is the cost after the last row by state, ``NEVER`` where it may not end.
+    ``needs`` is the table of failed states; searches that only differ in ``entry`` share it.
     """
     n, least_rest = len(symbols), min(remains)
     floor = [least_rest] * (n + 1)
     for i in range(n - 1, -1, -1):
         own = DELETE if symbols[i] == "d" else TRUNCATED if symbols[i].isupper() else 0
         floor[i] = floor[i + 1] + own
-    needs: dict[tuple[int, int], int] = {}  # of failed states
+    needs = {} if needs is None else needs
 
     def moves(i, q):
         row = symbols[i]
@@ -156,7 +160,7 @@ def search(
         needs[i, q] = max(least, needs.get((i, q), 0))
         return None
 
-    bound = floor[0]
+    bound = needs.get((0, entry), floor[0])
     while True:
         found = dive(0, entry, bound)
         if found is not None:
@@ -166,17 +170,18 @@ def search(
 
 def crossing(symbols: str) -> list[int]:
     """Cost of the rows from each state to each state, row by row, ``NEVER`` if impossible."""
-    costs = []
-    for entry in range(4):
-        for leave in range(4):
-            reached = (
-                leave in (ASSISTANT, USER)
-                or leave == entry
-                or (entry == START and leave == FIRST_USER and "s" in symbols.lower())
-            )
-            only = tuple(0 if q == leave else NEVER for q in range(4))
-            costs.append(search(symbols, entry, only)[0] if reached else NEVER)
-    return costs
+    costs = [[NEVER] * 4 for _ in range(4)]
+    # Before any user row, rows can only have been deleted, but for one system row.
+    nothing = DELETE * len(symbols)
+    costs[START][START] = costs[FIRST_USER][FIRST_USER] = nothing
+    system = [TRUNCATED if row == "S" else 0 for row in symbols if row in "sS"]
+    if system:
+        costs[START][FIRST_USER] = nothing - DELETE + min(system)
+    for leave in (ASSISTANT, USER):
+        only, needs = tuple(0 if q == leave else NEVER for q in range(4)), {}
+        for entry in range(4):
+            costs[entry][leave] = search(symbols, entry, only, needs)[0]
+    return [cost for row in costs for cost in row]
 
 
 @functools.lru_cache(maxsize=1 << 14)
@@ -322,9 +327,9 @@ def _backwards(batches) -> Iterator[tuple]:
 def _answers(batches) -> Iterator[tuple]:
     """The answer of each chunk by the state it begins in, and the state it leaves."""
     for conv_id, part, chunk, symbols, remains, last in _rows(batches):
-        edits, leaves = [], []
+        edits, leaves, needs = [], [], {}
         for entry in range(4):
-            _, found, after = search(symbols, entry, tuple(remains))
+            _, found, after = search(symbols, entry, tuple(remains), needs)
             edits.append(found + (TAILS[after] if last else ""))
             leaves.append(after)
         yield conv_id, part, chunk, edits, leaves
@@ -401,14 +406,17 @@ def _long(rows: DataFrame, chunk: int, kinds: dict[str, str]) -> DataFrame:
         for *key, symbols in _rows(batches):
             yield *key, symbols, crossing(symbols)
 
-    costs = _map(chunks, crossings, base + "symbols string, costs array<bigint>")
+    # The records are small and the searches are not, so the tasks are many, whatever the bytes.
+    many = int(numbered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = chunks.repartition(many, "conv_id", "part", "chunk")
+    costs = _map(spread, crossings, base + "symbols string, costs array<bigint>")
     back = _map(
         _in_order(costs, F.desc("part"), F.desc("chunk")),
         _backwards,
         base + "symbols string, remains array<bigint>, last boolean",
     )
     answers = _map(
-        back.repartition("conv_id", "part", "chunk"),
+        back.repartition(many, "conv_id", "part", "chunk"),
         _answers,
         base + "edits array<string>, leaves array<bigint>",
     )
@@ -458,7 +466,7 @@ def _pieces(rows: DataFrame, longest: int, chars: int):
         return _in_order(rows, "turn", "role", "text"), None, kinds
     same = rows["conv_id"].eqNullSafe(over["_id"])
     short = _in_order(rows.join(over, same, "left_anti"), "turn", "role", "text")
-    return short, _long(rows.join(over, same, "left_semi"), longest, kinds), kinds
+    return short, _long(rows.join(over, same, "left_semi"), min(longest, CHUNK), kinds), kinds
 
 
 def _both(rows: DataFrame, longest: int, chars: int, schema: str, of_edits) -> DataFrame:
