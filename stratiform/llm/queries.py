@@ -10,8 +10,10 @@ from stratiform.llm import (
     jaccard_join,
     language_id,
     packing,
+    phrase_mining,
     quality_classifier,
     quality_rules,
+    secret_scan,
     suffix_dedup,
     url_filters,
 )
@@ -77,6 +79,14 @@ def op11_conversation_repair(spark, sf_dir):
     return conversation_repair.report(conversation_repair.damaged(rows))
 
 
+def op12_phrase_mining(spark, sf_dir):
+    return phrase_mining.mine(read(spark, sf_dir, "documents"))
+
+
+def op13_secret_scan(spark, sf_dir):
+    return secret_scan.report(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_packing": op2_packing,
@@ -89,6 +99,8 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_phrase_mining": op12_phrase_mining,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 _WS = r"[\x20\x09-\x0D]+"
@@ -233,7 +245,60 @@ _REPAIR = r"""
         partition by c.conv_id order by p.cost + 2 * length(t.inserted), p.audit || t.inserted) = 1
 """
 
+_PHRASES = r"""
+    with pieces as (
+        select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w
+        from (select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+              from documents)
+    ), places as (
+        select lang, w, unnest(range(1, len(w) + 1)) as i from pieces
+    ), f1 as (
+        select lang, w[i] as p, count(*) as f from places group by all
+    ), f2 as (
+        select lang, w[i] as x, w[i + 1] as y, count(*) as f
+        from places where i + 1 <= len(w) group by all
+    ), f3 as (
+        select lang, w[i] as x, w[i + 1] as y, w[i + 2] as z, count(*) as f
+        from places where i + 2 <= len(w) group by all having count(*) >= 10
+    ), pairs as (
+        select lang, x, y, c.f as a, fx.f as l, fy.f as r,
+               (1000000::hugeint * c.f * c.f) // (fx.f::hugeint * fy.f) as score
+        from f2 c join f1 fx using (lang) join f1 fy using (lang)
+        where fx.p = c.x and fy.p = c.y and c.f >= 10
+    ), cuts as (
+        select c.lang, c.x, c.y, c.z, c.f as a, fx.f as l1, yz.f as r1, xy.f as l2, fz.f as r2,
+               (1000000::hugeint * c.f * c.f) // (fx.f::hugeint * yz.f) as s1,
+               (1000000::hugeint * c.f * c.f) // (xy.f::hugeint * fz.f) as s2
+        from f3 c
+        join f1 fx on fx.lang = c.lang and fx.p = c.x
+        join f1 fz on fz.lang = c.lang and fz.p = c.z
+        join f2 xy on xy.lang = c.lang and xy.x = c.x and xy.y = c.y
+        join f2 yz on yz.lang = c.lang and yz.x = c.y and yz.y = c.z
+    ), around as (
+        select lang, x, y, max(f) as longer
+        from (select lang, x, y, f from f3 union all select lang, y, z, f from f3) group by all
+    ), kept as (
+        select lang, x || ' ' || y as phrase, a, l, r, score
+        from pairs left join around using (lang, x, y)
+        where longer is null or 100 * longer < 50 * a
+        union all
+        select lang, x || ' ' || y || ' ' || z, a, case when s1 <= s2 then l1 else l2 end,
+               case when s1 <= s2 then r1 else r2 end, least(s1, s2)
+        from cuts
+    ), totals as (
+        select lang, cast(sum(f) as bigint) as n from f1 group by lang
+    )
+    select lang, rank, phrase, a, l, r, n, score from (
+        select lang, phrase, a, l, r, cast(score as bigint) as score,
+               row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+        from kept) join totals using (lang)
+    where rank <= 2000
+"""
+
 ORACLE_SQL = {
+    "op12_phrase_mining": _PHRASES,
     "op11_conversation_repair": _REPAIR,
     "op8_exact_dedup": _EXACT,
     "op9_quality_rules": _QUALITY.format(documents="documents"),
