@@ -21,6 +21,7 @@ from stratiform.plans import (
     fct_orders_daily,
     int_orders_enriched,
     quality_report,
+    read_daily,
     run_layers,
     run_models,
     sample_curated,
@@ -30,6 +31,7 @@ from stratiform.plans import (
     stg_sales_transactions,
     stg_sample,
 )
+from stratiform.plans.graph import MODELS
 from stratiform.plans.adapters import (
     raw_orders,
     raw_sales_transactions,
@@ -47,6 +49,7 @@ from stratiform.sinks import (
 )
 from stratiform.sources import (
     RawSource,
+    declare_sources,
     land_raw,
     landing_path,
     preview,
@@ -64,6 +67,8 @@ if _LLM:
 
 AS_OF = dt.date(2001, 8, 1)
 RANGE = (dt.date(1998, 1, 1), dt.date(1998, 3, 31))
+EVENTS_FROM = dt.date(2024, 1, 10)
+LATE_DAYS = (dt.date(1995, 3, 1), dt.date(1995, 3, 31))
 CLOCKS = ("load_ts", "ingestion_ts", "ingested_at", "enriched_ts", "built_ts")
 
 RAW_SCHEMA = "id BIGINT, name STRING, amount DOUBLE, event_ts TIMESTAMP"
@@ -122,6 +127,21 @@ def _scan_hive_partitions(spark, sf_dir):
     return read_raw(spark, source)
 
 
+def _raw_table(spark, sf_dir):
+    cfg = _sandbox(spark, "dev", sources=(RawSource("events", (f"{sf_dir}/event[s].parquet",)),))
+    return _elsewhere(spark, declare_sources(spark, cfg)[0])
+
+
+def _raw_table_partitions(spark, sf_dir):
+    """A table over folders by day, of which a filter on the day lists only those it needs."""
+    root = fresh_path(spark, "land-days")
+    dated = _sample(spark, sf_dir).withColumn("ingest_date", F.to_date("event_ts"))
+    path = land_raw(dated.repartition(8, "ingest_date"), root, "sales", "sample", partition_by=["ingest_date"])
+    source = RawSource("sample_ext", (f"{path}/*/*.parquet",), base_path=root)
+    name = declare_sources(spark, _sandbox(spark, "dev", sources=(source,)))[0]
+    return _elsewhere(spark, name).where(F.col("ingest_date") >= F.lit(EVENTS_FROM))
+
+
 def _curated_passthrough(spark, sf_dir):
     root = fresh_path(spark, "curated")
     write_partitioned(table(spark, sf_dir, "customer"), f"{root}/customer")
@@ -179,11 +199,16 @@ def _namespace(spark: SparkSession, label: str) -> str:
 def _sandbox(spark: SparkSession, env: str, **settings) -> EnvConfig:
     """An environment of its own for one query."""
     cfg = EnvConfig(env=env, sandbox=uuid.uuid4().hex, **settings)
-    for layer in ("curated", "analytics", "enterprise"):
+    for layer in ("raw_ext", "curated", "analytics", "enterprise"):
         ensure_namespace(spark, cfg.namespace(layer), fresh_path(spark, layer))
     return cfg
 
 
+def _elsewhere(spark: SparkSession, name: str) -> DataFrame:
+    """A table or view as another session over the same catalog finds it."""
+    return prepare(spark.newSession()).table(name)
+
+
 def _stg_sample(spark, sf_dir):
     namespace = _namespace(spark, "sample")
     return _no_clock(publish_table(stg_sample(_sample(spark, sf_dir)), f"{namespace}.stg_sample"))
@@ -271,20 +296,83 @@ def _fct_by_date_range(spark, sf_dir):
     )
 
 
+def _fct_orders_daily_late(spark, sf_dir):
+    """The fact after a run that finds orders years older than its look-back.
+
+    The first run knows no order of ``LATE_DAYS`` with an odd key; then these land.
+    """
+    root = fresh_path(spark, "raw-late")
+    raw = raw_orders(spark, sf_dir)
+    late = F.to_date("event_ts").between(*LATE_DAYS) & (F.coalesce("id", F.lit(1)) % 2 == 1)
+    cfg = _sandbox(
+        spark,
+        "dev",
+        sources=(RawSource("orders", (land_raw(raw.where(~late), root, "sales", "orders"),)),),
+        enable_sales_orders=True,
+        late_rows=True,
+    )
+    for rows in (None, raw.where(late)):
+        if rows is not None:
+            land_raw(rows, root, "sales", "orders")
+        run_models(spark, cfg, ["fact"], as_of=AS_OF)
+    return _elsewhere(spark, MODELS["fct_orders_daily"].address(cfg))
+
+
+def _fct_orders_daily_table(spark, sf_dir):
+    """The upsert of :func:`_fct_orders_daily_incremental` into a catalog table."""
+    name = f"{_namespace(spark, 'fct-table')}.fct_orders_daily"
+    return _earlier_and_later(spark, sf_dir, name)
+
+
 def _fct_orders_daily_incremental(spark, sf_dir):
     """A table as an earlier run left it, brought up to date by a later run.
 
     The earlier run knew orders before the last day of the data only, at double the
     amount. The later run replaces the days of its window and leaves those before.
     """
-    path = fresh_path(spark, "fct-incremental")
+    return _earlier_and_later(spark, sf_dir, fresh_path(spark, "fct-incremental"))
+
+
+def _earlier_and_later(spark, sf_dir, target):
     keys = {"keys": ["order_date", "customer_id"], "partition_col": "order_date"}
     orders = _orders(spark, sf_dir)
     before = orders.where(F.col("order_date") < F.date_sub(F.lit(AS_OF), 2))
     doubled = before.withColumn("amount", (F.col("amount") * 2).cast(NUMERIC))
-    upsert_partitions(fct_orders_daily(doubled), path, check_unique=False, **keys)
+    upsert_partitions(fct_orders_daily(doubled), target, check_unique=False, **keys)
     window = fct_orders_daily(orders, incremental=True, as_of=AS_OF)
-    return upsert_partitions(window, path, check_unique=False, **keys)
+    return upsert_partitions(window, target, check_unique=False, **keys)
+
+
+def _guarded_daily(spark, sf_dir):
+    """Some days of a production table whose own property demands that they are named."""
+    cfg = _sandbox(spark, "prod")
+    publish_table(
+        _fct_orders_daily(spark, sf_dir),
+        cfg.table("analytics", "fct_orders_daily"),
+        partition_by=["order_date"],
+        require_partition_filter=cfg.require_partition_filter,
+    )
+    return read_daily(prepare(spark.newSession()), cfg, F.col("order_date").between(*RANGE))
+
+
+def _views(spark, sf_dir) -> EnvConfig:
+    """The view models over landed raw rows."""
+    sources = _seeded(
+        spark,
+        sf_dir,
+        orders=raw_orders(spark, sf_dir),
+        sales_transactions=raw_sales_transactions(spark, sf_dir),
+    )
+    cfg = _sandbox(spark, "dev", sources=sources, enable_sales_orders=True)
+    run_models(spark, cfg, ["views"])
+    return cfg
+
+
+def _view(name):
+    def query(spark, sf_dir):
+        return _no_clock(_elsewhere(spark, MODELS[name].address(_views(spark, sf_dir))))
+
+    return query
 
 
 def _enterprise_orders_daily(spark, sf_dir):
@@ -382,6 +470,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_json": _scan_json,
     "scan_hive_partitions": _scan_hive_partitions,
     "land_and_scan": _land_and_scan,
+    "raw_table": _raw_table,
+    "raw_table_partitions": _raw_table_partitions,
     "curated_passthrough": _curated_passthrough,
     "query_source": _query_source,
     "preview": _preview,
@@ -389,6 +479,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_orders": _stg_orders,
     "stg_sales_transactions": _stg_sales_transactions,
     "stg_customers": _stg_customers,
+    "src_raw_orders_view": _view("src_raw_orders"),
+    "stg_orders_view": _view("stg_orders"),
+    "stg_sales_transactions_view": _view("stg_sales_transactions"),
+    "stg_customers_view": _view("stg_customers"),
+    "int_orders_enriched_view": _view("int_orders_enriched"),
     "stg_sample": _stg_sample,
     "sample_curated": _sample_curated,
     "amount_by_name_gold": _gold,
@@ -404,6 +499,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fct_orders_daily_round_trip": _fct_round_trip,
     "fct_by_date_range": _fct_by_date_range,
     "fct_orders_daily_incremental": _fct_orders_daily_incremental,
+    "fct_orders_daily_table": _fct_orders_daily_table,
+    "fct_orders_daily_late": _fct_orders_daily_late,
+    "guarded_daily": _guarded_daily,
     "enterprise_orders_daily": _enterprise_orders_daily,
     "append_load": _append_load,
     "copy_table": _copy_table,
@@ -526,6 +624,31 @@ def oracle_sql() -> dict[str, str]:
     gold_dirty = _GOLD.format(env="dev")
     start, end = (f"date '{d}'" for d in RANGE)
     today = f"date '{AS_OF}'"
+    doubled = _with(
+        f"""
+        select order_date, customer_id, nb_orders,
+               cast(case when order_date >= {today} - 7 then total_amount
+                         else total_amount * 2 end as decimal(38, 9)) as total_amount
+        from daily
+        """,
+        **orders,
+        daily=_DAILY,
+    )
+    days = _with(
+        f"select * from daily where order_date between {start} and {end}",
+        **orders,
+        daily=_DAILY,
+    )
+    customers = _with(_CUSTOMERS.format(raw="raw_orders"), raw_orders=_RAW_ORDERS)
+    business_names = _with(
+        """
+        select cast(id as varchar) as order_id, name as order_name,
+               cast(amount as decimal(38, 9)) as order_amount,
+               event_ts as order_ts, 'raw_ext' as record_source
+        from raw_orders
+        """,
+        raw_orders=_RAW_ORDERS,
+    )
     extra = dict(llm_queries.ORACLE_SQL) if _LLM else {}
     if _LLM and corpus_pipeline.ORACLE_SQL:
         extra["pipeline"] = corpus_pipeline.ORACLE_SQL
@@ -537,20 +660,23 @@ def oracle_sql() -> dict[str, str]:
         "ts as event_ts, 'sales' as domain, 'sample' as dataset, "
         "cast(ts as date) as ingest_date from events",
         "land_and_scan": _RAW_SAMPLE,
+        "raw_table": "select * from events",
+        "raw_table_partitions": "select event_id as id, event_type as name, value as amount, "
+        "ts as event_ts, 'sales' as domain, 'sample' as dataset, "
+        f"cast(ts as date) as ingest_date from events where ts >= date '{EVENTS_FROM}'",
         "curated_passthrough": "select * from customer",
         "query_source": f"select * from ({_RAW_SAMPLE}) where amount >= 10",
-        "src_raw_orders": _with(
-            """
-            select cast(id as varchar) as order_id, name as order_name,
-                   cast(amount as decimal(38, 9)) as order_amount,
-                   event_ts as order_ts, 'raw_ext' as record_source
-            from raw_orders
-            """,
-            raw_orders=_RAW_ORDERS,
+        "src_raw_orders": business_names,
+        "src_raw_orders_view": business_names,
+        "stg_orders_view": _with(_STG_ORDERS, raw_orders=_RAW_ORDERS),
+        "stg_sales_transactions_view": _with(
+            _STG_TRANSACTIONS, raw_transactions=_RAW_TRANSACTIONS
         ),
+        "stg_customers_view": customers,
+        "int_orders_enriched_view": _with(_ENRICHED, **orders, **transactions),
         "stg_orders": _with(_STG_ORDERS, raw_orders=_RAW_ORDERS),
         "stg_sales_transactions": _with(_STG_TRANSACTIONS, raw_transactions=_RAW_TRANSACTIONS),
-        "stg_customers": _with(_CUSTOMERS.format(raw="raw_orders"), raw_orders=_RAW_ORDERS),
+        "stg_customers": customers,
         "stg_sample": _with(
             """
             select id, name, cast(amount as decimal(38, 9)) as amount, event_ts,
@@ -597,21 +723,11 @@ def oracle_sql() -> dict[str, str]:
             daily=_DAILY,
         ),
         "fct_orders_daily_round_trip": daily,
-        "fct_by_date_range": _with(
-            f"select * from daily where order_date between {start} and {end}",
-            **orders,
-            daily=_DAILY,
-        ),
-        "fct_orders_daily_incremental": _with(
-            f"""
-            select order_date, customer_id, nb_orders,
-                   cast(case when order_date >= {today} - 7 then total_amount
-                             else total_amount * 2 end as decimal(38, 9)) as total_amount
-            from daily
-            """,
-            **orders,
-            daily=_DAILY,
-        ),
+        "fct_by_date_range": days,
+        "guarded_daily": days,
+        "fct_orders_daily_incremental": doubled,
+        "fct_orders_daily_table": doubled,
+        "fct_orders_daily_late": daily,
         "enterprise_orders_daily": daily,
         "append_load": _with(_STG_TRANSACTIONS, raw_transactions=_RAW_TRANSACTIONS),
         "copy_table": "select * from customer",

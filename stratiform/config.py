@@ -27,7 +27,9 @@ class EnvConfig:
 
     ``catalog`` names a DataSource V2 catalog configured on the session. When it
     is ``None`` tables live in the session catalog as Parquet tables. ``sandbox``
-    sets a private copy of the environment's namespaces apart from the shared one.
+    sets a private copy of the environment's namespaces apart from the shared one. With
+    ``late_rows`` later runs of the daily fact take in the files that came since, whatever
+    their days; without it they look back some days.
     """
 
     env: str = "dev"
@@ -36,6 +38,7 @@ class EnvConfig:
     sources: tuple = field(default_factory=tuple)
     enable_sales_orders: bool = False
     sandbox: str = ""
+    late_rows: bool = False
 
     def __post_init__(self) -> None:
         if self.env not in ENVIRONMENTS:

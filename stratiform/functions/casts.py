@@ -38,20 +38,26 @@ def _cannot_fail(source: T.DataType, target: str) -> bool:
     return isinstance(source, _TEMPORAL)
 
 
-def _attempt(value: Column, source: T.DataType, target: str) -> Column:
+def _attempt(value: str, source: T.DataType, target: str) -> str:
     """The cast with NULL for whatever does not fit."""
     if target == INT64 and isinstance(source, _FRACTIONAL):
-        value = F.round(value)  # halves go away from zero, as integer casts must
+        value = f"round({value})"  # halves go away from zero, as integer casts must
     if target == TIMESTAMP and isinstance(source, T.StringType):
-        value = F.when(value.rlike(_STARTS_WITH_DATE), value)
-    return value.try_cast(target)
+        value = f"CASE WHEN {value} RLIKE r'{_STARTS_WITH_DATE}' THEN {value} END"
+    return f"try_cast({value} AS {target})"
 
 
 def safe(df: DataFrame, name: str, target: str) -> Column:
     """Cast column ``name``; a value that does not fit becomes NULL."""
-    source = _source_type(df, name, target)
-    value = F.col(name)
-    return value.cast(target) if _cannot_fail(source, target) else _attempt(value, source, target)
+    return F.expr(safe_sql(df.schema, name, target))
+
+
+def safe_sql(schema: T.StructType, name: str, target: str) -> str:
+    """:func:`safe` as SQL text, for definitions that outlive the session."""
+    source, value = _source_type(schema, name, target), quoted(name)
+    if _cannot_fail(source, target):
+        return f"CAST({value} AS {target})"
+    return _attempt(value, source, target)
 
 
 def strict(df: DataFrame, name: str, target: str) -> Column:
@@ -60,27 +66,36 @@ def strict(df: DataFrame, name: str, target: str) -> Column:
     This includes NaN and infinities on the way to NUMERIC, which a plain cast
     would quietly turn into NULL.
     """
-    source = _source_type(df, name, target)
-    value = F.col(name)
+    return F.expr(strict_sql(df.schema, name, target))
+
+
+def strict_sql(schema: T.StructType, name: str, target: str) -> str:
+    """:func:`strict` as SQL text."""
+    source, value = _source_type(schema, name, target), quoted(name)
     if _cannot_fail(source, target):
-        return value.cast(target)
-    problem = F.concat(F.lit(f"cannot cast {name} to {target}: "), value.cast("string"))
-    return F.coalesce(
-        _attempt(value, source, target),
-        F.when(value.isNotNull(), F.raise_error(problem).cast(target)),
+        return f"CAST({value} AS {target})"
+    label = name.replace("\\", "\\\\").replace("'", "\\'")
+    problem = f"concat('cannot cast {label} to {target}: ', CAST({value} AS STRING))"
+    return (
+        f"coalesce({_attempt(value, source, target)}, "
+        f"CASE WHEN {value} IS NOT NULL THEN CAST(raise_error({problem}) AS {target}) END)"
     )
 
 
+def quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
 def utc_date(timestamp: Column) -> Column:
     """Date of a timestamp; the session zone is UTC."""
     return F.to_date(timestamp)
 
 
-def _source_type(df: DataFrame, name: str, target: str) -> T.DataType:
+def _source_type(schema: T.StructType, name: str, target: str) -> T.DataType:
     """Type of the column; a number is no point in time and a point in time no number."""
     if target not in _CASTABLE:
         raise ValueError(f"unsupported target type {target!r}, expected one of {_CASTABLE}")
-    source = df.schema[name].dataType
+    source = schema[name].dataType
     numbers = (*_WHOLE, *_FRACTIONAL)
     refused = {TIMESTAMP: numbers, INT64: _TEMPORAL, NUMERIC: _TEMPORAL}
     if isinstance(source, refused.get(target, ())):

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -59,6 +61,25 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     )
 
 
+def observed(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, Observation | None]:
+    """The frame, with the checks counted by whatever next writes it, and where they appear.
+
+    Put it after the last shuffle of what is written: a shuffle may read its input twice.
+    """
+    if not checks:
+        return df, None
+    counted = Observation()
+    return df.observe(counted, *[c.failing.alias(f"f{i}") for i, c in enumerate(checks)]), counted
+
+
+def failed(counted: Observation | None, checks: Sequence[Check]) -> list[str]:
+    """Messages of the checks that did not hold while the rows were written."""
+    if counted is None:
+        return []
+    found = counted.get
+    return [f"{c.message} ({found[f'f{i}']})" for i, c in enumerate(checks) if found[f"f{i}"]]
+
+
 def enforce(report: DataFrame) -> DataFrame:
     """Raise :class:`QualityError` if a check of the report failed.
 
@@ -86,9 +107,11 @@ def order_null_rows(orders: DataFrame) -> DataFrame:
     return orders.where(F.col("order_id").isNull())
 
 
-def enterprise_null_rows(enterprise: DataFrame) -> DataFrame:
+def enterprise_null_rows(
+    enterprise: DataFrame, keys: Sequence[str] = ("order_date", "customer_id")
+) -> DataFrame:
     """Offending rows: a published daily row without one of its key columns."""
-    return enterprise.where(F.col("order_date").isNull() | F.col("customer_id").isNull())
+    return enterprise.where(reduce(operator.or_, [F.col(key).isNull() for key in keys]))
 
 
 def sample_checks() -> list[Check]:

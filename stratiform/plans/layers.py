@@ -16,8 +16,9 @@ from stratiform.operators.checks import (
 )
 from stratiform.plans.curated import amount_by_name_gold, sample_curated
 from stratiform.session import prepare
-from stratiform.sinks import ensure_namespace, publish_table, publish_view
+from stratiform.sinks import ensure_namespace, publish_table
 from stratiform.sources import preview, read_raw
+from stratiform.sources.catalog import declare_raw
 from stratiform.sources.readers import plan_text
 from stratiform.sources.registry import source_named
 
@@ -106,9 +107,11 @@ def _quality(spark: SparkSession, cfg: EnvConfig) -> DataFrame:
 
 
 def _run_external(spark: SparkSession, cfg: EnvConfig) -> str:
-    view = cfg.view("curated", "ext_sample_parquet")
-    preview(publish_view(_raw(spark, cfg), view), 10).collect()
-    return view
+    """The raw sample as an external table, which stays when the session ends."""
+    name = f"{cfg.namespace('curated')}.ext_sample_parquet"
+    declare_raw(spark, source_named(cfg.sources, SAMPLE_SOURCE), name)
+    preview(spark.table(name), 10).collect()
+    return name
 
 
 def _run_curated(spark: SparkSession, cfg: EnvConfig) -> str:

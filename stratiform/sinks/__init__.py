@@ -4,7 +4,6 @@ from stratiform.sinks.tables import (
     ensure_namespace,
     publish_table,
     publish_view,
-    restore_table,
     staged,
     verify_readable,
     write_partitioned,
@@ -12,6 +11,7 @@ from stratiform.sinks.tables import (
     write_v2,
 )
 from stratiform.sinks.upsert import DuplicateKeys, upsert_partitions
+from stratiform.sinks.versions import set_guard
 
 __all__ = [
     "DuplicateKeys",
@@ -20,7 +20,7 @@ __all__ = [
     "ensure_namespace",
     "publish_table",
     "publish_view",
-    "restore_table",
+    "set_guard",
     "staged",
     "upsert_partitions",
     "verify_readable",

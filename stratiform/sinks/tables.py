@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 import contextlib
-import uuid
 from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.operators.checks import Check, QualityError, enforce, run_checks
+from stratiform.operators.checks import Check, QualityError, enforce, failed, observed
+from stratiform.operators.checks import run_checks
 from stratiform.session import fresh_path
-from stratiform.storage import delete_path, is_v2
+from stratiform.sinks import versions
+from stratiform.sources.readers import GUARD
+from stratiform.storage import delete_path, estimated_bytes, is_v2, table_properties
 
-# Marks the folders publish_table made, so that it never deletes any other.
-_LOCATION = "stratiform.location"
-# Names the complete result of an overwrite that has begun and is not done.
-PENDING = "stratiform.pending"
+# Up to this many bytes for each core, by the optimizer's estimate, a partitioned write is
+# spread over the cores by partition value instead of being packed into few tasks.
+_SMALL_BYTES = 128 * 1024**2
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:
@@ -27,7 +28,7 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
 
 def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
     """Create a namespace unless it exists; ``location`` is where its tables go."""
-    where = f" LOCATION {_text(location)}" if location else ""
+    where = f" LOCATION {versions.text(location)}" if location else ""
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}{where}")
 
 
@@ -38,13 +39,17 @@ def arrange(
 
     Partitioned tables are rebalanced by partition value: each value goes to few
     files, and adaptive execution cuts a value with too many rows into several tasks.
+    It also merges small tasks, which leaves a small frame with thousands of values to one
+    task that makes all the files; such a frame is dealt to the cores by value instead.
     Clustered tables are cut into ranges of the cluster columns; a hash of the whole
     row as last range column lets a range end within a frequent value. Sorting lets
     Parquet statistics skip what a filter on those columns does not need.
     """
     partition_by, cluster_by = list(partition_by), list(cluster_by)
     if partition_by:
-        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+        keys = [F.col(c) for c in partition_by]
+        width = _width_if_small(df)
+        df = df.repartition(width, *keys) if width else df.hint("rebalance", *keys)
         return df.sortWithinPartitions(*partition_by, *cluster_by) if cluster_by else df
     if cluster_by:
         spread = F.xxhash64(*df.columns)
@@ -52,6 +57,22 @@ def arrange(
     return df
 
 
+def _width_if_small(df: DataFrame) -> int | None:
+    """How many tasks write a frame that is surely small.
+
+    The optimizer takes an aggregate for as large as its input, so a frame that counts as
+    small is. Rebalancing, which can cut a frequent value, is for the others.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    advised = df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    limit = min(_SMALL_BYTES, _bytes(df.sparkSession, advised)) * cores
+    return 2 * cores if estimated_bytes(df) <= limit else None
+
+
+def _bytes(spark: SparkSession, size: str) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -88,90 +109,46 @@ def publish_table(
     cluster_by: Sequence[str] = (),
     comment: str | None = None,
     properties: Mapping[str, str] | None = None,
-    keep_previous: bool = False,
+    require_partition_filter: bool | None = None,
 ) -> DataFrame:
-    """Full refresh of a table: write, audit, then publish.
-
-    The checks run on the files just written. Only if they hold does the table
-    change: the new files are declared as a table under another name, which then takes
-    the place of the published one. That moves no data, so data is written once, and a
-    run that fails leaves the published table alone. The files of the version before
-    are removed last, unless ``keep_previous``.
-
-    The version before keeps its catalog entry, as ``<table>__previous``, until the new one
-    has the name. A statement that fails in between gives it its name back; after a driver
-    that died there, for which readers find no table, the next write to the table does
-    (``restore_table``). Names that end in ``__next`` and ``__previous`` are reserved.
+    """Full refresh of a table: write and check, then publish by one statement.
+
+    The checks are counted while the rows are written, so nothing reads them twice. Only if
+    they hold does the name point at the new files (see ``versions``); a run that fails
+    leaves the published table alone, its rows stay where the error says. Readers find the
+    rows before or the new ones, at any moment. The version before stays until the next
+    publication.
+
+    ``require_partition_filter`` says whether guarded reads have to name partitions; unless
+    given, that stays as it is.
     """
     spark = df.sparkSession
     if is_v2(spark, table):
         return _publish_v2(df, table, checks, partition_by, cluster_by, comment, properties)
-    table = table.removeprefix("spark_catalog.")  # a rename takes no catalog name there
-    restore_table(spark, table)
-    namespace, name = _split(spark, table)
-    root = spark.catalog.getDatabase(namespace).locationUri.rstrip("/")
-    location = f"{root}/{name}__{uuid.uuid4().hex}"
-    written = write_partitioned(df, location, partition_by=partition_by, cluster_by=cluster_by)
-    _audit(written, checks, table, location)
-    previous = table_property(spark, table, _LOCATION)
-    _create_table(
-        df,
-        f"{table}__next",
-        location,
-        partition_by,
-        comment,
-        {**(properties or {}), _LOCATION: location},
-    )
-    _switch(spark, table)
-    if previous and not keep_previous:
-        delete_path(spark, previous)
-    return _in_order(spark.table(table), df)
-
-
-def _in_order(table: DataFrame, df: DataFrame) -> DataFrame:
-    """The columns of the table in the order of the frame; the catalog keeps partitions last."""
-    return table.select(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns])
-
-
-def _switch(spark: SparkSession, table: str) -> None:
-    """Give ``<table>__next`` the name of the table."""
-    try:
-        if spark.catalog.tableExists(table):
-            spark.sql(f"ALTER TABLE {table} RENAME TO {table}__previous")
-        spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
-    except BaseException:
-        restore_table(spark, table)
-        raise
-    spark.sql(f"DROP TABLE IF EXISTS {table}__previous")
+    table = table.removeprefix("spark_catalog.")
+    version, location = versions.new_version(spark, table)
+    watched, counted = observed(arrange(df, partition_by, cluster_by), checks)
+    writer = watched.write
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(location)
+    _refuse(failed(counted, checks), table, location)
+    described = {**(properties or {}), **_guard(spark, table, require_partition_filter)}
+    versions.declare(spark, version, location, df.schema.toDDL(), partition_by, described)
+    versions.point(spark, table, version, df.columns, comment, described)
+    return spark.table(table)
 
 
-def restore_table(spark: SparkSession, table: str) -> None:
-    """Finish or undo a publication that was interrupted between its statements.
+def _guard(spark: SparkSession, table: str, required: bool | None) -> dict[str, str]:
+    if required is None:
+        found = table_properties(spark, table) if spark.catalog.tableExists(table) else {}
+        return {GUARD: found[GUARD]} if GUARD in found else {}
+    return {GUARD: str(required).lower()}
 
-    Every writer of this module asks for it first, before it looks whether the table exists.
-    """
-    table = table.removeprefix("spark_catalog.")
-    if not spark.catalog.tableExists(f"{table}__previous"):
-        return
-    if spark.catalog.tableExists(table):
-        spark.sql(f"DROP TABLE {table}__previous")
-    else:
-        spark.sql(f"ALTER TABLE {table}__previous RENAME TO {table}")
 
-
-def _create_table(df, table, location, partition_by, comment, properties) -> None:
-    """Declare files already written as a table of the session catalog."""
-    spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(
-        f"CREATE TABLE {table} ({df.schema.toDDL()}) USING parquet"
-        + (f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else "")
-        + f" LOCATION {_text(location)}"
-        + (f" COMMENT {_text(comment)}" if comment else "")
-        + f" TBLPROPERTIES ({_pairs(properties)})"
-    )
-    if partition_by:
-        spark.catalog.recoverPartitions(table)
+def _refuse(problems: Sequence[str], table: str, where: str) -> None:
+    if problems:
+        raise QualityError(f"{table} not published, rows kept in {where}: {'; '.join(problems)}")
 
 
 def write_v2(
@@ -200,21 +177,18 @@ def append_table(df: DataFrame, table: str) -> None:
     """Add rows to an existing table, matching columns by name.
 
     Rows of a partitioned table are arranged first: few files per partition, not one
-    per partition and task. A table with an unfinished upsert is refused, since finishing
-    that would overwrite the rows added.
+    per partition and task. The rows go into the current version.
     """
     spark = df.sparkSession
     if is_v2(spark, table):
         write_v2(df, table, "append")
         return
-    restore_table(spark, table)
-    if table_property(spark, table, PENDING):
-        raise ValueError(f"{table} has an unfinished upsert; run one to finish it")
-    target = spark.table(table).columns
+    version = versions.current(spark, table) or table
+    target = spark.table(version).columns
     if set(df.columns) != set(target):
         raise ValueError(f"columns {df.columns} do not match those of {table}: {target}")
-    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    arrange(df.select(*target), parts).write.insertInto(table)
+    parts = [c.name for c in spark.catalog.listColumns(version) if c.isPartition]
+    arrange(df.select(*target), parts).write.insertInto(version)
 
 
 def write_table(df: DataFrame, table: str, mode: str = "overwrite", **layout) -> None:
@@ -222,8 +196,6 @@ def write_table(df: DataFrame, table: str, mode: str = "overwrite", **layout) ->
     spark = df.sparkSession
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unknown mode {mode!r}, expected overwrite or append")
-    if not is_v2(spark, table):
-        restore_table(spark, table)
     if mode == "append" and spark.catalog.tableExists(table):
         append_table(df, table)
     else:
@@ -254,24 +226,3 @@ def _audit(written: DataFrame, checks: Sequence[Check], table: str, where: str)
         enforce(run_checks(written, checks))
     except QualityError as err:
         raise QualityError(f"{table} not published, rows kept in {where}: {err}") from err
-
-
-def _split(spark: SparkSession, table: str) -> tuple[str, str]:
-    *namespace, name = table.split(".")
-    return ".".join(namespace) or spark.catalog.currentDatabase(), name
-
-
-def table_property(spark: SparkSession, table: str, key: str) -> str | None:
-    if not spark.catalog.tableExists(table):
-        return None
-    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == key).collect()
-    return rows[0]["value"] if rows else None
-
-
-def _text(value: str) -> str:
-    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"
-
-
-def _pairs(properties: Mapping[str, str]) -> str:
-    return ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())

@@ -5,20 +5,17 @@ stays: nothing is ever deleted. Keys compare null-safe, so a NULL customer is up
 rather than added again on each run. One writer at a time.
 
 V2 catalogs do this with MERGE. Without one, only the partitions the new data touches
-are rewritten:
+are rewritten, and each row of them once:
 
 1. the new rows are written to the shared folder, so they are computed once;
-2. the touched partitions are read, without the keys that are replaced;
-3. both together are written to the shared folder and then, from there, over those
-   partitions.
-
-Overwriting partitions deletes each before its new files come, so before it starts, the
-target gets a note of where the complete result lies: a property of the table, or a file
-beside a path target. The note goes once the overwrite is done. A job that dies in between
-leaves partitions missing until the next upsert of the target, which finds the note and
-finishes that overwrite before anything else; doing it twice gives the same rows. Appends
-to such a table are refused. A first build of a path notes that it has begun, and
-what a dead one left is removed.
+2. the touched partitions are read, without the keys that are replaced, and written together
+   with the new rows as the partitions of a new version;
+3. the new version takes the other partitions from the one before, where they lie, and the
+   name is pointed at it.
+
+For a table the last step is one statement (see ``versions``), for a path one small file
+(see ``manifests``). Up to it readers find all partitions as they were, after it all as they
+are; a job that dies before it has changed nothing.
 """
 
 from __future__ import annotations
@@ -28,19 +25,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.session import prepare
-from stratiform.sinks.tables import (
-    PENDING,
-    _text,
-    publish_table,
-    restore_table,
-    staged,
-    table_property,
-    write_partitioned,
-)
-from stratiform.storage import delete_path, is_v2, path_exists, read_note, write_note
-
-_FIRST_BUILD = "first build"
+from stratiform.sinks import manifests, versions
+from stratiform.sinks.tables import arrange, publish_table, staged
+from stratiform.storage import children, is_v2, table_properties
 
 
 class DuplicateKeys(ValueError):
@@ -55,121 +42,92 @@ def upsert_partitions(
     partition_col: str,
     check_unique: bool = True,
     properties: Mapping[str, str] | None = None,
+    require_partition_filter: bool | None = None,
 ) -> DataFrame:
-    """Upsert ``new`` into a table name or Parquet path and return the target.
+    """Upsert ``new`` into a table name or a path and return the target.
 
-    A missing target is created from ``new``, a table with ``properties``. Pass ``check_unique=False`` when the
-    keys are unique by construction, as after grouping by them.
+    A missing target is created from ``new``, a table with ``properties`` and the guard. Pass
+    ``check_unique=False`` when the keys are unique by construction, as after grouping by them.
     """
     spark = new.sparkSession
     keys = list(keys)
     is_path = "/" in target
-    v2 = not is_path and is_v2(spark, target)
-    if not v2:
-        if not is_path:
-            restore_table(spark, target)
-        _finish_pending(spark, target, partition_col)
-    if not _exists(spark, target, is_path):
-        if not check_unique:
-            return _build(new, target, partition_col, properties)
-        with staged(new, "upsert-new") as (rows, _):
-            _refuse_duplicates(rows, keys)
-            return _build(rows, target, partition_col, properties)
-    if v2:
-        with staged(new, "upsert-new") as (rows, _):
-            if check_unique:
-                _refuse_duplicates(rows, keys)
-            return _merge(rows, target, keys, partition_col)
-
+    layout = {"properties": properties, "require_partition_filter": require_partition_filter}
+    exists = manifests.exists(spark, target) if is_path else spark.catalog.tableExists(target)
+    if not exists and not check_unique:
+        return _build(new, target, partition_col, layout)
     with staged(new, "upsert-new") as (rows, _):
         if check_unique:
             _refuse_duplicates(rows, keys)
-        current = spark.read.schema(new.schema).parquet(target) if is_path else spark.table(target)
-        replaced = rows.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
-        kept = _touched(current, rows, partition_col).join(replaced, _same_keys(keys), "left_anti")
-        merged = kept.unionByName(rows).select(*current.columns)
-        merged = merged.hint("rebalance", F.col(partition_col))
-        with staged(merged, "upsert-merged") as (result, path):
-            _note(spark, target, path)
-            _overwrite(result, path, target, partition_col)
-            _note(spark, target, None)
-    return spark.read.schema(new.schema).parquet(target) if is_path else spark.table(target)
-
-
-def _build(new: DataFrame, target: str, partition_col: str, properties) -> DataFrame:
-    if "/" not in target:
-        return publish_table(new, target, partition_by=[partition_col], properties=properties)
-    _note(new.sparkSession, target, _FIRST_BUILD)
-    built = write_partitioned(new, target, partition_by=[partition_col])
-    _note(new.sparkSession, target, None)
-    return built
+        if not exists:
+            return _build(rows, target, partition_col, layout)
+        if is_path:
+            return _upsert_path(rows, target, keys, partition_col)
+        if is_v2(spark, target):
+            return _merge(rows, target, keys, partition_col)
+        return _upsert_table(rows, target, keys, partition_col)
 
 
-def _overwrite(result: DataFrame, path: str, target: str, partition_col: str) -> None:
+def _build(new: DataFrame, target: str, partition_col: str, layout: Mapping) -> DataFrame:
     if "/" not in target:
-        _overwrite_partitions(result, path, target)
-        return
-    writer = result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(partition_col).parquet(target)
-
-
-def _note_file(target: str) -> str:
-    return f"{target.rstrip('/')}.pending"
-
-
-def _note(spark: SparkSession, target: str, text: str | None) -> None:
-    """Write, or with None remove, the note of an overwrite that has begun."""
-    if "/" in target:
-        if text is None:
-            delete_path(spark, _note_file(target))
-        else:
-            write_note(spark, _note_file(target), text)
-    elif text is None:
-        spark.sql(f"ALTER TABLE {target} UNSET TBLPROPERTIES IF EXISTS ('{PENDING}')")
-    else:
-        spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('{PENDING}' = {_text(text)})")
-
-
-def _noted(spark: SparkSession, target: str) -> str | None:
-    if "/" in target:
-        return read_note(spark, _note_file(target))
-    return table_property(spark, target, PENDING)
-
-
-def _finish_pending(spark: SparkSession, target: str, partition_col: str) -> None:
-    """Carry through the overwrite that an earlier job began and did not finish."""
-    noted = _noted(spark, target)
-    if noted is None:
-        return
-    if noted == _FIRST_BUILD:
-        delete_path(spark, target)
-        _note(spark, target, None)
-        return
-    if not path_exists(spark, noted):
-        raise OSError(f"{target} was left half overwritten and its rows in {noted} are gone")
-    _overwrite(spark.read.parquet(noted), noted, target, partition_col)
-    _note(spark, target, None)
-    delete_path(spark, noted)
-
-
-def _overwrite_partitions(result: DataFrame, path: str, table: str) -> None:
-    """Replace exactly the partitions of the table that ``result``, at ``path``, has rows of.
-
-    Inserting into a catalog table heeds the overwrite mode of the session only, not
-    that of the write, so this happens in a session of its own over the same catalog.
-    """
-    spark = result.sparkSession
-    if "." not in table:
-        table = f"{spark.catalog.currentDatabase()}.{table}"
-    own = prepare(spark.newSession())
-    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    files = own.read.schema(result.schema).parquet(path)
-    files.write.mode("overwrite").insertInto(table)
-    spark.catalog.refreshTable(table)
-
-
-def _exists(spark: SparkSession, target: str, is_path: bool) -> bool:
-    return path_exists(spark, target) if is_path else spark.catalog.tableExists(target)
+        return publish_table(new, target, partition_by=[partition_col], **layout)
+    folder = manifests.new_folder(target)
+    _write(new, f"{target.rstrip('/')}/{folder}", partition_col)
+    parts = children(new.sparkSession, f"{target.rstrip('/')}/{folder}")
+    manifests.publish(new.sparkSession, target, [f"{folder}/{p}" for p in _partitions(parts)])
+    return manifests.read(new.sparkSession, target, new.schema)
+
+
+def _write(rows: DataFrame, path: str, partition_col: str) -> None:
+    arrange(rows, [partition_col]).write.partitionBy(partition_col).parquet(path)
+
+
+def _partitions(names: Sequence[str]) -> list[str]:
+    return [name for name in names if "=" in name]
+
+
+def _merged(
+    current: DataFrame, rows: DataFrame, keys: Sequence[str], partition_col: str
+) -> DataFrame:
+    """All rows of the touched partitions as they will be."""
+    replaced = rows.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    kept = _touched(current, rows, partition_col).join(replaced, _same_keys(keys), "left_anti")
+    return kept.unionByName(rows).select(*current.columns)
+
+
+def _upsert_table(
+    rows: DataFrame, target: str, keys: Sequence[str], partition_col: str
+) -> DataFrame:
+    spark = rows.sparkSession
+    before = versions.adopt(spark, target)
+    shown, kept = spark.table(target), table_properties(spark, before)
+    version, location = versions.new_version(spark, target)
+    _write(_merged(shown, rows, keys, partition_col), location, partition_col)
+    if _partitions(children(spark, location)):
+        own = {k: v for k, v in kept.items() if not k.startswith("transient")}
+        ddl = spark.table(before).schema.toDDL()
+        versions.declare(spark, version, location, ddl, [partition_col], own)
+        versions.borrow(spark, version, before)
+        comment = spark.catalog.getTable(target).description
+        described = table_properties(spark, target)
+        versions.point(spark, target, version, shown.columns, comment, described)
+    return spark.table(target)
+
+
+def _upsert_path(
+    rows: DataFrame, target: str, keys: Sequence[str], partition_col: str
+) -> DataFrame:
+    spark = rows.sparkSession
+    root = target.rstrip("/")
+    before = manifests.folders(spark, target)
+    current = manifests.read(spark, target, rows.schema)
+    folder = manifests.new_folder(target)
+    _write(_merged(current, rows, keys, partition_col), f"{root}/{folder}", partition_col)
+    written = _partitions(children(spark, f"{root}/{folder}"))
+    if written:
+        others = [f for f in before if f.rsplit("/", 1)[-1] not in written]
+        manifests.publish(spark, target, [*others, *(f"{folder}/{p}" for p in written)])
+    return manifests.read(spark, target, rows.schema)
 
 
 def _same_keys(keys: Sequence[str]) -> Column:

@@ -1,3 +1,4 @@
+from stratiform.sources.catalog import declare_raw, declare_sources, read_declared
 from stratiform.sources.landing import land_raw, landing_path, seed_raw
 from stratiform.sources.readers import (
     PartitionFilterRequired,
@@ -15,7 +16,6 @@ from stratiform.sources.registry import (
     SourceFormatUnavailable,
     enabled_sources,
     read_raw,
-    register_sources,
 )
 
 __all__ = [
@@ -23,6 +23,8 @@ __all__ = [
     "RawSource",
     "SourceFormatUnavailable",
     "SourceUnavailable",
+    "declare_raw",
+    "declare_sources",
     "enabled_sources",
     "env_check",
     "land_raw",
@@ -30,10 +32,10 @@ __all__ = [
     "one_row",
     "preview",
     "read_curated",
+    "read_declared",
     "read_partitioned",
     "read_query",
     "read_raw",
     "read_table",
-    "register_sources",
     "seed_raw",
 ]

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import contextlib
 import io
-import re
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.config import EnvConfig
-from stratiform.storage import is_v2, path_exists
+from stratiform.storage import is_v2, path_exists, table_property
+
+# The property of a table whose reads have to name partitions.
+GUARD = "stratiform.require_partition_filter"
 
 
 class PartitionFilterRequired(ValueError):
@@ -21,8 +24,26 @@ class SourceUnavailable(RuntimeError):
     """A read needs a catalog or connector the session does not have."""
 
 
-def read_table(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.table(table)
+@dataclass(frozen=True)
+class TableRead:
+    """A table as read: the lazy frame, its columns with their types, and some of its rows."""
+
+    frame: DataFrame
+    schema: dict[str, str]
+    sample: list[dict]
+
+
+def read_table(
+    spark: SparkSession, table: str, where: Column | None = None, *, rows: int = 5
+) -> TableRead:
+    """Read a table by name, with its schema and any ``rows`` rows of it.
+
+    Where the table wants a filter on its partitions, ``where`` has to be one. The sample takes
+    only as many partitions as it needs.
+    """
+    df = read_partitioned(spark, table, where, require_filter=None)
+    sample = [r.asDict() for r in preview(df, rows).collect()]
+    return TableRead(df, dict(df.dtypes), sample)
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
@@ -49,12 +70,14 @@ def read_partitioned(
     source: str | DataFrame,
     where: Column | None = None,
     *,
-    require_filter: bool = True,
+    require_filter: bool | None = True,
 ) -> DataFrame:
     """Rows of a partitioned table or path that satisfy ``where``.
 
     With ``require_filter`` the read is refused unless Spark can use the predicate
-    to skip partitions, so nobody scans the whole history by accident.
+    to skip partitions, so nobody scans the whole history by accident. With None the tables
+    decide: each one below the source, by whatever name or view it comes, that carries the
+    property ``GUARD`` needs such a predicate.
     """
     v2_table = False
     if isinstance(source, DataFrame):
@@ -66,6 +89,8 @@ def read_partitioned(
         v2_table = is_v2(spark, source)
     if where is not None:
         df = df.where(where)
+    if require_filter is None:
+        return guarded(df)
     if require_filter:
         named = v2_table and restricts(df, partition_columns(spark, source))
         if not (named or prunes_partitions(df)):
@@ -73,15 +98,38 @@ def read_partitioned(
     return df
 
 
-def prunes_partitions(df: DataFrame) -> bool:
-    """Whether the file scan in the plan has a filter on partition columns.
+def guarded(df: DataFrame) -> DataFrame:
+    """The frame, unless it scans a table that wants a partition filter without one.
 
-    That a partition has a value at all does not count: it skips next to nothing.
+    The catalog is asked for the property of each table each time, so a switch counts at
+    once in every session.
     """
-    for found in re.findall(r"PartitionFilters: \[(.*)\]", plan_text(df)):
-        if re.sub(r"isnotnull\([^()]*\)|[\s,]", "", found):
-            return True
-    return False
+    open_scans = [t for t, pruned in scans(df) if t is not None and not pruned]
+    for table in dict.fromkeys(open_scans):
+        if table_property(df.sparkSession, table, GUARD) == "true":
+            raise PartitionFilterRequired(f"{table} is read only with a filter on its partitions")
+    return df
+
+
+def scans(df: DataFrame) -> list[tuple[str | None, bool]]:
+    """The file scans of the physical plan: the table, if it is one, and whether the scan
+    skips partitions. That a partition has a value at all does not count: it skips next to nothing.
+    """
+    leaves = df._jdf.queryExecution().sparkPlan().collectLeaves()
+    found = []
+    for leaf in (leaves.apply(k) for k in range(leaves.size())):
+        if leaf.getClass().getSimpleName() != "FileSourceScanExec":
+            continue
+        name, filters = leaf.tableIdentifier(), leaf.partitionFilters()
+        terms = [filters.apply(k).nodeName() for k in range(filters.size())]
+        table = name.get().unquotedString() if name.isDefined() else None
+        found.append((table, any(term != "IsNotNull" for term in terms)))
+    return found
+
+
+def prunes_partitions(df: DataFrame) -> bool:
+    """Whether a file scan of the plan skips partitions."""
+    return any(pruned for _, pruned in scans(df))
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:

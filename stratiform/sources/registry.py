@@ -110,22 +110,6 @@ def _reader_is_missing(err: Exception) -> bool:
     return "DATA_SOURCE_NOT_FOUND" in text or "Failed to find the data source" in text
 
 
-def register_sources(spark: SparkSession, cfg: EnvConfig) -> list[str]:
-    """Make each enabled source a temp view of the raw namespace; returns their names.
-
-    Sources that require a partition filter are left to ``read_raw``: nothing could
-    demand the filter from a query on a view.
-    """
-    names = []
-    for source in enabled_sources(cfg):
-        if source.require_partition_filter:
-            continue
-        view = cfg.view("raw_ext", source.name)
-        read_raw(spark, source).createOrReplaceTempView(view)
-        names.append(view)
-    return names
-
-
 def source_named(sources: Iterable[RawSource], name: str) -> RawSource:
     for source in sources:
         if source.name == name:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -37,7 +37,7 @@ def write_note(spark: SparkSession, path: str, text: str) -> None:
     fs, jpath = _hadoop(spark, path)
     _, draft = _hadoop(spark, f"{path}.draft")
     out = fs.create(draft, True)
-    out.writeUTF(text)
+    out.write(bytearray(text.encode()))
     out.close()
     if not fs.rename(draft, jpath):
         raise OSError(f"cannot write {path}")
@@ -49,7 +49,7 @@ def read_note(spark: SparkSession, path: str) -> str | None:
         return None
     stream = fs.open(jpath)
     try:
-        return stream.readUTF()
+        return bytes(stream.readAllBytes()).decode()
     finally:
         stream.close()
 
@@ -63,3 +63,47 @@ def is_v2(spark: SparkSession, table: str) -> bool:
     parts = table.split(".")
     catalog = parts[0] if len(parts) > 2 else spark.catalog.currentCatalog()
     return bool(spark.conf.get(f"spark.sql.catalog.{catalog}", None))
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no folder."""
+    fs, jpath = _hadoop(spark, path)
+    if not fs.exists(jpath):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(jpath))
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """What the optimizer takes the frame for, from its sources; joins count as products."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def partition_locations(spark: SparkSession, table: str) -> dict[tuple[tuple[str, str], ...], str]:
+    """Where each partition of a catalog table lies, by its columns and values.
+
+    SQL tells names of partitions, and the place of one at a time only.
+    """
+    state, jvm = spark._jsparkSession.sessionState(), spark._jvm
+    name = state.sqlParser().parseTableIdentifier(table)
+    found = state.catalog().listPartitions(name, jvm.scala.Option.empty())
+    result = {}
+    for k in range(found.size()):
+        partition = found.apply(k)
+        pairs = partition.spec().toSeq()
+        spec = tuple((pairs.apply(j)._1(), pairs.apply(j)._2()) for j in range(pairs.size()))
+        result[spec] = partition.location().toString()
+    return result
+
+
+def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def table_property(spark: SparkSession, table: str, key: str) -> str | None:
+    return table_properties(spark, table).get(key)
+
+
+def partition_schema(df: DataFrame) -> list[str]:
+    """Columns of a plain file scan that come from the names of its folders."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return list(leaves.apply(0).relation().partitionSchema().fieldNames())

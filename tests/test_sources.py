@@ -11,6 +11,7 @@ from stratiform.session import (
     DEFAULT_PROFILE,
     diagnostics,
     fresh_path,
+    prepare,
     session_conf,
     shared_dir,
     shuffle_partitions,
@@ -21,6 +22,8 @@ from stratiform.sources import (
     RawSource,
     SourceFormatUnavailable,
     SourceUnavailable,
+    declare_raw,
+    declare_sources,
     enabled_sources,
     env_check,
     land_raw,
@@ -31,7 +34,6 @@ from stratiform.sources import (
     read_query,
     read_raw,
     read_table,
-    register_sources,
     seed_raw,
 )
 from stratiform.sources.readers import partition_columns, plan_text, restricts
@@ -122,9 +124,72 @@ def test_optional_sources(spark, tmp_path, sample):
     off, on = EnvConfig(sources=sources), EnvConfig(sources=sources, enable_sales_orders=True)
     assert [s.name for s in enabled_sources(off)] == ["sample_ext"]
     assert [s.name for s in enabled_sources(on)] == list(names)
-    views = register_sources(spark, on)
-    assert views == [f"raw_ext_dev_{n}" for n in names]
-    assert spark.table(views[1]).count() == 3
+
+
+@pytest.fixture
+def raw_env(spark, tmp_path):
+    cfg = EnvConfig(sandbox=tmp_path.name.replace("-", "_"), enable_sales_orders=True)
+    yield lambda *sources: EnvConfig(
+        sandbox=cfg.sandbox, enable_sales_orders=True, sources=sources
+    )
+    spark.sql(f"DROP NAMESPACE IF EXISTS {cfg.namespace('raw_ext')} CASCADE")
+
+
+def test_raw_tables_are_there_for_other_sessions(spark, tmp_path, sample, raw_env):
+    path = land_raw(sample, str(tmp_path), "sales", "sample")
+    glob = (f"{tmp_path}/domain=*/dataset=sample/*.parquet",)
+    cfg = raw_env(RawSource("sample_ext", (path,)), RawSource("orders", glob))
+    names = declare_sources(spark, cfg)
+    assert names == [f"{cfg.namespace('raw_ext')}.{n}" for n in ("sample_ext", "orders")]
+    other = prepare(spark.newSession())
+    for name in names:
+        assert rows(other.table(name)) == rows(sample)
+    land_raw(sample.where("id = 1"), str(tmp_path), "sales", "sample")
+    declare_sources(spark, cfg)
+    assert [spark.table(name).count() for name in names] == [4, 4]
+    spark.sql(f"DROP TABLE {names[0]}")
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_raw_tables_have_the_partitions_of_their_folders(spark, tmp_path, sample, raw_env):
+    dated = sample.withColumn("day", F.to_date("event_ts")).withColumn("at", F.lit("9:30 / a=b%"))
+    path = land_raw(dated, str(tmp_path), "sales", "orders", partition_by=["day", "at"])
+    land_raw(sample, str(tmp_path), "other", "orders")
+    source = RawSource("orders", (f"{path}/*/*/*.parquet",), base_path=str(tmp_path))
+    (name,) = declare_sources(spark, raw_env(source))
+    table = prepare(spark.newSession()).table(name)
+    assert table.columns == [*sample.columns, "domain", "dataset", "day", "at"]
+    assert rows(table) == rows(sample)
+    assert {r.at for r in table.select("at").collect()} == {"9:30 / a=b%"}
+    one = table.where(F.col("day") == dt.date(2024, 1, 1))
+    assert one.count() == 1 and "InMemoryFileIndex(1 paths)" in plan_text(one, "simple")
+    later = sample.limit(1).withColumn("day", F.lit("2030-05-05")).withColumn("at", F.lit("x"))
+    land_raw(later, str(tmp_path), "sales", "orders", partition_by=["day", "at"])
+    declare_raw(spark, source, name)
+    assert spark.table(name).where("day = date'2030-05-05'").count() == 1
+    assert spark.table(name).count() == 4
+
+
+def test_raw_tables_of_other_formats_and_several_places(spark, tmp_path, sample, raw_env):
+    clean = sample.where("id IS NOT NULL")
+    paths = [land_raw(clean, str(tmp_path), d, "s", file_format="csv") for d in ("a", "b")]
+    json = land_raw(sample, str(tmp_path), "j", "s", file_format="json")
+    cfg = raw_env(
+        RawSource("orders", tuple(paths), "CSV", schema=RAW),
+        RawSource("sample_ext", (json,), "NEWLINE_DELIMITED_JSON", schema=RAW),
+    )
+    orders, sample_ext = declare_sources(spark, cfg)
+    other = prepare(spark.newSession())
+    assert rows(other.table(orders)) == sorted(rows(clean) * 2, key=str)
+    assert rows(other.table(sample_ext)) == rows(sample)
+
+
+def test_a_changed_source_replaces_its_table(spark, tmp_path, sample, raw_env):
+    first = land_raw(sample, str(tmp_path), "a", "s")
+    second = land_raw(sample.withColumn("more", F.lit(1)), str(tmp_path), "b", "s")
+    for path, columns in ((first, 4), (second, 5), (second, 5)):
+        (name,) = declare_sources(spark, raw_env(RawSource("orders", (path,))))
+        assert len(spark.table(name).columns) == columns
 
 
 @pytest.fixture
@@ -160,7 +225,15 @@ def test_guarded_source(spark, partitioned):
     assert read_raw(spark, source, F.col("d") == dt.date(2024, 1, 2)).first().v == 2
     free = RawSource("free", (partitioned,))
     assert read_raw(spark, free, F.col("v") > 1).count() == 2
-    assert register_sources(spark, EnvConfig(sources=(source, free))) == ["raw_ext_dev_free"]
+
+
+def test_a_guarded_source_has_a_guarded_table(spark, partitioned, raw_env):
+    source = RawSource("orders", (partitioned,), require_partition_filter=True)
+    cfg = raw_env(source)
+    (name,) = declare_sources(spark, cfg)
+    with pytest.raises(PartitionFilterRequired):
+        read_table(spark.newSession(), name)
+    assert read_table(spark, name, F.col("d") == dt.date(2024, 1, 2)).sample[0]["v"] == 2
 
 
 def test_partition_columns_in_predicates(spark, namespace):
@@ -179,8 +252,9 @@ def test_partition_columns_in_predicates(spark, namespace):
 
 def test_queries_tables_and_previews(spark, namespace):
     spark.range(20).write.saveAsTable(f"{namespace}.numbers")
-    table = read_table(spark, f"{namespace}.numbers")
-    assert preview(table).count() == 5 and preview(table, 10).count() == 10
+    read = read_table(spark, f"{namespace}.numbers")
+    assert read.schema == {"id": "bigint"} and len(read.sample) == 5
+    assert preview(read.frame).count() == 5 and preview(read.frame, 10).count() == 10
     sql = f"SELECT id FROM {namespace}.numbers WHERE id < :top"
     assert read_query(spark, sql, args={"top": 3}).count() == 3
     with pytest.raises(ValueError):

@@ -6,9 +6,9 @@ from conftest import at
 from pyspark.sql import functions as F
 
 from stratiform.plans import fct_orders_daily, stg_orders
-from stratiform.sinks import DuplicateKeys, append_table, upsert_partitions
+from stratiform.sinks import DuplicateKeys, append_table, manifests, upsert_partitions
 from stratiform.sinks import upsert as module
-from stratiform.storage import delete_path, path_exists
+from stratiform.storage import path_exists
 
 FACT = "order_date DATE, customer_id STRING, nb_orders BIGINT, total_amount DECIMAL(38,9)"
 KEYS = {"keys": ["order_date", "customer_id"], "partition_col": "order_date"}
@@ -78,67 +78,89 @@ def test_touched_partitions_and_those_between(fact, target):
     assert content(upsert_partitions(fact(*NEW), target, **KEYS)) == AFTER
 
 
-def test_untouched_partitions_keep_their_files(spark, fact, tmp_path):
-    target = f"{tmp_path}/fct"
-    upsert_partitions(fact(*BEFORE), target, **KEYS)
-
-    def files():
+def test_untouched_partitions_keep_their_files(spark, fact, target):
+    def files(df):
         found = {}
-        for path in (tmp_path / "fct").glob("order_date=*/*.parquet"):
-            found.setdefault(path.parent.name, set()).add(path.name)
+        for path in df.inputFiles():
+            found.setdefault(path.split("/")[-2], set()).add(path)
         return found
 
-    before = files()
-    upsert_partitions(fact(*NEW), target, **KEYS)
-    after = files()
+    before = files(upsert_partitions(fact(*BEFORE), target, **KEYS))
+    after = files(upsert_partitions(fact(*NEW), target, **KEYS))
     for name, names in before.items():
         assert (after[name] == names) == (name != "order_date=2024-01-08")
 
 
-def test_a_job_that_died_while_overwriting_loses_nothing(spark, fact, target, monkeypatch):
-    """The commit deletes partitions before their new files come; here it gets no further."""
+def test_merged_rows_are_written_once(spark, fact, target, monkeypatch):
+    upsert_partitions(fact(*BEFORE), target, **KEYS)
+    written, real = [], module._write
+    monkeypatch.setattr(
+        module, "_write", lambda rows, *a: written.append(rows.count()) or real(rows, *a)
+    )
+    upsert_partitions(fact(*NEW), target, **KEYS)
+    assert written == [4]  # the touched days only
+
+
+@pytest.mark.parametrize("step", ["declare", "borrow", "point", "publish"])
+def test_a_job_that_died_changed_nothing(spark, fact, target, monkeypatch, step):
     upsert_partitions(fact(*BEFORE), target, **KEYS)
-    later = ((day(9), "bob", 5, 65), (day(10), "eve", 1, 70))
+    before = content(upsert_partitions(fact(), target, **KEYS))
 
-    def die(result, path, where, partition_col):
-        if "/" in where:
-            delete_path(spark, f"{where}/order_date=2024-01-08")
-        else:
-            spark.sql(f"ALTER TABLE {where} DROP PARTITION (order_date = date'2024-01-08')")
+    def die(*args, **kwargs):
         raise ConnectionError
 
-    monkeypatch.setattr(module, "_overwrite", die)
-    with pytest.raises(ConnectionError):
-        upsert_partitions(fact(*NEW), target, **KEYS)
+    monkeypatch.setattr(manifests if step == "publish" else module.versions, step, die)
+    if ("/" in target) == (step == "publish"):
+        with pytest.raises(ConnectionError):
+            upsert_partitions(fact(*NEW), target, **KEYS)
     monkeypatch.undo()
-    if "/" not in target:
-        with pytest.raises(ValueError, match="unfinished"):
-            append_table(fact(*later), target)
-    got = content(upsert_partitions(fact(*later), target, **KEYS))
-    assert got == AFTER | {(day(9), "bob"): (5, 65), (day(10), "eve"): (1, 70)}
-    assert module._noted(spark, target) is None
+    if "/" in target:
+        assert content(manifests.read(spark, target, fact().schema)) == before
+    else:
+        assert content(spark.newSession().table(target)) == before
+    assert content(upsert_partitions(fact(*NEW), target, **KEYS)) == AFTER
 
 
-def test_a_first_build_that_died_is_made_anew(spark, fact, tmp_path, monkeypatch):
-    target = f"{tmp_path}/fct"
+def test_readers_that_have_begun_finish(spark, fact, target):
+    begun = upsert_partitions(fact(*BEFORE), target, **KEYS)
+    begun._jdf.queryExecution().executedPlan()
+    upsert_partitions(fact(*NEW), target, **KEYS)
+    assert len(content(begun)) == len(BEFORE)
 
-    def die(new, path, **layout):
-        fact(BEFORE[0]).write.partitionBy("order_date").parquet(path)
-        raise ConnectionError
 
-    monkeypatch.setattr(module, "write_partitioned", die)
-    with pytest.raises(ConnectionError):
-        upsert_partitions(fact(*BEFORE), target, **KEYS)
-    monkeypatch.undo()
-    got = content(upsert_partitions(fact(*NEW), target, **KEYS))
-    assert got == {(d, c): (n, int(a)) for d, c, n, a in NEW}
+def test_many_upserts_leave_two_versions_of_each_partition(spark, fact, target, tmp_path):
+    days = {}
+    for k in range(6):
+        rows = [(day(n), "ann", k, k) for n in range(1, 8) if n % (k + 1) == 0]
+        days.update({(r[0], r[1]): (r[2], r[3]) for r in rows})
+        assert content(upsert_partitions(fact(*rows), target, **KEYS)) == days
+    files = [str(p) for p in tmp_path.rglob("*.parquet")]
+    for n in range(1, 8):
+        assert 1 <= sum(f"order_date=2024-01-0{n}" in f for f in files) <= 2
 
 
-def test_a_note_without_its_rows_is_an_error(spark, fact, target):
+def test_append_and_upsert_take_turns(spark, fact, namespace):
+    target = f"{namespace}.fct"
     upsert_partitions(fact(*BEFORE), target, **KEYS)
-    module._note(spark, target, "/nowhere/at-all")
-    with pytest.raises(OSError, match="half overwritten"):
-        upsert_partitions(fact(*NEW), target, **KEYS)
+    upsert_partitions(fact(*NEW), target, **KEYS)
+    append_table(fact((day(1), "new", 1, 5), (day(20), "new", 1, 6)), target)
+    got = content(upsert_partitions(fact((day(20), "ann", 1, 7)), target, **KEYS))
+    assert got == AFTER | {
+        (day(1), "new"): (1, 5), (day(20), "new"): (1, 6), (day(20), "ann"): (1, 7)
+    }
+
+
+def test_a_table_made_elsewhere(spark, fact, namespace):
+    target = f"{namespace}.fct"
+    fact(*BEFORE).write.partitionBy("order_date").saveAsTable(target)
+    assert content(upsert_partitions(fact(*NEW), target, **KEYS)) == AFTER
+    assert content(upsert_partitions(fact(*NEW), target, **KEYS)) == AFTER
+
+
+def test_files_without_a_manifest_are_refused(fact, tmp_path):
+    fact(*BEFORE).write.partitionBy("order_date").parquet(f"{tmp_path}/fct")
+    with pytest.raises(ValueError, match="no manifest"):
+        upsert_partitions(fact(*NEW), f"{tmp_path}/fct", **KEYS)
 
 
 def test_duplicate_keys_are_refused(spark, fact, tmp_path):
@@ -150,7 +172,7 @@ def test_duplicate_keys_are_refused(spark, fact, tmp_path):
     upsert_partitions(fact(*BEFORE), target, **KEYS)
     with pytest.raises(DuplicateKeys):
         upsert_partitions(twice, target, **KEYS)
-    assert len(content(spark.read.schema(FACT).parquet(target))) == len(BEFORE)
+    assert len(content(manifests.read(spark, target, fact().schema))) == len(BEFORE)
 
 
 def test_incremental_runs_catch_up_with_a_full_build(raw, target):
