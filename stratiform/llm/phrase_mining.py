@@ -41,7 +41,7 @@ from stratiform.llm.common import staged
 TOP, LEAST, INSIDE = 2000, 10, 50
 SCALE = 1_000_000
 BITS = 1 << 26
-PART_BYTES = 1 << 23
+PART_BYTES = 1 << 22
 SALTS = 64
 
 # What ends a piece.
@@ -82,7 +82,9 @@ def _coded(data: bytes) -> tuple[np.ndarray, list[bytes]]:
     codes.default_factory = codes.__len__
     codes[_BREAK]
     words = data.replace(b"\n", b" \xff ").split()
-    return np.fromiter(map(codes.__getitem__, words), np.int64, len(words)), list(codes)
+    numbers = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
+    codes.default_factory = None  # it holds the table, which would wait for the collector
+    return numbers, list(codes)
 
 
 def _hashes(lang: str, words: list[bytes]) -> np.ndarray:
