@@ -267,7 +267,7 @@ def _dim_customers(spark, sf_dir):
     namespace = _namespace(spark, "dim")
     customers = stg_customers(raw_sales_transactions(spark, sf_dir))
     return publish_table(
-        dim_customers(customers), f"{namespace}.dim_customers", cluster_by=["customer_id"]
+        dim_customers(customers), f"{namespace}.dim_customers", bucket_by=["customer_id"]
     )
 
 

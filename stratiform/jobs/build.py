@@ -21,7 +21,7 @@ from stratiform.config import ENVIRONMENTS, EnvConfig
 from stratiform.operators.smoke import smoke_check, smoke_check_source
 from stratiform.plans import run_layers, run_models
 from stratiform.plans.layers import LAYERS
-from stratiform.session import PROFILES, build_session, session_conf, size_shuffles
+from stratiform.session import PROFILES, build_session, session_conf
 from stratiform.sources import RawSource, landing_path
 from stratiform.sources.registry import enabled_sources, source_named
 
@@ -79,8 +79,6 @@ def main(argv: list[str] | None = None) -> int:
         sources=default_sources(args.raw_root) if args.raw_root else (),
         enable_sales_orders=not args.no_sales_orders,
     )
-    if args.raw_root:
-        size_shuffles(spark, [args.raw_root])
     try:
         if args.what == "smoke":
             if args.source:

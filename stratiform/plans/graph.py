@@ -19,7 +19,7 @@ from stratiform.config import EnvConfig
 from stratiform.operators import checks
 from stratiform.operators.checks import assert_no_rows
 from stratiform.plans import late, marts, staging, views
-from stratiform.session import prepare
+from stratiform.session import prepare, size_shuffles_for
 from stratiform.sinks import ensure_namespace, publish_table, set_guard, upsert_partitions
 from stratiform.sources import env_check, one_row, read_curated, read_partitioned
 from stratiform.sources.catalog import raw_name, read_declared
@@ -90,6 +90,7 @@ class Model:
     layer: str = "analytics"
     partition_by: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
+    bucket_by: tuple[str, ...] = ()
     keys: tuple[str, ...] = ()
     text: Callable[[Run], str] | None = None  # of a view
 
@@ -185,7 +186,7 @@ MODELS: Mapping[str, Model] = {
             "prod",
             lambda run: marts.dim_customers(run.ref("stg_customers")),
             "stg_customers",
-            cluster_by=("customer_id",),
+            bucket_by=("customer_id",),
         ),
         _model(
             "op_disable_rpf_fct_orders_daily",
@@ -341,10 +342,12 @@ def _materialise(run: Run, model: Model) -> None:
         return
     result = model.build(run)
     if model.kind == ASSERTION:
+        size_shuffles_for(result)
         assert_no_rows(result, model.name)
         return
     if result is None:
         return
+    size_shuffles_for(result)
     ensure_namespace(run.spark, ".".join(model.address(run.cfg).split(".")[:-1]))
     labels = {"layer": model.layer, "env": run.cfg.env}
     if model.kind == INCREMENTAL and run.cfg.late_rows and not run.cfg.catalog:
@@ -373,6 +376,7 @@ def _materialise(run: Run, model: Model) -> None:
         model.address(run.cfg),
         partition_by=model.partition_by,
         cluster_by=model.cluster_by,
+        bucket_by=model.bucket_by,
         properties=labels,
     )
 

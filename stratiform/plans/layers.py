@@ -15,7 +15,7 @@ from stratiform.operators.checks import (
     sample_checks,
 )
 from stratiform.plans.curated import amount_by_name_gold, sample_curated
-from stratiform.session import prepare
+from stratiform.session import prepare, size_shuffles_for
 from stratiform.sinks import ensure_namespace, publish_table
 from stratiform.sources import preview, read_raw
 from stratiform.sources.catalog import declare_raw
@@ -117,7 +117,7 @@ def _run_external(spark: SparkSession, cfg: EnvConfig) -> str:
 def _run_curated(spark: SparkSession, cfg: EnvConfig) -> str:
     table = _curated_table(cfg)
     publish_table(
-        _curated(spark, cfg),
+        size_shuffles_for(_curated(spark, cfg)),
         table,
         checks=sample_checks(),
         comment="Typed sample with lineage columns.",
@@ -129,7 +129,7 @@ def _run_curated(spark: SparkSession, cfg: EnvConfig) -> str:
 def _run_gold(spark: SparkSession, cfg: EnvConfig) -> str:
     table = _gold_table(cfg)
     publish_table(
-        amount_by_name_gold(spark.table(_curated_table(cfg)), cfg.env),
+        size_shuffles_for(amount_by_name_gold(spark.table(_curated_table(cfg)), cfg.env)),
         table,
         checks=gold_checks(),
         comment="Amounts and time span per name.",

@@ -7,9 +7,9 @@ import tempfile
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from stratiform.storage import path_exists, size_in_bytes
+from stratiform.storage import estimated_bytes, path_exists, size_in_bytes
 
 # Sizing profiles. Anything else a deployment needs goes in `extras`.
 PROFILES = {
@@ -125,6 +125,10 @@ def prepare(spark: SparkSession) -> SparkSession:
 # starts from a number that fits its input: this many bytes each, and some at least.
 SHUFFLE_BYTES = 256 * 1024**2
 LEAST_PARTITIONS = 200
+# A join counts as the product of its sides, which says nothing; 25 TB of input need as many.
+MOST_ESTIMATED = 100_000
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_MARKER = "stratiform.initialPartitionNum"
 
 
 def shuffle_partitions(input_bytes: int) -> int:
@@ -137,20 +141,37 @@ def size_shuffles(spark: SparkSession, paths: Iterable[str]) -> SparkSession:
     A number of shuffle partitions the session sets itself stays as it is; one that
     an earlier call set here does not.
     """
-    fixed, initial, marker = (
-        "spark.sql.shuffle.partitions",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-        "stratiform.initialPartitionNum",
-    )
-    current = spark.conf.get(initial, None)
-    if spark.conf.get(fixed, None) or current != spark.conf.get(marker, None):
-        return spark
-    total = sum(size_in_bytes(spark, p) for p in paths if path_exists(spark, p))
-    for key in (initial, marker):
-        spark.conf.set(key, str(shuffle_partitions(total)))
+    if _sized_here(spark):
+        total = sum(size_in_bytes(spark, p) for p in paths if path_exists(spark, p))
+        _start_with(spark, shuffle_partitions(total))
     return spark
 
 
+def size_shuffles_for(df: DataFrame) -> DataFrame:
+    """Start shuffles wide enough for what a frame reads, by the optimizer's estimate.
+
+    Nothing is listed for it, and of a table in partitions only those that the frame needs
+    count. Frames that run side by side share the setting, so it grows only: adaptive
+    execution merges partitions, it adds none.
+    """
+    spark = df.sparkSession
+    if _sized_here(spark):
+        needed = -(-estimated_bytes(df) // SHUFFLE_BYTES)
+        known = int(spark.conf.get(_MARKER, None) or 0)
+        _start_with(spark, max(min(needed, MOST_ESTIMATED), LEAST_PARTITIONS, known))
+    return df
+
+
+def _sized_here(spark: SparkSession) -> bool:
+    fixed = spark.conf.get("spark.sql.shuffle.partitions", None)
+    return not fixed and spark.conf.get(_INITIAL, None) == spark.conf.get(_MARKER, None)
+
+
+def _start_with(spark: SparkSession, partitions: int) -> None:
+    for key in (_INITIAL, _MARKER):
+        spark.conf.set(key, str(partitions))
+
+
 @functools.lru_cache(maxsize=1)
 def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="stratiform-")

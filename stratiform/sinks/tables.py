@@ -107,6 +107,8 @@ def publish_table(
     checks: Sequence[Check] = (),
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
+    bucket_by: Sequence[str] = (),
+    buckets: int | None = None,
     comment: str | None = None,
     properties: Mapping[str, str] | None = None,
     require_partition_filter: bool | None = None,
@@ -120,25 +122,48 @@ def publish_table(
     publication.
 
     ``require_partition_filter`` says whether guarded reads have to name partitions; unless
-    given, that stays as it is.
+    given, that stays as it is. With ``bucket_by`` rows of one key share a file, sorted:
+    groupings and joins on the key need no exchange. The number of ``buckets`` is that of the
+    version before unless given, and follows from the size at first.
     """
     spark = df.sparkSession
     if is_v2(spark, table):
         return _publish_v2(df, table, checks, partition_by, cluster_by, comment, properties)
     table = table.removeprefix("spark_catalog.")
     version, location = versions.new_version(spark, table)
-    watched, counted = observed(arrange(df, partition_by, cluster_by), checks)
-    writer = watched.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(location)
-    _refuse(failed(counted, checks), table, location)
     described = {**(properties or {}), **_guard(spark, table, require_partition_filter)}
-    versions.declare(spark, version, location, df.schema.toDDL(), partition_by, described)
+    if bucket_by:
+        if partition_by or cluster_by:
+            raise ValueError("a bucketed table is neither partitioned nor clustered")
+        number = buckets or versions.bucket_number(spark, table) or _buckets_for(df)
+        # The writer's buckets are the partitions of this shuffle, so each is one file.
+        sorted_ = df.repartition(number, *bucket_by).sortWithinPartitions(*bucket_by)
+        watched, counted = observed(sorted_, checks)
+        writer = watched.write.bucketBy(number, *bucket_by).sortBy(*bucket_by)
+        writer.option("path", location).saveAsTable(version)
+        problems = failed(counted, checks)
+        if problems:
+            spark.sql(f"DROP TABLE {version}")  # the files stay
+        _refuse(problems, table, location)
+        marks = versions.pairs({**described, versions.LOCATION: location})
+        spark.sql(f"ALTER TABLE {version} SET TBLPROPERTIES ({marks})")
+    else:
+        watched, counted = observed(arrange(df, partition_by, cluster_by), checks)
+        writer = watched.write
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(location)
+        _refuse(failed(counted, checks), table, location)
+        versions.declare(spark, version, location, df.schema.toDDL(), partition_by, described)
     versions.point(spark, table, version, df.columns, comment, described)
     return spark.table(table)
 
 
+def _buckets_for(df: DataFrame) -> int:
+    """A bucket for each 128 MiB by the optimizer's estimate, 8 at least."""
+    return max(8, -(-estimated_bytes(df) // _SMALL_BYTES))
+
+
 def _guard(spark: SparkSession, table: str, required: bool | None) -> dict[str, str]:
     if required is None:
         found = table_properties(spark, table) if spark.catalog.tableExists(table) else {}

@@ -191,6 +191,15 @@ def _is_version(name: str, short: str) -> bool:
     return bool(found) and head == short and len(tail) == 12 and set(tail) <= set("0123456789abcdef")
 
 
+def bucket_number(spark: SparkSession, name: str) -> int | None:
+    """How many buckets the current version has; None if it has none."""
+    version = current(spark, name)
+    if version is None:
+        return None
+    rows = spark.sql(f"DESCRIBE FORMATTED {version}").where("col_name = 'Num Buckets'").collect()
+    return int(rows[0]["data_type"]) if rows else None
+
+
 def set_guard(spark: SparkSession, name: str, required: bool) -> None:
     """Whether reads of a published table have to name partitions, from now on."""
     version = current(spark, name)

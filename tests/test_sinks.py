@@ -350,3 +350,26 @@ def test_writers_choose_by_catalog(spark):
         assert is_v2(spark, "c.ns.t") and not is_v2(spark, "ns.t")
     finally:
         spark.conf.unset("spark.sql.catalog.c")
+
+
+def test_bucketed_tables_need_no_exchange(spark, namespace):
+    """Neither a grouping by the key nor a join of two such tables, also after a refresh."""
+    rows = spark.range(0, 20_000, 1, 4).selectExpr("concat('c', id % 5000) k", "id")
+    for name in ("a", "b"):
+        publish_table(rows, f"{namespace}.{name}", bucket_by=["k"], checks=[Check.not_empty(name)])
+        publish_table(rows.where("id > 9"), f"{namespace}.{name}", bucket_by=["k"])
+    fresh = spark.newSession()
+    fresh.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    a, b = (fresh.table(f"{namespace}.{name}") for name in "ab")
+    assert "Exchange" in plan_text(a.groupBy("id").count())
+    for df, n in ((a.groupBy("k").count(), 5000), (a.join(b, "k"), 79_930)):
+        assert "Exchange" not in plan_text(df) and df.count() == n
+    assert all(len(v.inputFiles()) == 8 for v in (a, b))
+    publish_table(rows, f"{namespace}.a", bucket_by=["k"], buckets=16)
+    publish_table(rows, f"{namespace}.a", bucket_by=["k"])
+    assert len(spark.table(f"{namespace}.a").inputFiles()) == 16
+    with pytest.raises(QualityError):
+        publish_table(rows.where("id < 0"), f"{namespace}.a", bucket_by=["k"], checks=[Check.not_empty("a")])
+    assert spark.table(f"{namespace}.a").count() == 20_000
+    with pytest.raises(ValueError):
+        publish_table(rows, f"{namespace}.a", bucket_by=["k"], cluster_by=["k"])

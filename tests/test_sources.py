@@ -6,7 +6,7 @@ import pytest
 from conftest import RAW, at
 from pyspark.sql import functions as F
 
-from stratiform import EnvConfig
+from stratiform import EnvConfig, session
 from stratiform.session import (
     DEFAULT_PROFILE,
     diagnostics,
@@ -16,6 +16,7 @@ from stratiform.session import (
     shared_dir,
     shuffle_partitions,
     size_shuffles,
+    size_shuffles_for,
 )
 from stratiform.sources import (
     PartitionFilterRequired,
@@ -330,6 +331,29 @@ def test_shuffles_start_as_wide_as_their_input(spark, tmp_path):
         assert fresh.conf.get(initial) == "200"
 
 
+def test_shuffles_start_as_wide_as_the_plan(spark, namespace, monkeypatch):
+    """Only the partitions of a table that the frame needs count, and nothing is listed."""
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", 100)
+    monkeypatch.setattr(session, "LEAST_PARTITIONS", 1)
+    monkeypatch.setattr(session, "size_in_bytes", None)
+    fresh = spark.newSession()
+    fresh.conf.unset("spark.sql.shuffle.partitions")
+    days = fresh.range(4000).selectExpr("id", "id % 40 d")
+    days.repartition(1).write.partitionBy("d").saveAsTable(f"{namespace}.days")
+    days = fresh.table(f"{namespace}.days")
+    if fresh.conf.get("spark.sql.shuffle.partitions", None) is None:
+        size_shuffles_for(days.where("d = 1").groupBy("id").count())
+        narrow = int(fresh.conf.get(initial))
+        size_shuffles_for(days.groupBy("id").count())
+        wide = int(fresh.conf.get(initial))
+        assert 1 <= narrow < wide / 10
+        size_shuffles_for(days.where("d = 1").groupBy("id").count())
+        assert int(fresh.conf.get(initial)) == wide
+    size_shuffles_for(spark.range(5))
+    assert spark.conf.get(initial, None) is None
+
+
 def test_shared_dir_is_the_one_the_session_names(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
