@@ -41,7 +41,8 @@ from stratiform.llm.common import staged
 TOP, LEAST, INSIDE = 2000, 10, 50
 SCALE = 1_000_000
 BITS = 1 << 26
-PART_BYTES = 1 << 22
+PART_BYTES = 1 << 21
+ROWS = 20_000  # counts sent from a task at a time
 SALTS = 64
 
 # What ends a piece.
@@ -142,7 +143,9 @@ def _emit(lang: str, words: list[bytes], numbers: list[np.ndarray], counts: np.n
         texts = names.take(pa.array(used)).cast(pa.string())
         columns[f"w{k + 1}"] = texts.take(pa.array(where))
     columns["a"] = pa.array(counts.astype(np.int64))
-    yield pa.record_batch(columns)
+    rows = pa.record_batch(columns)
+    for start in range(0, rows.num_rows, ROWS):
+        yield rows.slice(start, ROWS)
 
 
 def _count_words(batches):
