@@ -56,6 +56,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # Folders are listed in so many tasks, not in one for each of thousands.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
     # A map task recomputed after an executor loss may write its rows in another
     # order; compare checksums and rerun the consumers when contents differ.
     "spark.sql.shuffle.orderIndependentChecksum.enabled": "true",
