@@ -1,10 +1,10 @@
 """Repeated passages by external induced sorting of suffixes.
 
-A byte goes if a string of ``LENGTH`` bytes that covers it also starts anywhere else. The
+A byte goes if a string of ``length`` bytes that covers it also starts anywhere else. The
 order of suffixes is never built for the whole table, only for the places that can matter:
 
-1. Seeds. In every string of ``LENGTH`` bytes the place with the least hash among its first
-   ``WINDOW`` is its seed, so equal strings have their seed at the same offset. The
+1. Seeds. In every string of ``length`` bytes the place with the least hash among its first
+   (all but the last ``CONTEXT`` - 1) is its seed, so equal strings have their seed at the same offset. The
    ``CONTEXT`` bytes from the seed name it. A name that occurs once rules out all strings
    with this seed. All bytes that the strings of a seed cover are its variant, known by a
    fingerprint. Names, variants and places alone are counted, with partial aggregation: a
@@ -18,13 +18,13 @@ order of suffixes is never built for the whole table, only for the places that c
    prefix each has in common with the one before. The suffixes one byte further left
    follow from them: walked in order, they fall into buckets by their new first byte, and
    keep their order there; common prefixes are one longer than the least one in between.
-   So it goes on, byte by byte. A string is repeated where a neighbour has ``LENGTH`` bytes in common.
+   So it goes on, byte by byte. A string is repeated where a neighbour has ``length`` bytes in common.
 4. A name with more than ``HOT`` variants would be a group without a bound. Its strings
    are counted by 128-bit fingerprints instead, with partial aggregation.
 
 Texts go by two hashes, of 96 bits together, and their length: a text that occurs
-more than once goes whole if it has ``LENGTH`` bytes, and takes part once. Null is an
-empty text; shorter texts than ``LENGTH`` stay whole. Repeated rows are copies. Other columns
+more than once goes whole if it has ``length`` bytes, and takes part once. Null is an
+empty text; shorter texts than ``length`` stay whole. Repeated rows are copies. Other columns
 are not read. An empty table gives an empty table.
 """
 
@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,7 @@ from pyspark.sql import functions as F
 from stratiform.llm.common import staged
 
 LENGTH = 400
-WINDOW = 340
-CONTEXT = LENGTH - WINDOW + 1
+CONTEXT = 61
 HOT = 40_000
 CHUNK_BYTES = 6 * 1024**2
 SLICE_BYTES = 512 * 1024
@@ -56,15 +56,17 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def seeds(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, ...]:
+def seeds(
+    data: np.ndarray, cuts: np.ndarray, length: int = LENGTH
+) -> tuple[np.ndarray, ...]:
     """Seeds of texts that follow one another: text, place, first and last string, name.
 
     ``cuts`` are the ends of the texts and 0. Places count from the start of the text; first
     and last are the starts of the strings that have this seed.
     """
-    n = len(data)
+    n, window = len(data), length - CONTEXT + 1
     none = (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),)
-    if n < LENGTH:
+    if n < length:
         return none
     padded = np.concatenate([data, np.zeros(_GRAM, np.uint8)])
     grams = np.ndarray((n,), "<u8", padded.data, strides=(1,)).copy()
@@ -73,17 +75,17 @@ def seeds(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, ...]:
     place = np.arange(n, dtype=np.uint64)
     low = np.uint64((1 << 24) - 1)
     keyed = (value & ~low) | (low - (place & low))
-    blocks = -(-n // WINDOW)
-    tiles = np.full(blocks * WINDOW, np.uint64(0xFFFFFFFFFFFFFFFF))
+    blocks = -(-n // window)
+    tiles = np.full(blocks * window, np.uint64(0xFFFFFFFFFFFFFFFF))
     tiles[:n] = keyed
-    tiles = tiles.reshape(blocks, WINDOW)
+    tiles = tiles.reshape(blocks, window)
     ahead = np.minimum.accumulate(tiles, 1).ravel()
     back = np.minimum.accumulate(tiles[:, ::-1], 1)[:, ::-1].ravel()
-    starts = n - LENGTH + 1
-    least = np.minimum(back[:starts], ahead[WINDOW - 1 : WINDOW - 1 + starts])
+    starts = n - length + 1
+    least = np.minimum(back[:starts], ahead[window - 1 : window - 1 + starts])
     seed = (low - (least & low)).astype(np.int64)
     text = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))[:starts]
-    valid = np.arange(starts) + LENGTH <= cuts[text + 1]
+    valid = np.arange(starts) + length <= cuts[text + 1]
     (at,) = valid.nonzero()
     if not len(at):
         return none
@@ -118,15 +120,16 @@ _SEEDS = (
 )
 
 
-def _seeds_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _seeds_of(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         c1, c2 = (batch.column(c).to_numpy() for c in ("c1", "c2"))
         for start, data, cuts in _each(batch):
-            found = _long_seeds(data, cuts) if len(data) >= 1 << 24 else seeds(data, cuts)
+            some = _long_seeds if len(data) >= 1 << 24 else seeds
+            found = some(data, cuts, length)
             owner, place, first, last, name = found
             rows = owner + start
             raw, base = data.tobytes(), cuts[owner]
-            prints = _digests(raw, base + first, base + last + LENGTH, place - first)
+            prints = _digests(raw, base + first, base + last + length, place - first)
             columns = (name.view(np.int64), prints, c1[rows], c2[rows], place, first, last)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c) for c in columns], [c.split()[0] for c in _SEEDS.split(", ")]
@@ -143,12 +146,14 @@ def _digests(raw: bytes, starts: np.ndarray, stops: np.ndarray, left: np.ndarray
     return np.frombuffer(joined, "<i8")
 
 
-def _long_seeds(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, ...]:
+def _long_seeds(
+    data: np.ndarray, cuts: np.ndarray, length: int = LENGTH
+) -> tuple[np.ndarray, ...]:
     """The same for one text of any length, in parts that overlap by a string."""
     step, parts = 1 << 22, []
-    for start in range(0, max(len(data) - LENGTH + 1, 1), step):
-        part = data[start : start + step + LENGTH - 1]
-        owner, place, first, last, name = seeds(part, np.array([0, len(part)]))
+    for start in range(0, max(len(data) - length + 1, 1), step):
+        part = data[start : start + step + length - 1]
+        owner, place, first, last, name = seeds(part, np.array([0, len(part)]), length)
         parts.append((owner, place + start, first + start, last + start, name))
     return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
 
@@ -156,8 +161,9 @@ def _long_seeds(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, ...]:
 class Chunk:
     """Seeds with the bytes around them, whole names, in order of name."""
 
-    def __init__(self, rows: list[tuple[int, int, int, bytes]]):
+    def __init__(self, rows: list[tuple[int, int, int, bytes]], length: int):
         """Rows: number of the name, offset of the seed in its bytes, strings, bytes."""
+        self.length = length
         self.group = np.array([r[0] for r in rows])
         self.left = np.array([r[1] for r in rows])
         self.strings = np.array([r[2] for r in rows])
@@ -168,7 +174,7 @@ class Chunk:
 
     def _sorted_seeds(self) -> tuple[np.ndarray, np.ndarray]:
         """Order of the suffixes at the seeds, and the prefix each shares with the one before."""
-        width = LENGTH
+        width = self.length
         reach = np.minimum(np.arange(width), self.right[:, None] - 1)
         rows = self.flat[(self.start + self.left)[:, None] + reach]
         rows[np.arange(width) >= self.right[:, None]] = 0
@@ -193,7 +199,7 @@ class Chunk:
                 order, common = self._induced(order, common, offset)
             if not len(order):
                 break
-            long_ = common >= LENGTH
+            long_ = common >= self.length
             either = long_ | np.r_[long_[1:], False]
             hit[order[either], offset] = True
         # strings of another seed are judged there
@@ -230,7 +236,7 @@ class Chunk:
 _RUNS = "c1 bigint, c2 int, start bigint, stop bigint"
 
 
-def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut_out(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """The bytes that the strings of each seed cover, and what follows it."""
     names = ["key", "c1", "c2", "place", "first", "last", "bytes"]
     for batch in batches:
@@ -239,7 +245,7 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c1, c2, content, own in zip(*columns, strict=True):
             text = content.as_py()
             for s in own.as_py():
-                part = text[s["first"] : s["last"] + LENGTH]
+                part = text[s["first"] : s["last"] + length]
                 size += len(part)
                 rows.append((s["key"], c1.as_py(), c2.as_py(), s["place"], s["first"], s["last"], part))
             if size > SLICE_BYTES:
@@ -256,18 +262,18 @@ def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names)
 
 
-def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _induce(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Runs of repeated strings, from seeds sorted by name."""
     rows: list[tuple] = []
     size, last_key = 0, None
 
     def done():
         places = {key: k for k, key in enumerate(dict.fromkeys(r[0] for r in rows))}
-        chunk = Chunk([(places[r[0]], r[3] - r[4], r[5] - r[4] + 1, r[6]) for r in rows])
+        chunk = Chunk([(places[r[0]], r[3] - r[4], r[5] - r[4] + 1, r[6]) for r in rows], length)
         row, first, last = chunk.repeated()
         codes = np.array([r[1:4] for r in rows], np.int64).reshape(-1, 3)
         c1, c2, place = codes[row].T
-        columns = (c1, c2, place - last, place - first + LENGTH)
+        columns = (c1, c2, place - last, place - first + length)
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
         return pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
@@ -287,7 +293,7 @@ def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fingerprints(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Two hashes of each string of seeds with a hot name."""
     for batch in batches:
         names = ("c1", "c2", "first", "last", "bytes")
@@ -296,7 +302,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             *(batch.column(c).to_pylist() for c in names), strict=True
         ):
             for k in range(last - first + 1):
-                code = hashlib.blake2b(part[k : k + LENGTH], digest_size=16).digest()
+                code = hashlib.blake2b(part[k : k + length], digest_size=16).digest()
                 h1 = int.from_bytes(code[:8], signed=True)
                 out.append((h1, int.from_bytes(code[8:], signed=True), c1, c2, first + k))
         columns = zip(*out, strict=True) if out else [()] * 5
@@ -312,14 +318,14 @@ _RESULT = (
 )
 
 
-def _kept(with_text: bool, carried: bool):
+def _kept(with_text: bool, carried: bool, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             removed, spans, codes, texts = [], [], [], []
             columns = (batch.column(c) for c in ("content", "copied", "runs"))
             for content, copied, runs in zip(*columns, strict=True):
                 text = content.as_py()
-                whole = copied.as_py() and len(text) >= LENGTH
+                whole = copied.as_py() and len(text) >= length
                 found = [(0, len(text))] if whole else []
                 for run_ in [] if whole else runs.as_py() or ():
                     start, stop = run_["start"], run_["stop"]
@@ -349,13 +355,20 @@ def _kept(with_text: bool, carried: bool):
 
 
 def suffix_dedup(
-    docs: DataFrame, hot: int = HOT, with_text: bool = False, carry: tuple[str, ...] = ()
+    docs: DataFrame,
+    hot: int = HOT,
+    with_text: bool = False,
+    carry: tuple[str, ...] = (),
+    length: int = LENGTH,
 ) -> DataFrame:
     """Sizes, removed bytes, spans and digest of what is kept, and with ``with_text`` that itself,
     as text without characters that were cut in two.
 
-    Columns named in ``carry`` come back as the struct ``carried``.
+    Columns named in ``carry`` come back as the struct ``carried``. ``length`` is the number of
+    bytes from which a repetition counts, more than ``CONTEXT``.
     """
+    if length <= CONTEXT:
+        raise ValueError(f"length {length}: strings are told apart by {CONTEXT} bytes")
     text = F.coalesce("text", F.lit(""))
     extra = [F.struct(*carry).alias("carried")] if carry else []
     coded = docs.select(
@@ -373,8 +386,8 @@ def suffix_dedup(
         F.count("*").alias("copies"), F.min("doc_id").alias("owner")
     )
     owners = staged(owners, "owners")
-    long_ = coded.where(F.col("n_bytes") >= LENGTH)
-    found = long_.select("content", *code).mapInArrow(_seeds_of, _SEEDS)
+    long_ = coded.where(F.col("n_bytes") >= length)
+    found = long_.select("content", *code).mapInArrow(partial(_seeds_of, length=length), _SEEDS)
     names = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     found = staged(found.join(names, "key"), "seeds")
     where = [*code, "place", "first", "last"]
@@ -388,7 +401,7 @@ def suffix_dedup(
     several = staged(several.select("key", (F.col("n") > hot).alias("hot")), "names")
     twice = variants.where("n > 1").select(*variant)
     runs = found.join(twice, variant).select(
-        *code, F.col("first").alias("start"), (F.col("last") + LENGTH).alias("stop")
+        *code, F.col("first").alias("start"), (F.col("last") + length).alias("stop")
     )
     again = variants.select("key", *where).join(several, "key")
     seed = F.struct("key", "place", "first", "last", "hot")
@@ -400,18 +413,20 @@ def suffix_dedup(
 
     def cut(some):
         own = F.filter("seeds", some)
-        return texts.withColumn("seeds", own).where(F.size("seeds") > 0).mapInArrow(_cut_out, parts)
+        return texts.withColumn("seeds", own).where(F.size("seeds") > 0).mapInArrow(
+            partial(_cut_out, length=length), parts
+        )
 
     dealt = cut(lambda s: ~s["hot"]).repartition("key").sortWithinPartitions("key")
-    runs = runs.unionByName(dealt.mapInArrow(_induce, _RUNS))
+    runs = runs.unionByName(dealt.mapInArrow(partial(_induce, length=length), _RUNS))
     if several.where("hot").limit(1).count():
         prints = cut(lambda s: s["hot"]).mapInArrow(
-            _fingerprints, "h1 bigint, h2 bigint, c1 bigint, c2 int, start bigint"
+            partial(_fingerprints, length=length), "h1 bigint, h2 bigint, c1 bigint, c2 int, start bigint"
         )
         prints = staged(prints, "fingerprints")
         twice = prints.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1")
         single = prints.join(twice, ["h1", "h2"]).select(
-            *code, "start", (F.col("start") + LENGTH).alias("stop")
+            *code, "start", (F.col("start") + length).alias("stop")
         )
         runs = runs.unionByName(single)
     spans = runs.groupBy(*code).agg(
@@ -424,5 +439,5 @@ def suffix_dedup(
     return (
         coded.join(known, whole, "left")
         .select("doc_id", "content", "n_bytes", "copied", "runs", *(["carried"] if carry else []))
-        .mapInArrow(_kept(with_text, bool(carry)), schema)
+        .mapInArrow(_kept(with_text, bool(carry), length), schema)
     )
