@@ -12,7 +12,7 @@ last one opens the next window and is its seed, so windows have no padding; the
 the end of a shard is cut into sequences whose lengths are powers of two.
 
 Null is an empty text: the closing id alone. Repeated rows are packed as often as they
-come. Ties of scores go to the smaller id. Other columns are not read; a text longer than
+come. Ties of scores go to the smaller id; a null id comes after all others. Other columns are not read; a text longer than
 a window fills as many windows as it needs. An empty table gives an empty table.
 """
 
@@ -73,7 +73,9 @@ class Words:
 
     def _merged(self, piece: str) -> bytes:
         raw = piece
-        if not piece.isascii():
+        # The model knows bytes by symbols, which are the characters themselves only if these
+        # can be seen.
+        if not piece.isascii() or not piece.isprintable():
             raw = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self._names)
         ids = self._pieces[piece] = array("H", [t.id for t in self._model.tokenize(raw)]).tobytes()
         return ids
@@ -162,7 +164,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Shard:
-    """The postings of some documents, and the order in which they are packed."""
+    """The inverted index of some documents, and the order in which they are packed."""
 
     def __init__(self, docs: list[tuple[int, np.ndarray]], weight: np.ndarray, mean: float):
         self.docs = docs
@@ -173,29 +175,60 @@ class Shard:
             score = weight[term] * tf * (K1 + 1) / (tf + norm)
             impact.append(score.astype(np.float32))
             self.queries.append(term)
-        self.sizes = np.array([len(q) for q in self.queries])
-        self.terms = np.concatenate(self.queries).astype(np.intp)
-        self.impact = np.concatenate(impact)
-        self.open = np.arange(len(docs))  # the documents whose postings are held
+        sizes = [len(q) for q in self.queries]
+        owners = np.repeat(np.arange(len(docs), dtype=np.int32), sizes)
         self.unused = np.ones(len(docs), bool)
-        self.asked = np.zeros(1 << 16, np.float32)
         self.next = 0
+        self._index(np.concatenate(self.queries), owners, np.concatenate(impact))
+
+    def _index(self, terms: np.ndarray, owners: np.ndarray, impact: np.ndarray) -> None:
+        """Postings by term: the documents that hold it, in order, and what it adds to each.
+
+        Terms that an eighth of the unused documents hold have them as a row of numbers for
+        all documents, which is read faster and takes at most eight times the postings.
+        """
+        self.held = int(self.unused.sum())
+        counts = np.bincount(terms, minlength=1 << 16)
+        frequent = 8 * counts > self.held
+        self.row = np.where(frequent, np.cumsum(frequent) - 1, -1)
+        self.rows = np.zeros((int(frequent.sum()), len(self.docs)), np.float32)
+        dense = frequent[terms]
+        self.rows[self.row[terms[dense]], owners[dense]] = impact[dense]
+        self.all = terms, owners, impact
+        terms, owners, impact = terms[~dense], owners[~dense], impact[~dense]
+        by_term = np.argsort(terms, kind="stable")
+        self.owners, self.impact = owners[by_term], impact[by_term].astype(np.float64)
+        self.ends = np.cumsum(np.bincount(terms, minlength=1 << 16))
 
     def neighbours(self, seed: int) -> np.ndarray:
-        """Unused documents that share a term with the seed, best first; all its terms count."""
-        still = self.unused[self.open]
-        if not still.any():
-            return self.open[:0]
-        if 4 * still.sum() < 3 * len(still):
-            held = np.repeat(still, self.sizes)
-            self.terms, self.impact = self.terms[held], self.impact[held]
-            self.open, self.sizes, still = self.open[still], self.sizes[still], still[still]
-        self.asked[self.queries[seed]] = 1
-        scores = self.impact * self.asked[self.terms]
-        self.asked[self.queries[seed]] = 0
-        scores = np.add.reduceat(scores, np.cumsum(self.sizes) - self.sizes)
-        (found,) = (still & (scores > 0)).nonzero()
-        return self.open[found[np.argsort(-scores[found], kind="stable")]]
+        """Unused documents that share a term with the seed, best first; all its terms count.
+
+        Only the postings of the seed's terms are read. Once half of the documents are used,
+        the postings are made anew without them.
+        """
+        left = int(self.unused.sum())
+        if 2 * left < self.held:
+            still = self.unused[self.all[1]]
+            self._index(*[column[still] for column in self.all])
+        if not left:
+            return np.zeros(0, np.int64)
+        asked = self.queries[seed].astype(np.intp)
+        row = self.row[asked]
+        wanted = np.zeros(len(self.rows), np.float32)
+        wanted[row[row >= 0]] = 1
+        scores = (wanted @ self.rows).astype(np.float64)
+        asked = asked[row < 0]
+        stops = self.ends[asked]
+        starts = np.where(asked > 0, self.ends[asked - 1], 0)
+        lengths = stops - starts
+        reached = np.cumsum(lengths)
+        if len(reached) and reached[-1]:
+            places = np.repeat(starts - reached + lengths, lengths) + np.arange(reached[-1])
+            scores += np.bincount(
+                self.owners[places], weights=self.impact[places], minlength=len(self.docs)
+            )
+        (found,) = (self.unused & (scores > 0)).nonzero()
+        return found[np.argsort(-scores[found], kind="stable")]
 
     def order(self) -> Iterator[int]:
         """Documents in packing order; a window's neighbours are those of its seed."""
@@ -222,7 +255,7 @@ def _cuts(total: int) -> list[int]:
 
 
 def _packed(first: int, docs: list, weight: np.ndarray, mean: float) -> Iterator[pa.RecordBatch]:
-    docs.sort(key=lambda d: d[0])
+    docs.sort(key=lambda d: (d[0] is None, d[0] or 0))
     index = Shard(docs, weight, mean)
     cuts = _cuts(sum(len(ids) for _, ids in docs))
     sequence, room, offset, out = 0, cuts[0], 0, []

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -136,12 +137,13 @@ def test_region_joins_like_all_pairs():
     assert got.tolist() == links.roots(np.arange(len(sets))).tolist()
 
 
-@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 1])
-def test_suffix_dedup(docs, empty, texts, hot):
-    size = suffix_dedup.LENGTH
+@pytest.mark.parametrize(
+    "hot, size", [(suffix_dedup.HOT, suffix_dedup.LENGTH), (1, suffix_dedup.LENGTH), (1, 200), (50, 62)]
+)
+def test_suffix_dedup(docs, empty, texts, hot, size):
     raw = [(t or "").encode() for t in texts]
     starts = Counter(r[k : k + size] for r in raw for k in range(len(r) - size + 1))
-    found = by_id(suffix_dedup.suffix_dedup(docs, hot))
+    found = by_id(suffix_dedup.suffix_dedup(docs, hot, length=size))
     for k, r in enumerate(raw):
         gone = np.zeros(len(r), bool)
         for s in range(len(r) - size + 1):
@@ -223,6 +225,52 @@ def test_packing_deals_related_documents_together(spark, monkeypatch):
     assert own > 0.7 * sum(sum(topic.values()) for topic in shards.values())
 
 
+def test_packing_has_the_ids_of_every_byte_and_takes_null_ids(spark):
+    texts = [f"a{chr(k)}b" for k in range(256)] + ["\x07", "\x00\x7f \x1b[0m", None]
+    rows = [(None if k % 90 == 0 else k, t) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = packing.pack(df).collect()
+    coder, wanted = tokenizer(), Counter()
+    for ident, text in rows:
+        ids = coder.encode(text or "", add_special_tokens=False).ids + [packing.CLOSING_ID]
+        wanted[ident, len(ids)] += 1
+    whole = Counter((r.doc_id, r.doc_tokens) for r in found if r.start == 0)
+    assert whole == wanted
+    for r in found:
+        if r.doc_id is not None and r.start == 0 and r.length == r.doc_tokens:
+            ids = coder.encode(texts[r.doc_id] or "", add_special_tokens=False).ids + [1]
+            assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes()), texts[r.doc_id]
+
+
+def test_packing_order_is_that_of_plain_bm25():
+    """Each seed is followed by its best unused neighbours, as plain scores have them."""
+    rng = np.random.default_rng(6)
+    docs = [(k, rng.integers(0, 300, rng.integers(20, 700)).astype(np.uint16)) for k in range(120)]
+    df = Counter(t for _, ids in docs for t in set(ids.tolist()))
+    weight = np.zeros(1 << 16, np.float32)
+    for term, n in df.items():
+        weight[term] = np.log(1 + (len(docs) - n + 0.5) / (n + 0.5))
+    mean = np.mean([len(ids) for _, ids in docs])
+
+    def score(seed, other):
+        tf = Counter(docs[other][1].tolist())
+        norm = packing.K1 * (1 - packing.B + packing.B * len(docs[other][1]) / mean)
+        shared = set(docs[seed][1].tolist()) & set(tf)
+        return sum(float(weight[t]) * tf[t] * (packing.K1 + 1) / (tf[t] + norm) for t in shared)
+
+    got = list(packing.Shard(docs, weight, mean).order())
+    assert sorted(got) == list(range(len(docs)))
+    unused, filled, seed = set(range(len(docs))), 0, None
+    for k in got:
+        if seed is not None:
+            best = max(score(seed, other) for other in unused)
+            assert score(seed, k) >= best - 1e-3
+        unused.remove(k)
+        filled += len(docs[k][1])
+        if filled >= packing.WINDOW or seed is None:
+            filled, seed = filled % packing.WINDOW, k
+
+
 def test_packing_scores_all_terms_of_a_seed():
     seed, light = np.arange(100, 140, dtype="<u2"), np.arange(112, 140, dtype="<u2")
     other = np.arange(500, 540, dtype="<u2")
@@ -302,6 +350,57 @@ def test_html_extraction_keeps_all_parts_of_the_content():
             assert html_extraction.main_text(page).split("\n") == whole
 
 
+LINE = "<p>" + "The quick, brown fox jumps over the lazy dog. " * 6 + "</p>"
+PARAGRAPH = ("The quick, brown fox jumps over the lazy dog. " * 6).strip()
+
+
+@pytest.mark.parametrize(
+    "page, wanted",
+    [
+        (f"<div class='layout with-sidebar'><article><h1>T</h1>{LINE}</article></div>", "T|~"),
+        (f"<article><div class='article-header'><h1>Title</h1></div>{LINE}</article>", "Title|~"),
+        (f"<article>{LINE}<section id='related-work'><h2>Past</h2>{LINE}</section></article>", "~|Past|~"),
+        (f"<article>{LINE}<p class='share-price'>The price rose, again.</p>{LINE}</article>", "~|The price rose, again.|~"),
+        (f"<article title=it's><h1>T</h1>{LINE}</article><div id='x'>y</div>", "T|~"),
+        (f"<article>{LINE}{LINE}</article><article class='comment'><p>Nice, very nice.</p></article>", "~|~"),
+        (f"<main><article>{LINE}</article><div><article class='comment'><p>Nice.</p></article></div></main>", "~"),
+        (f"<article>{LINE}</article><section><h3>3 Comments</h3><div><p>Nice, I like it, a lot.</p></div></section>", "~"),
+        (f"<article>{LINE}{LINE}<h2>Comments (2)</h2><p>Nice, very nice post.</p></article>", "~|~"),
+        (f"<article>{LINE}<h2>Comments on the law</h2>{LINE}</article>", "~|Comments on the law|~"),
+        (f"<article>{LINE}<div data-ad>Buy this, now.</div>{LINE}</article>", "~|~"),
+        (f"<article>{LINE}<div class='ad-slot'><p>Buy this, now.</p></div>{LINE}</article>", "~|~"),
+        (f"<div class='page-with-sidebar'>{LINE}{LINE}<div class='sidebar'><p>Aside.</p></div></div>", "~|~"),
+        (f"<div class='sidebar'>{LINE * 9}</div><article><h1>T</h1>{LINE}</article>", "T|~"),
+        (f"<article>{LINE}<p title=\"a>b\" lang=en>One, two.</p>{LINE}</article>", "~|One, two.|~"),
+    ],
+)
+def test_names_only_help_html_extraction(page, wanted):
+    assert html_extraction.main_text(page) == wanted.replace("~", PARAGRAPH).replace("|", "\n")
+
+
+@pytest.mark.parametrize(
+    "part", ["<a ", "<a x='", "<div>", "<script>", "<!--", '<p title=">', "<", "<b a=", "<h2>Comments</h2>x"]
+)
+def test_hostile_pages_take_no_longer_than_others(part):
+    started = time.process_time()
+    html_extraction.main_text(part * (1_000_000 // len(part)))
+    html_extraction.main_text(part * (1_000_000 // len(part)) + ">end")
+    assert time.process_time() - started < 8
+
+
+def test_odd_pages(spark, empty):
+    schema = "page_id bigint, url string, html string, text string, n_chars string"
+    page = f"<article><h1>é&amp;&#x41;</h1>{LINE}</article>"
+    rows = [(1, "u", page, "x", "y")] * 2 + [(None, None, page, "x", "y"), (2, None, None, "x", "y"), (3, "u", "", "", "")]
+    rows += [(4, "u", "<article>" + LINE * 20_000 + "</article>", None, None)]
+    df = spark.createDataFrame(rows, schema).repartition(2)
+    found = Counter((r.page_id, r.n_chars) for r in html_extraction.extract(df).collect())
+    size = len(f"é&A\n{PARAGRAPH}")
+    assert found == {(1, size): 2, (None, size): 1, (2, 0): 1, (3, 0): 1, (4, 20_000 * (len(PARAGRAPH) + 1) - 1): 1}
+    assert html_extraction.extract(df.limit(0)).columns == ["page_id", "url", "text", "n_chars"]
+    assert html_extraction.extract(df.limit(0)).count() == 0
+
+
 def test_url_filters(spark):
     cases = {
         "https://a.com/x": ("a.com", "/x", "com/", "allow"),
@@ -339,6 +438,52 @@ def test_language_id(spark, empty):
     assert language_id.language_id(empty).count() == 0
 
 
+def test_language_edges(spark):
+    """Numerals are no letters, unknown scripts weigh nothing, rare languages are kept."""
+    words = {"aa": "kano mira solu tapi reno ", "bb": "zhux vrot glim pfex skrun ", "cc": "eille oun "}
+    schema = "doc_id bigint, text string, lang string"
+    rows = [(k, words[lang] * 20, lang) for k, lang in enumerate(["aa"] * 300 + ["bb"] * 300 + ["cc"] * 3)]
+    odd = ["½ ² Ⅷ 12", "Кириллица слово", "kano mira ½½½½½½½½ Ⅷ", None, "12 3_4 !"]
+    rows += [(1000 + k, t, None) for k, t in enumerate(odd)] + [(None, words["cc"], "cc")]
+    df = spark.createDataFrame(rows, schema)
+    model = language_id.train(df.where("doc_id is not null"), train_rows=30)
+    assert model.languages == ["aa", "bb", "cc"]
+    found = {r.doc_id: r for r in language_id.identify(df, model).collect()}
+    assert [found[1000 + k].lang_pred for k in (0, 3, 4)] == ["und"] * 3
+    assert (found[1001].lang_pred, found[1001].score) == ("aa", 0.0)
+    assert (found[1002].lang_pred, found[1002].score) == ("aa", 1.0)
+    assert found[None].lang_pred == "cc" and found[601].lang_pred == "cc"
+    full = language_id.language_id(df).where("doc_id is null").first()
+    assert full.held_out is False
+
+
+def test_viterbi_is_the_best_of_all_paths():
+    rng = np.random.default_rng(4)
+    for steps, labels in ((1, 3), (5, 2), (4, 3), (6, 3)):
+        emissions = rng.normal(size=(steps, 1, labels)) * 5
+        path = language_id.viterbi(emissions, 3.0)[:, 0]
+
+        def total(p):
+            own = sum(emissions[t, 0, k] for t, k in enumerate(p))
+            return own - 3.0 * sum(a != b for a, b in zip(p, p[1:]))
+
+        best = max(itertools.product(range(labels), repeat=steps), key=total)
+        assert total(path) == pytest.approx(total(best))
+
+
+def test_quality_sample_is_bounded_in_rows_and_bytes(spark, monkeypatch):
+    rows = [(k, f"line {k}\n" * 50, k % 2) for k in range(400)] + [(None, "x", 1), (9999, "y" * 5000, 1)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, quality int")
+    seen = []
+    monkeypatch.setattr(quality_classifier, "fit", lambda texts, labels: seen.append(texts))
+    monkeypatch.setattr(quality_classifier, "TRAIN_TEXT", 4000)
+    quality_classifier.train(df, train_bytes=40_000)
+    assert 20_000 < sum(len(t) for t in seen[0]) <= 40_000 and max(map(len, seen[0])) < 4000
+    monkeypatch.setattr(quality_classifier, "TRAIN_ROWS", 30)
+    quality_classifier.quality(df.select("doc_id", "text"), df.select("doc_id", "quality"))
+    assert 5 < len(seen[1]) < 60
+
+
 def test_quality_classifier(spark, docs, empty):
     good = "The text of a line, as people write it.\nAnother line follows here."
     bad = "BUY!! NOW!! ### $$$ ***\nBUY!! NOW!! ### $$$ ***"
