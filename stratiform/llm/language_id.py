@@ -6,7 +6,7 @@ penalty for switching labels each word of a text, neighbouring words with one la
 span, and the language with most letters is the text's, its share of letters the score.
 
 The model is counted, distributed, over a sample of the labelled rows whose bound is the
-parameter ``train_rows``; the collected table has a fixed number of buckets per language.
+parameter ``train_rows``, in equal parts for all languages and all rows of rare ones; the collected table has a fixed number of buckets per language.
 Prediction is one pass without a shuffle. Very long texts are labelled in place: memory is
 a few bytes per word.
 
@@ -32,13 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.llm.batching import blocks, padded
-from stratiform.llm.common import remainder, sampled
+from stratiform.llm.common import remainder
 
 BUCKETS = 1 << 16
 TRAIN_ROWS = 20_000
 PENALTY = 8.0
 REMEMBERED = 200_000
 WORDS = 5_000  # new words scored at a time
+_PARTS = 1_000_003
 SCRIPT_SHARE = 0.01  # of a language's words that must be in a script for it to compete there
 
 # First code point of each range of letters, and its script.
@@ -95,7 +96,8 @@ class Model:
 def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """Counts n-grams and scripts per language over rows of ``text`` and ``lang``."""
     known = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    names = sorted(r["lang"] for r in known.select("lang").distinct().collect())
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    names = sorted(sizes)
     place = {name: k for k, name in enumerate(names)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +114,14 @@ def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
         columns = (lang, bucket, total[lang, bucket])
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["l", "b", "n"])
 
-    some = sampled(known.select("doc_id", "text", "lang"), F.col("doc_id"), train_rows)
+    # Each language gives as many rows, a rare one all it has.
+    each = train_rows // max(len(names), 1)
+    sizes = sizes or {"": 1}
+    shares = {name: int(min(1, each / n) * _PARTS) for name, n in sizes.items()}
+    share = F.element_at(F.create_map(*[F.lit(v) for kv in shares.items() for v in kv]), F.col("lang"))
+    some = known.select("doc_id", "text", "lang").where(
+        F.pmod(F.xxhash64("doc_id"), F.lit(_PARTS)) < share
+    )
     counts = some.mapInArrow(count, "l bigint, b bigint, n bigint").groupBy("l", "b")
     found = counts.agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros((BUCKETS + len(_NAMES), len(names)))
@@ -150,16 +159,25 @@ class Labeller:
         self.model, self.penalty = model, penalty
         self.places: dict[str, int] = {}
         self.table = np.zeros((1 << 12, len(model.languages)), np.float32)
+        # Letters of each word, and whether a language was learned that has its script.
+        self.letters = np.zeros((1 << 12, 2), np.int64)
 
     def _learn(self, words: list[str]) -> None:
         """Give new words a row each; row 0 is no word."""
         first = len(self.places) + 1
         while first + len(words) > len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
         self.places.update(zip(words, range(first, first + len(words)), strict=True))
         for k in range(0, len(words), WORDS):
             some = words[k : k + WORDS]
             self.table[first + k : first + k + len(some)] = self.model.words(some)
+        # Numerals are matched as words, too, but hold no letter.
+        self.letters[first : first + len(words), 0] = [
+            len(w) if w.isalpha() else sum(map(str.isalpha, w)) for w in words
+        ]
+        learned = self.model.competes.any(1)
+        self.letters[first : first + len(words), 1] = learned[[script(w) for w in words]]
 
     def label(self, texts: list[str | None]) -> list[tuple[str, float, list]]:
         if len(self.places) > REMEMBERED:
@@ -172,17 +190,19 @@ class Labeller:
         if new:
             self._learn(list(new))
         coded = np.array([places[w] for ws in found for w in ws] + [0], np.int32)
-        letters = np.array([len(w) for ws in found for w in ws] + [0], np.int64)
         out: list = [("und", 0.0, [])] * len(texts)
         names = self.model.languages
         for rows in blocks(lengths, cells=1 << 19):
             at = padded(firsts[rows], lengths[rows], len(coded) - 1)
             path = viterbi(self.table[coded[at]], self.penalty)
-            weight = letters[at]
+            letters = self.letters[coded[at]]
+            held, weight = letters[..., 0].sum(0), letters[..., 0] * letters[..., 1]
             share = np.stack([(weight * (path == k)).sum(0) for k in range(len(names))], 1)
             winner = share.argmax(1)
             turns = path[1:] != path[:-1]
             for j, row in enumerate(rows):
+                if not held[j]:
+                    continue
                 n = lengths[row]
                 cuts = [0, *(np.flatnonzero(turns[: n - 1, j]) + 1).tolist(), n]
                 spans = [
@@ -230,4 +250,4 @@ def language_id(docs: DataFrame) -> DataFrame:
     fold = remainder(F.col("doc_id"), 4)
     model = train(docs.where(fold != 2))
     found = identify(docs, model)
-    return found.select("doc_id", (fold == 2).alias("held_out"), "lang_pred", "score", "spans")
+    return found.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "spans")
