@@ -5,14 +5,15 @@ and some of the document; transitions between neighbouring lines are learned wit
 Training lines carry the label of their document. A document's score is the mean of its
 lines' probabilities of being good, by forward-backward, weighted with their length.
 
-The field is fitted on a sample of labelled rows whose bound is the parameter
-``train_rows``. Scoring is one pass without a shuffle; long texts are handled line by
+The field is fitted on a sample of labelled rows, chosen by hashes of the id: at most about
+``train_rows`` of them and ``TRAIN_BYTES`` of text, whole texts of at most ``TRAIN_TEXT`` bytes.
+Scoring is one pass without a shuffle; long texts are handled line by
 line, a few hundred bytes each.
 
 Null and empty texts are one empty line. Rows without a label are scored all the same.
 Without any labelled row every score is 0.5. Several labels of one document: the smallest
 counts. Repeated rows are repeated, other columns are not inputs, an empty table gives an
-empty table.
+empty table. A null id is never held out, and never learned from.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from stratiform.llm.batching import blocks, padded
 from stratiform.llm.common import remainder, sampled
 
 TRAIN_ROWS = 6_000
+TRAIN_BYTES = 32 * 1024**2
+TRAIN_TEXT = TRAIN_BYTES // 32
 STEPS, RATE, DECAY = 200, 0.05, 1e-3
 ROWS = 400  # texts worked on at a time
 
@@ -197,12 +200,20 @@ def fit(texts: list[str | None], labels: np.ndarray) -> Field:
     return field
 
 
-def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Field | None:
-    """Fitted on at most about ``train_rows`` rows of ``doc_id``, ``text`` and ``quality``."""
-    some = sampled(labelled.where(F.col("quality").isNotNull()), F.col("doc_id"), train_rows)
-    rows = some.select("text", "quality").orderBy("doc_id").toPandas()
-    if rows.empty:
+def train(labelled: DataFrame, train_bytes: int = TRAIN_BYTES) -> Field | None:
+    """Fitted on whole texts, at most about ``train_bytes`` together, of rows of ``doc_id``,
+    ``text`` and ``quality``."""
+    known = labelled.where(F.col("quality").isNotNull())
+    some = known.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= TRAIN_TEXT)
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(1000))
+    some = some.withColumn("_part", part)
+    sizes = some.groupBy("_part").agg(F.sum(F.octet_length("text")).alias("n")).toPandas()
+    sizes = sizes.fillna(0).sort_values("_part")
+    within = sizes["_part"][sizes["n"].cumsum() <= train_bytes]
+    if within.empty:
         return None
+    some = some.where(F.col("_part") <= int(within.max()))
+    rows = some.select("text", "quality").orderBy("doc_id").toPandas()
     texts = [t if isinstance(t, str) else None for t in rows["text"]]
     return fit(texts, rows["quality"].to_numpy().astype(int))
 
@@ -238,12 +249,12 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     fold = remainder(F.col("doc_id"), 3)
     known = labels.where((fold != 1) & F.col("quality").isNotNull())
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    known = sampled(known, F.col("doc_id"), 4 * TRAIN_ROWS)
+    known = sampled(known, F.col("doc_id"), TRAIN_ROWS)
     texts = docs.where(fold != 1).select("doc_id", "text")
     field = train(texts.join(known, "doc_id"))
     return score(docs, field).select(
         "doc_id",
-        (fold == 1).alias("held_out"),
+        F.coalesce(fold == 1, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
