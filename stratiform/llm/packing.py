@@ -19,14 +19,17 @@ a window fills as many windows as it needs. An empty table gives an empty table.
 from __future__ import annotations
 
 import functools
+import re
 import unicodedata
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +40,17 @@ WINDOW = 2048
 CLOSING_ID = 1
 SHARD_TOKENS = 1_000_000
 DEALT_BY = 50  # documents per shard that are looked at to find the bounds of shards
-REMEMBERED = 400_000
-ROWS = 1_000  # texts worked on at a time
+REMEMBERED = 500_000  # pieces of words
+LONG_PIECE = 32  # ids; longer ones are not remembered for long
+TEXT_BYTES = 8 * 1024**2  # of text turned into ids at a time
+ROWS = 1_000  # documents whose keys are worked out at a time
 K1, B = 1.2, 0.75
 
+# The pieces that the vocabulary cuts, or the end of a word, in lower-case text without other
+# white space; the first for ASCII alone.
+_ASCII_PIECE = re.compile(r"[a-z]+|\n|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\na-z0-9]+")
+_PIECE_OR_END = regex.compile(r"\p{L}+|\n|" + _PIECE.pattern)
+
 _TOKENS = "doc_id bigint, ids binary, n bigint"
 _DEALT = ["doc_id", "ids", "n"]
 _KEYED = "shard bigint, key bigint, " + _TOKENS
@@ -50,12 +60,21 @@ _PIECES = (
 )
 
 
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of ranges, one range after another."""
+    reached = np.cumsum(lengths)
+    total = int(reached[-1]) if len(reached) else 0
+    return np.repeat(starts - reached + lengths, lengths) + np.arange(total)
+
+
 class Words:
-    """Ids of whole texts, one look-up per different word of a batch.
+    """Ids of whole texts, worked out once per different word of a batch.
 
     The vocabulary drops white space and joins nothing across it, so the ids of a text are
-    those of its words. A word is cut into pieces as the vocabulary says, and each piece is
-    merged by the tokenizers library.
+    those of its words. The words of a batch are normalised together and cut into pieces as
+    the vocabulary says. Each piece is merged by the tokenizers library and remembered; of
+    too many or too long ones, the half that most batches used stays, without those over
+    ``LONG_PIECE`` ids. That changes no result.
     """
 
     def __init__(self, path: str | None = None):
@@ -68,55 +87,112 @@ class Words:
         self.coder = Bpe(path)
         self._model = Tokenizer.from_file(path).model
         self._names = dict(enumerate(_byte_symbols()))
-        self.known: dict[str, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
-
-    def _merged(self, piece: str) -> bytes:
-        raw = piece
-        # The model knows bytes by symbols, which are the characters themselves only if these
-        # can be seen.
-        if not piece.isascii() or not piece.isprintable():
-            raw = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self._names)
-        ids = self._pieces[piece] = array("H", [t.id for t in self._model.tokenize(raw)]).tobytes()
-        return ids
-
-    def _learn(self, words: list[str]) -> None:
-        """Remember the ids of words, which are normalised all at once: line ends change nothing."""
-        get, merged, known = self._pieces.get, self._merged, self.known
-        together = "\n".join(words)
-        plain = unicodedata.normalize("NFC", together).replace("Σ", "σ").lower().split("\n")
-        for word, low in zip(words, plain, strict=True):
-            if low.isalpha():
-                known[word] = get(low) or merged(low)
-            elif "<|" in word:
-                known[word] = array("H", self.coder._encode_chunk(word)).tobytes()
-            else:
-                known[word] = b"".join([get(p) or merged(p) for p in _PIECE.findall(low)])
-
-    def ids(self, texts: pa.Array) -> list[bytes]:
+        # Each piece has a place, and its ids end at that place's stop. The first place is the
+        # end of a word, without ids.
+        self.places: dict[str, int] = {"\n": 0}
+        self._ids, self._stops = array("H"), array("q", [0])
+        self._uses = np.zeros(1, np.int64)
+
+    def _learn(self, pieces: Iterable[str]) -> None:
+        merged, places, ids, stops = self._model.tokenize, self.places, self._ids, self._stops
+        for piece in pieces:
+            raw = piece
+            # The model knows bytes by symbols, which are the characters themselves only if
+            # these can be seen.
+            if not piece.isascii() or not piece.isprintable():
+                raw = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self._names)
+            places[piece] = len(stops)
+            ids.extend([t.id for t in merged(raw)])
+            stops.append(len(ids))
+        self._uses = np.r_[self._uses, np.zeros(len(stops) - len(self._uses), np.int64)]
+
+    def _forget(self) -> None:
+        """Keep the pieces that most batches used, but no long ones."""
+        ids, stops = np.array(self._ids), np.array(self._stops)
+        lengths = np.diff(stops, prepend=0)
+        most = np.argsort(-self._uses[1:], kind="stable")[: REMEMBERED // 2] + 1
+        kept = np.r_[0, np.sort(most[lengths[most] <= LONG_PIECE])]
+        pieces = list(self.places)
+        self.places = {pieces[k]: place for place, k in enumerate(kept.tolist())}
+        self._ids = array("H", ids[_ranges(stops[kept] - lengths[kept], lengths[kept])].tobytes())
+        self._stops = array("q", np.cumsum(lengths[kept]).tobytes())
+        self._uses = self._uses[kept]
+
+    def _of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words in some order; where those of each word begin, and how many they are."""
+        plain = pc.string_is_ascii(words)
+        pieces: list[str] = []
+        for some, cut in ((plain, _ASCII_PIECE), (pc.invert(plain), _PIECE_OR_END)):
+            part = words.filter(some)
+            if len(part):
+                # Line ends change nothing when all are normalised at once, and end a word.
+                whole = pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part)
+                text = pc.binary_join(whole, "\n")[0].as_py() + "\n"
+                if not text.isascii():
+                    text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+                pieces += cut.findall(text.lower())
+        known = self.places
+        places = np.fromiter(map(known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        (new,) = (places < 0).nonzero()
+        if len(new):
+            missing = [pieces[k] for k in new.tolist()]
+            self._learn(dict.fromkeys(missing))
+            places[new] = [known[piece] for piece in missing]
+        ids, stops = np.array(self._ids), np.array(self._stops)
+        self._uses += np.bincount(places, minlength=len(stops)) > 0
+        lengths = np.diff(stops, prepend=0)[places]
+        ids = ids[_ranges(stops[places] - lengths, lengths)]
+        ends = np.cumsum(lengths)[places == 0]
+        plain = plain.to_numpy(zero_copy_only=False)
+        starts, sizes = np.empty((2, len(words)), np.int64)
+        order = np.r_[plain.nonzero()[0], (~plain).nonzero()[0]]
+        sizes[order] = np.diff(ends, prepend=0)
+        starts[order] = ends - sizes[order]
+        if len(known) > REMEMBERED or len(self._ids) > LONG_PIECE * REMEMBERED:
+            self._forget()
+        return ids, starts, sizes
+
+    def ids(self, texts: pa.Array, closing: tuple[int, ...] = ()) -> pa.Array:
+        """Ids of each text as little-endian unsigned 16-bit numbers, ``closing`` after them."""
         texts = pc.fill_null(texts, "")
         # These part words for Arrow or for the tokenizer, not for both.
         texts = pc.replace_substring_regex(texts, r"[\x{85}\x{1680}\x{2028}\x{2029}]", " ")
         parts = pc.utf8_split_whitespace(texts)
         coded = parts.flatten().dictionary_encode()
-        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(self.known) > REMEMBERED:
-            self.known, self._pieces = {}, {}
-        new = [word for word in different if word and word not in self.known]
-        if new:
-            self._learn(new)
-        raw = [self.known[w] if w else b"" for w in different]
-        code = coded.indices.to_numpy()
-        bounds = parts.offsets.to_numpy()
-        bounds = bounds - bounds[0]
-        out = []
-        odd = pc.match_substring_regex(texts, r"[\x1c-\x1f]").to_pylist()
-        for k, strange in enumerate(odd):
-            if strange:
-                out.append(array("H", self.coder.encode(texts[k].as_py())).tobytes())
-            else:
-                out.append(b"".join([raw[c] for c in code[bounds[k] : bounds[k + 1]].tolist()]))
-        return out
+        words, code = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        bounds = parts.offsets.to_numpy().astype(np.int64)
+        bounds -= bounds[0]
+        # Some take the coder's way and follow as words of their own: words that may hold the
+        # names of special ids, and whole texts.
+        named = pc.match_substring(words, "<|")
+        (special,) = named.to_numpy(zero_copy_only=False).nonzero()
+        odd = pc.match_substring_regex(texts, r"[\x1c-\x1f]")
+        (whole,) = odd.to_numpy(zero_copy_only=False).nonzero()
+        own = [self.coder._encode_chunk(words[k].as_py()) for k in special.tolist()]
+        own += [self.coder.encode(texts[k].as_py()) for k in whole.tolist()]
+        own += [[], list(closing)]
+        ids, starts, sizes = self._of_words(pc.if_else(named, "", words) if len(special) else words)
+        more = np.array([len(x) for x in own])
+        starts = np.r_[starts, len(ids) + np.cumsum(more) - more]
+        sizes = np.r_[sizes, more]
+        ids = np.concatenate([ids, *(np.array(x, np.uint16) for x in own)])
+        if len(special):
+            place = np.arange(len(words))
+            place[special] = len(words) + np.arange(len(special))
+            code = place[code]
+        empty, last = len(sizes) - 2, len(sizes) - 1
+        for k, text in enumerate(whole.tolist(), len(words) + len(special)):
+            code[bounds[text] : bounds[text + 1]] = empty
+            code[bounds[text]] = k
+        code = np.insert(code, bounds[1:], last)
+        ends = np.cumsum(sizes[code])[bounds[1:] + np.arange(len(texts))]
+        flat = []
+        for start in range(0, len(code), 1 << 17):
+            some = code[start : start + (1 << 17)]
+            flat.append(ids[_ranges(starts[some], sizes[some])])
+        data = pa.py_buffer(np.concatenate([ids[:0], *flat]).astype("<u2"))
+        offsets = pa.array(np.r_[0, 2 * ends], pa.int32())
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, offsets.buffers()[1], data])
 
 
 @functools.lru_cache(maxsize=2)
@@ -124,26 +200,37 @@ def _words(path: str | None) -> Words:
     return Words(path)
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows that follow one another, of about ``TEXT_BYTES`` of text together."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+    part = np.cumsum(sizes, dtype=np.int64) // TEXT_BYTES
+    starts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+    for start, stop in pairwise([*starts, batch.num_rows]):
+        yield batch.slice(start, stop - start)
+
+
 def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Ids of each document as little-endian unsigned 16-bit numbers, the closing id last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _words(path)
-        closing = np.array([CLOSING_ID], "<u2").tobytes()
-        for batch in (w.slice(k, ROWS) for w in batches for k in range(0, w.num_rows, ROWS)):
-            ids = [x + closing for x in coder.ids(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(ids, pa.binary()),
-                    pa.array([len(x) // 2 for x in ids], pa.int64()),
-                ],
-                ["doc_id", "ids", "n"],
-            )
+        for batch in (part for whole in batches for part in _slices(whole)):
+            ids = coder.ids(batch.column("text"), (CLOSING_ID,))
+            n = pc.divide(pc.binary_length(ids).cast(pa.int64()), 2)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, n], ["doc_id", "ids", "n"])
 
     return docs.select("doc_id", "text").mapInArrow(run, _TOKENS)
 
 
+def _counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids of a document in order, and how often each occurs."""
+    ids = np.sort(ids)
+    (new,) = (ids[1:] != ids[:-1]).nonzero()
+    edges = np.zeros(len(new) + 2, np.int64)
+    edges[1:-1], edges[-1] = new + 1, len(ids)
+    return ids[edges[:-1]], edges[1:] - edges[:-1]
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of the task per id, and under -1 their number, under -2 their ids in all."""
     counts = np.zeros(1 << 16, np.int64)
@@ -151,7 +238,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for raw in batch.column("ids"):
             ids = np.frombuffer(raw.as_buffer(), "<u2")
-            counts[np.unique(ids)] += 1
+            counts[_counted(ids)[0]] += 1
             docs, tokens = docs + 1, tokens + len(ids)
     (seen,) = counts.nonzero()
     yield pa.RecordBatch.from_arrays(
@@ -170,7 +257,7 @@ class Shard:
         self.docs = docs
         self.queries, impact = [], []
         for _, ids in docs:
-            term, tf = np.unique(ids, return_counts=True)
+            term, tf = _counted(ids)
             norm = K1 * (1 - B + B * len(ids) / mean)
             score = weight[term] * tf * (K1 + 1) / (tf + norm)
             impact.append(score.astype(np.float32))
@@ -220,10 +307,8 @@ class Shard:
         asked = asked[row < 0]
         stops = self.ends[asked]
         starts = np.where(asked > 0, self.ends[asked - 1], 0)
-        lengths = stops - starts
-        reached = np.cumsum(lengths)
-        if len(reached) and reached[-1]:
-            places = np.repeat(starts - reached + lengths, lengths) + np.arange(reached[-1])
+        places = _ranges(starts, stops - starts)
+        if len(places):
             scores += np.bincount(
                 self.owners[places], weights=self.impact[places], minlength=len(self.docs)
             )
@@ -285,7 +370,7 @@ def _keys(idents: np.ndarray, texts: list[np.ndarray], weight: np.ndarray, mean:
     """
     out = np.full((len(texts), 3), (1 << 16) - 1, np.uint64)
     for k, ids in enumerate(texts):
-        term, tf = np.unique(ids, return_counts=True)
+        term, tf = _counted(ids)
         score = weight[term] * tf / (tf + K1 * (1 - B + B * len(ids) / mean))
         best = np.lexsort((term, -score))[:3]
         best = best[score[best] > 0]

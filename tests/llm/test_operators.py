@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from stratiform.llm import (
@@ -242,6 +243,41 @@ def test_packing_has_the_ids_of_every_byte_and_takes_null_ids(spark):
             assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes()), texts[r.doc_id]
 
 
+def test_packing_merges_pieces_in_use_once(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 60)
+    words, merged, own = packing.Words(), Counter(), tokenizer()
+    model = words._model
+
+    class Counting:
+        def tokenize(self, piece):
+            merged[piece] += 1
+            return model.tokenize(piece)
+
+    words._model = Counting()
+    rng = np.random.default_rng(9)
+    for _ in range(8):
+        texts = ["often, USED (often)", *("".join(rng.choice([*"abcdefgh"], 12)) for _ in range(40))]
+        for text, ids in zip(texts, words.ids(pa.array(texts)), strict=True):
+            got = np.frombuffer(ids.as_py() if isinstance(ids, pa.Scalar) else ids, "<u2")
+            assert got.tolist() == own.encode(text, add_special_tokens=False).ids
+    words.ids(pa.array(["".join(rng.choice([*"abcdefgh"], 9000))]))
+    assert len(words._ids) <= packing.LONG_PIECE * 60  # long pieces are forgotten
+    assert merged["often"] == merged["used"] == 1
+    assert sum(merged.values()) > 300
+
+
+def test_packing_ids_of_odd_words_are_those_of_the_library():
+    own = tokenizer()
+    odd = ["it's 'TIS we'll x'saa .'s ''re", "a1b22 3.14 ... </w>", "<|endoftext|>a <|x <|ENDOFTEXT|>"]
+    odd += ["É E\u0301 H\u0331 \u212a \u0130 ΣΑΣ ß ﬁ", "a\xa0b\u2028c\u1680d\x85e\u3000", " \n\t", "", None, "漢字 가"]
+    odd += ["plain words, and more", "x\x1cy <|endoftext|> z", "x\x1fy"]
+    array = pa.array(["before", *odd]).slice(1)
+    got = packing.Words().ids(array, (packing.CLOSING_ID,)).to_pylist()
+    for text, ids in zip(odd, got, strict=True):
+        wanted = [*own.encode(text or "", add_special_tokens=False).ids, packing.CLOSING_ID]
+        assert np.frombuffer(ids, "<u2").tolist() == wanted, text
+
+
 def test_packing_order_is_that_of_plain_bm25():
     """Each seed is followed by its best unused neighbours, as plain scores have them."""
     rng = np.random.default_rng(6)
