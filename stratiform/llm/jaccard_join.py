@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import checkpointed, let, staged, words
+from stratiform.llm.common import let, staged, words
 from stratiform.llm.graph import components
 
 # Documents link when 100 * intersection >= PERCENT * union.
@@ -281,10 +281,12 @@ def _divided(points: DataFrame, percent: int, limit: int, rounds: int = 4) -> Da
     )
     apart = _regions(full, percent, only_whole=True)
     sized = apart.join(full.select(F.col("doc_id").alias("node"), "n"), "node")
-    here = checkpointed(sized.select(F.col("root").cast("string").alias("region"), F.col("node").alias("doc_id"), "n"))
+    here = staged(
+        sized.select(F.col("root").cast("string").alias("region"), F.col("node").alias("doc_id"), "n"), "apart"
+    )
     for _ in range(rounds):
         total = here.groupBy("region").agg(F.sum("n").alias("total"))
-        sized = checkpointed(here.join(total, "region"))
+        sized = staged(here.join(total, "region"), "sized")
         fits = sized.where(F.col("total") <= limit).select("region", "doc_id")
         done = fits if done is None else done.unionByName(fits)
         large = sized.where(F.col("total") > limit)
@@ -306,7 +308,7 @@ def _divided(points: DataFrame, percent: int, limit: int, rounds: int = 4) -> Da
         )
         moved = both.mapInArrow(lambda b: _windows(b, percent), "region string, doc_id bigint")
         size_of = sets.select("doc_id", F.size("shingles").alias("n"))
-        moved = checkpointed(moved.join(size_of, "doc_id"))
+        moved = staged(moved.join(size_of, "doc_id"), "moved")
         here = large.select("region", "doc_id", "n")
         if moved.count() >= 3 * here.count():
             break  # pivots do not divide these
@@ -369,7 +371,7 @@ def _regions(classes: DataFrame, percent: int, only_whole: bool = False) -> Data
     )
     members = staged(members, "windows")
     several = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    return components(checkpointed(members.join(several, "key")))
+    return components(staged(members.join(several, "key"), "members"))
 
 
 def jaccard_join(
@@ -422,7 +424,7 @@ def jaccard_join(
         .where(F.col("total") > limit)
         .select("region")
     )
-    large = checkpointed(large)
+    large = staged(large, "large")
     divided = bool(large.limit(1).count())
     if divided:
         met = staged(met, "regions")
@@ -432,15 +434,14 @@ def jaccard_join(
             again.join(sets, "doc_id").select("region", *_POINTS)
         )
     dealt = met.repartition("region").sortWithinPartitions("region")
-    linked = checkpointed(dealt.mapInArrow(_linked(percent), "doc_id bigint, root bigint"))
+    linked = staged(dealt.mapInArrow(_linked(percent), "doc_id bigint, root bigint"), "linked")
     if divided:
         links = linked.where("doc_id != root")
-        key = F.struct("doc_id", "root")
         ends = F.explode(F.array("doc_id", "root"))
-        members = links.select(key.alias("key"), ends.alias("node"))
-        linked = components(checkpointed(members)).select(F.col("node").alias("doc_id"), "root")
+        members = links.select(F.col("root").alias("key"), ends.alias("node")).distinct()
+        linked = components(staged(members, "links")).select(F.col("node").alias("doc_id"), "root")
     roots = linked.where("doc_id != root").withColumnRenamed("doc_id", "least")
-    classed = classes.select(F.col("doc_id").alias("least"), *same)
+    classed = points.where("n > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("least"))
     classed = classed.join(roots, "least", "left").select(*same, F.coalesce("root", "least").alias("root"))
     return points.join(classed, same, "left").select(
         "doc_id",

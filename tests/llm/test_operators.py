@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from stratiform.llm import (
     bpe,
     exact_dedup,
+    graph,
     html_extraction,
     jaccard_join,
     language_id,
@@ -119,6 +120,39 @@ def test_jaccard_join(docs, empty, texts, percent, width, limit):
     assert jaccard_join.jaccard_join(empty).count() == 0
 
 
+def chained(length):
+    """A shuffled chain, a key with many nodes, a pair, a node alone, and each node's root."""
+    rng = np.random.default_rng(5)
+    names = rng.choice(10**6, length, replace=False).tolist()
+    members = [(k, n) for k in range(length - 1) for n in names[k : k + 2]]
+    hot = list(range(10**7 + 1, 10**7 + 300))
+    members += [(-1, n) for n in hot] + [(-2, 10**8), (-2, 10**8 - 1), (-3, 10**9)]
+    expected = dict.fromkeys(names, min(names)) | dict.fromkeys(hot, hot[0])
+    return members, expected | {10**8: 10**8 - 1, 10**8 - 1: 10**8 - 1, 10**9: 10**9}
+
+
+@pytest.mark.parametrize("rows", [graph.TASK_ROWS, 100, 0])
+def test_components(spark, rows):
+    members, expected = chained(40)
+    found = graph.components(spark.createDataFrame(members, "key bigint, node bigint"), rows)
+    assert sorted(map(tuple, found.collect())) == sorted(expected.items())
+    assert graph.components(spark.createDataFrame([], "key bigint, node bigint"), rows).count() == 0
+
+
+def test_components_of_a_long_chain_take_few_jobs(spark):
+    members, expected = chained(2000)
+    members = spark.createDataFrame(members, "key bigint, node bigint")
+    spark.sparkContext.setJobGroup("long-chain", "components")
+    try:
+        found = graph.components(members)
+    finally:
+        for name in ("spark.jobGroup.id", "spark.job.description"):
+            spark.sparkContext.setLocalProperty(name, None)
+    assert sorted(map(tuple, found.collect())) == sorted(expected.items())
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("long-chain")
+    assert 0 < len(jobs) <= 10
+
+
 def test_region_joins_like_all_pairs():
     rng = np.random.default_rng(3)
     bases = [rng.integers(0, 10**9, 60) for _ in range(12)]
