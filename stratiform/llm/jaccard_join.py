@@ -408,7 +408,8 @@ def jaccard_join(
     regions = _regions(classes, percent)
     total = docs.where("doc_id is not null").select(F.col("doc_id").alias("node"), "text")
     met = (
-        total.join(regions, "node")
+        # Texts meet their regions without a copy of the regions in the driver, however few.
+        total.join(regions.hint("merge"), "node")
         .select(
             F.col("root").cast("string").alias("region"),
             F.col("node").alias("doc_id"),
